@@ -134,8 +134,15 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"connect_ms": part(5), "header_ms": part(15), "response_ms": part(70)})
 
 
+_PLANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(access(spark, sf_dir))
+    """Enriched requests; the analysed plan (not the data) is kept per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = enrich(access(spark, sf_dir))
+    return _PLANS[key]
 
 
 # ---------------------------------------------------------------- SQL twin

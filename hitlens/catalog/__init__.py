@@ -1,6 +1,6 @@
 """Registered queries with their SQL oracles."""
 
-from hitlens.catalog import reports, rows  # noqa: F401
+from hitlens.catalog import insight_queries, reports, rollup_queries, rows  # noqa: F401
 from hitlens.catalog.base import ORACLES, QUERIES
 
 

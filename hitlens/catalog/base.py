@@ -282,9 +282,21 @@ SELECT *, is_success AND body_bytes > 0 AS is_business_success, anomaly_type <>
     WHEN sdk_type <> '' THEN 'SDK_Client' ELSE 'Unknown' END AS client_category,
   CASE WHEN sdk_type <> '' THEN 'official' WHEN is_bot THEN 'automated' ELSE 'standard' END AS client_type,
   CASE WHEN platform IN ('iOS', 'Android') THEN 'official' WHEN platform = 'Bot/Spider' THEN 'automated' ELSE 'web' END AS channel,
-  substr(md5(fingerprint || '-' || CAST(floor(epoch(date_trunc('second', log_time)) / 1800) AS BIGINT)), 1, 16) AS session_id
+  substr(md5(fingerprint || '-' || CAST(floor(epoch(date_trunc('second', log_time)) / 1800) AS BIGINT)), 1, 16) AS session_id,
+  {sql_case('server_name', K.ENTRY_POINT, 'direct')} AS entry_point,
+  CASE WHEN risk_score >= 80 THEN 'critical' WHEN risk_score >= 60 THEN 'high' WHEN risk_score >= 40 THEN 'medium' WHEN risk_score >= 20 THEN 'low' ELSE 'none' END AS risk_level,
+  CASE WHEN is_sql_injection THEN 'sql_injection' WHEN is_cross_site THEN 'xss' ELSE '' END AS threat,
+  CASE WHEN is_internal THEN 'trusted' WHEN {sql_prefix('client_ip', K.SUSPECT_PREFIXES)} THEN 'suspicious' ELSE 'neutral' END AS reputation,
+  CASE WHEN sdk_type LIKE 'WST%' THEN 'government_user' WHEN sdk_type <> '' THEN 'registered' ELSE 'guest' END AS user_type,
+  CASE WHEN sdk_type LIKE 'WST%' THEN 'verified' WHEN sdk_type <> '' THEN 'standard' ELSE 'free' END AS user_tier
 FROM step2"""
-VIEWS = f"WITH access AS ({ACCESS_SQL}), step1 AS ({_STEP1}), step2 AS ({_STEP2}), hits AS ({HITS_SQL})"
+_VALUE = f"""
+SELECT * EXCLUDE (b0, b1, b2), least(100, greatest(1, CAST(trunc(b2 * CASE WHEN duration_ms < 500 THEN 1.2e0 WHEN duration_ms > 5000 THEN 0.8e0 ELSE 1e0 END) AS INT))) AS value_score
+FROM (SELECT *, CAST(trunc(b1 * CASE left(status, 1) WHEN '2' THEN 1.1e0 WHEN '4' THEN 0.7e0 WHEN '5' THEN 0.5e0 ELSE 1e0 END) AS INT) AS b2
+FROM (SELECT *, CASE WHEN service IN ('gxrz-rest', 'zww') THEN least(100, b0 + 15) ELSE b0 END AS b1
+FROM (SELECT *, CASE WHEN contains(business_domain, 'government') THEN 60 + {sql_map('business_domain', K.DOMAIN_BONUS, 0)}
+  ELSE {sql_map('api_group', K.CATEGORY_WEIGHT, 50)} END AS b0 FROM step3)))"""
+VIEWS = f"WITH access AS ({ACCESS_SQL}), step1 AS ({_STEP1}), step2 AS ({_STEP2}), step3 AS ({HITS_SQL}), hits AS ({_VALUE})"
 
 
 def oracle(body: str) -> str:

@@ -47,8 +47,8 @@ def _(spark, sf):
 
 @register(
     "a02_api_transfer",
-    """, m AS (SELECT uri, round(CASE WHEN backend_transfer_ms > 0 THEN (body_bytes / 1024::DOUBLE) / (response_ms / 1000::DOUBLE - header_ms / 1000::DOUBLE) ELSE 0 END, 2) AS rs,
-      round(CASE WHEN response_ms > 0 THEN (connect_ms / 1000::DOUBLE) / (response_ms / 1000::DOUBLE) * 100 ELSE 0 END, 2) AS cc FROM hits WHERE is_success)
+    """, m AS (SELECT uri, CASE WHEN backend_transfer_ms > 0 THEN (body_bytes / 1024::DOUBLE) / (response_ms / 1000::DOUBLE - header_ms / 1000::DOUBLE) ELSE 0 END AS rs,
+      CASE WHEN response_ms > 0 THEN (connect_ms / 1000::DOUBLE) / (response_ms / 1000::DOUBLE) * 100 ELSE 0 END AS cc FROM hits WHERE is_success)
     SELECT uri, count(*) AS requests, round(quantile_cont(rs, 0.9), 6) AS p90_response_speed, round(avg(cc), 3) AS avg_connection_cost, avg(cc) > 30 AS costly_connect FROM m GROUP BY uri""",
 )
 def _(spark, sf):
@@ -259,7 +259,7 @@ def _(spark, sf):
     """, r AS (SELECT service, round(network_ms * 1e2 / duration_ms, 4) AS overhead, round(transfer_ms * 1e2 / duration_ms, 4) AS transfer FROM hits WHERE is_slow)
     SELECT service, count(*) AS requests, """
     + ", ".join(
-        f"round(avg({m}), 4) AS avg_{m}, min({m}) AS min_{m}, max({m}) AS max_{m}, {pct(m, .5, 'p50_' + m)}, {pct(m, .9, 'p90_' + m)}, {pct(m, .95, 'p95_' + m)}"
+        f"round(avg({m}), 9) AS avg_{m}, min({m}) AS min_{m}, max({m}) AS max_{m}, {pct(m, .5, 'p50_' + m)}, {pct(m, .9, 'p90_' + m)}, {pct(m, .95, 'p95_' + m)}"
         for m in ("overhead", "transfer")
     )
     + " FROM r GROUP BY service",
@@ -585,7 +585,14 @@ def _(spark, sf):
     return stability.backend(hits(spark, sf))
 
 
-@register("a31_transfer")
+@register(
+    "a31_transfer",
+    f""", s AS (SELECT stat_hour, service, duration_ms / 1e3 AS t, header_ms / 1e3 AS h, response_ms / 1e3 AS r, body_bytes / 1024e0 AS b, sent_bytes / 1024e0 AS z FROM hits),
+    p AS (SELECT *, greatest(0e0, r - h) AS bt, greatest(0e0, t - r) AS ft FROM s),
+    v AS (SELECT stat_hour, service, CASE WHEN bt > 0 THEN b / bt ELSE 0 END AS rs, CASE WHEN bt + ft > 0 THEN z / (bt + ft) ELSE 0 END AS ts, CASE WHEN ft > 0 THEN z / ft ELSE 0 END AS fs FROM p),
+    g AS (SELECT stat_hour, service, count(*) AS requests, {pct('rs', .5, 'response_p50')}, {pct('rs', .05, 'response_p5')}, {pct('ts', .5, 'total_p50')}, {pct('ts', .05, 'total_p5')}, {pct('fs', .5, 'front_p50')} FROM v GROUP BY 1, 2)
+    SELECT *, CASE WHEN total_p50 < 1000 THEN '传输速度慢' WHEN front_p50 < response_p50 * 0.8e0 THEN '前端传输瓶颈' WHEN response_p5 < total_p50 * 0.3e0 THEN '传输不稳定' ELSE '正常' END AS state FROM g""",
+)
 def _(spark, sf):
     return stability.transfer(hits(spark, sf))
 

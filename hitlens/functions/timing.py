@@ -27,12 +27,18 @@ def lifecycle(
     *,
     unit_ms: bool = True,
     legacy_scale: bool = False,
+    rounded: bool = True,
 ) -> dict[str, Column]:
     """Eighteen phase, ratio and speed columns.
 
     ``legacy_scale`` multiplies the three speeds by 100, as the percentage helper once did.
-    Phases come out in seconds (6 digits), percentages with 2, sizes with 3 digits.
+    Phases come out in seconds (6 digits), percentages with 2, sizes with 3 digits, unless
+    ``rounded`` is off.
     """
+
+    def fix(value: Column, digits: int) -> Column:
+        return F.round(value, digits) if rounded else value
+
     unit = F.lit(1000.0 if unit_ms else 1.0)
     total, conn, head, resp = duration / unit, connect / unit, header / unit, response / unit
     zero = F.lit(0.0)
@@ -45,27 +51,27 @@ def lifecycle(
     scale = 100.0 if legacy_scale else 1.0
 
     def speed(size: Column, seconds: Column) -> Column:
-        return F.round(over(size, seconds) * scale, 2)
+        return fix(over(size, seconds) * scale, 2)
 
     return {
-        "backend_connect_phase": F.round(conn, 6),
-        "backend_process_phase": F.round(process, 6),
-        "backend_transfer_phase": F.round(backend_transfer, 6),
-        "front_transfer_phase": F.round(front_transfer, 6),
-        "backend_total_phase": F.round(resp, 6),
-        "network_phase": F.round(network, 6),
-        "processing_phase": F.round(process, 6),
-        "transfer_phase": F.round(transfer, 6),
-        "backend_efficiency": F.round(percent(process, resp), 2),
-        "network_overhead": F.round(percent(network, total), 2),
-        "transfer_ratio": F.round(percent(transfer, total), 2),
-        "body_kb": F.round(body_kb, 3),
-        "sent_kb": F.round(sent_kb, 3),
+        "backend_connect_phase": fix(conn, 6),
+        "backend_process_phase": fix(process, 6),
+        "backend_transfer_phase": fix(backend_transfer, 6),
+        "front_transfer_phase": fix(front_transfer, 6),
+        "backend_total_phase": fix(resp, 6),
+        "network_phase": fix(network, 6),
+        "processing_phase": fix(process, 6),
+        "transfer_phase": fix(transfer, 6),
+        "backend_efficiency": fix(percent(process, resp), 2),
+        "network_overhead": fix(percent(network, total), 2),
+        "transfer_ratio": fix(percent(transfer, total), 2),
+        "body_kb": fix(body_kb, 3),
+        "sent_kb": fix(sent_kb, 3),
         "response_speed": speed(body_kb, backend_transfer),
         "total_speed": speed(sent_kb, transfer),
         "front_speed": speed(sent_kb, front_transfer),
-        "connection_cost": F.round(percent(conn, resp), 2),
-        "processing_index": F.round(percent(process, conn, 1.0), 2),
+        "connection_cost": fix(percent(conn, resp), 2),
+        "processing_index": fix(percent(process, conn, 1.0), 2),
     }
 
 

@@ -65,7 +65,8 @@ def api_performance(df: DataFrame, limits: Thresholds = DEFAULTS, *, exact: bool
 def api_transfer(df: DataFrame, *, exact: bool = True) -> DataFrame:
     """Speeds, connection cost and processing index per API with a grade."""
     m = timing.lifecycle(
-        *[F.col(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")]
+        *[F.col(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")],
+        rounded=False,
     )
     rows = df.filter("is_success").select(
         "uri", *[m[n].alias(n) for n in ("response_speed", "total_speed", "connection_cost")],

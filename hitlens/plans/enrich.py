@@ -72,8 +72,21 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         "client_type": agent.client_type(c("is_bot"), c("sdk_type")),
         "channel": agent.channel(c("platform")),
         "session_id": identity.slot_session(c("fingerprint"), c("log_time")),
+        "entry_point": business.entry_point(c("server_name")),
+        "risk_level": security.risk_level(c("risk_score")),
+        "threat": F.when(c("is_sql_injection"), F.lit("sql_injection"))
+        .when(c("is_cross_site"), F.lit("xss"))
+        .otherwise(F.lit("")),
+        "reputation": network.reputation(c("client_ip")),
+        "user_type": identity.user_kind(c("sdk_type"))[0],
+        "user_tier": identity.user_kind(c("sdk_type"))[1],
     }
-    return df.withColumns(first).withColumns(second)
+    third = {
+        "value_score": business.value_score(
+            c("business_domain"), c("api_group"), c("service"), c("status"), c("duration_ms")
+        )
+    }
+    return df.withColumns(first).withColumns(second).withColumns(third)
 
 
 def day_parts(df: DataFrame, ts: str = "log_time") -> DataFrame:

@@ -152,7 +152,7 @@ def efficiency_summary(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFram
     }
     rows = slow.select("service", *[F.round(v, 4).alias(k) for k, v in ratio.items()])
     out = describe(rows, ["service"], list(ratio), {"p50": 0.5, "p90": 0.9, "p95": 0.95})
-    return out.withColumns({f"avg_{k}": F.round(f"avg_{k}", 4) for k in ratio})
+    return out.withColumns({f"avg_{k}": F.round(f"avg_{k}", 9) for k in ratio})
 
 
 def period_by_severity(diagnosed: DataFrame) -> DataFrame:

@@ -157,7 +157,7 @@ def backend(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 def transfer(df: DataFrame) -> DataFrame:
     """Per hour and service: median and slowest-5-percent speeds (KB/s), state."""
     c = F.col
-    m = timing.lifecycle(*[c(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")])
+    m = timing.lifecycle(*[c(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")], rounded=False)
     out = summarise(
         df,
         ["stat_hour", "service"],

@@ -1,7 +1,15 @@
 """Registered queries with their SQL oracles."""
 
-from hitlens.catalog import insight_queries, reports, rollup_queries, rows  # noqa: F401
+from hitlens.catalog import (  # noqa: F401
+    generic_queries,
+    insight_queries,
+    reports,
+    rollup_queries,
+    rows,
+    source_queries,
+)
 from hitlens.catalog.base import ORACLES, QUERIES
+from hitlens.catalog.generic_queries import flagship  # noqa: F401
 
 
 def queries():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,7 +101,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web requests (durations ms, wall clock in UTC)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    e = table(spark, sf_dir, "events")
+    return requests_from(table(spark, sf_dir, "events"))
+
+
+def requests_from(e: DataFrame) -> DataFrame:
     i, user = F.col("event_id"), F.col("user_id")
     number = F.regexp_extract("props", r"(\d+)", 1)
     template = _pick(URIS, i % 16)
@@ -145,6 +150,14 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _PLANS[key]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """New folder for a job's files, under the shared folder the cluster names, if it names one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/hitlens/{name}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"hitlens-{name}-")
+
+
 # ---------------------------------------------------------------- SQL twin
 
 

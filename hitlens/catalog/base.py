@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from hitlens import lookups as K
 from hitlens.functions.network import _bounds
 from hitlens.plans.enrich import enrich
+from hitlens.session import tune
+from hitlens.sources.files import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,8 +102,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web requests (durations ms, wall clock in UTC)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return requests_from(table(spark, sf_dir, "events"))
+    tune(spark)
+    return requests_from(spread(table(spark, sf_dir, "events")))
 
 
 def requests_from(e: DataFrame) -> DataFrame:
@@ -259,10 +261,10 @@ SELECT *,
   CASE WHEN {sql_prefix('client_ip', K.TOR_PREFIXES)} THEN 30 ELSE 0 END
     + CASE WHEN {sql_prefix('client_ip', K.VPN_PREFIXES)} THEN 20 ELSE 0 END
     + CASE WHEN {sql_prefix('client_ip', K.DATACENTER_PREFIXES)} THEN 10 ELSE 0 END
-    + CASE WHEN regexp_matches(request_uri, {q(K.SQL_INJECTION)}) THEN 50
-        WHEN regexp_matches(request_uri, {q(K.CROSS_SITE)}) THEN 40 ELSE 0 END AS risk_score,
-  regexp_matches(request_uri, {q(K.SQL_INJECTION)}) AS is_sql_injection,
-  regexp_matches(request_uri, {q(K.CROSS_SITE)}) AS is_cross_site,
+    + CASE WHEN regexp_matches(luri, {q(K.SQL_INJECTION)}) THEN 50
+        WHEN regexp_matches(luri, {q(K.CROSS_SITE)}) THEN 40 ELSE 0 END AS risk_score,
+  regexp_matches(luri, {q(K.SQL_INJECTION)}) AS is_sql_injection,
+  regexp_matches(luri, {q(K.CROSS_SITE)}) AS is_cross_site,
   {sql_case('server_name', K.TENANT, 'government')} AS tenant,
   {sql_case('server_name', K.ENVIRONMENT, 'prod')} AS environment,
   greatest(0, header_ms - connect_ms) AS process_ms, greatest(0, response_ms - header_ms) AS backend_transfer_ms,

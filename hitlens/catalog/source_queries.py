@@ -10,6 +10,7 @@ from hitlens.catalog.base import access, enrich, hits, register, requests_from,
 from hitlens.operators import ranking
 from hitlens.plans import quality
 from hitlens.schema import coerce
+from hitlens.session import tune
 from hitlens.sources import files, lines, sinks
 from hitlens.streaming import jobs, state
 
@@ -269,7 +270,7 @@ def _(spark, sf):
 
 @register("x02_stream_rollup", _STATE_SQL)
 def _(spark, sf):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tune(spark)
     schema = table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     folder = scratch(spark, "stream")

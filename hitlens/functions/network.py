@@ -35,9 +35,12 @@ def in_networks(ip_long: Column, cidrs: Sequence[str]) -> Column:
     return test
 
 
-def ip_kind(ip: Column) -> Column:
-    """Private, multicast, public or invalid; private wins over loopback and reserved."""
-    n = ipv4_long(ip)
+def ip_kind(ip: Column, number: Column | None = None) -> Column:
+    """Private, multicast, public or invalid; private wins over loopback and reserved.
+
+    ``number`` may pass the address as a long that is already a column.
+    """
+    n = ipv4_long(ip) if number is None else number
     v6 = ip.rlike("^[0-9a-fA-F:.]*:[0-9a-fA-F:.]*$")
     return (
         F.when(in_networks(n, K.PRIVATE_NETWORKS), F.lit("内网IP"))

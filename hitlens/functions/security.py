@@ -6,23 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import descend
+from hitlens.rules import descend, found
 
 
 def sql_injection(uri: Column) -> Column:
-    return F.coalesce(uri.rlike(K.SQL_INJECTION), F.lit(False))
+    return F.coalesce(found(F.lower(uri), K.SQL_INJECTION), F.lit(False))
 
 
 def cross_site(uri: Column) -> Column:
-    return F.coalesce(uri.rlike(K.CROSS_SITE), F.lit(False))
+    return F.coalesce(found(F.lower(uri), K.CROSS_SITE), F.lit(False))
 
 
 def threats(uri: Column, params: Column, agent: Column) -> Column:
     """Array of (type, score, signature) for every family found, agent length last."""
     text = F.lower(F.concat(uri, F.lit(" "), params))
-    found = [
+    hits = [
         F.when(
-            text.rlike(pattern),
+            found(text, pattern),
             F.struct(F.lit(name).alias("type"), F.lit(score).alias("score"), F.lit(pattern).alias("signature")),
         )
         for name, pattern, score in K.THREATS
@@ -36,16 +36,16 @@ def threats(uri: Column, params: Column, agent: Column) -> Column:
             F.concat(F.lit("ua_length:"), size).alias("signature"),
         ),
     )
-    return F.array_compact(F.array(*found, odd_agent))
+    return F.array_compact(F.array(*hits, odd_agent))
 
 
-def threat_score(found: Column) -> Column:
-    return F.aggregate(found, F.lit(0), lambda acc, t: acc + t["score"])
+def threat_score(hits: Column) -> Column:
+    return F.aggregate(hits, F.lit(0), lambda acc, t: acc + t["score"])
 
 
-def raw_risk(tor: Column, vpn: Column, datacenter: Column, uri: Column) -> Column:
-    """Unclipped sum: Tor 30, VPN 20, data centre 10, SQL injection 50 else XSS 40."""
-    attack = F.when(sql_injection(uri), 50).when(cross_site(uri), 40).otherwise(0)
+def raw_risk(tor: Column, vpn: Column, datacenter: Column, injection: Column, script: Column) -> Column:
+    """Unclipped sum: Tor 30, VPN 20, data centre 10, SQL injection 50 else cross-site script 40."""
+    attack = F.when(injection, 50).when(script, 40).otherwise(0)
     return (
         F.when(tor, 30).otherwise(0) + F.when(vpn, 20).otherwise(0) + F.when(datacenter, 10).otherwise(0) + attack
     )

@@ -84,41 +84,45 @@ def inferred_service(uri: Column) -> Column:
     return F.coalesce(F.get(hits, F.lit(0)), F.lit(""))
 
 
-def is_static(uri: Column) -> Column:
-    return uri.rlike(K.STATIC_RESOURCE) | _grouped_store(uri)
+def is_static(uri: Column, parts: Column | None = None) -> Column:
+    return uri.rlike(K.STATIC_RESOURCE) | _grouped_store(segments(uri) if parts is None else parts)
 
 
-def _grouped_store(uri: Column) -> Column:
-    return (_segment(uri, 0) == K.STORE_APP) & (F.size(segments(uri)) >= 2)
+def _at(parts: Column, index: int) -> Column:
+    return F.coalesce(F.get(parts, F.lit(index)), F.lit(""))
 
 
-def structure(uri: Column) -> dict[str, Column]:
-    """Application, service, module, endpoint, depth, static flag and resource type."""
+def _grouped_store(parts: Column) -> Column:
+    return (_at(parts, 0) == K.STORE_APP) & (F.size(parts) >= 2)
+
+
+def structure(uri: Column, parts: Column | None = None) -> dict[str, Column]:
+    """Application, service, module, endpoint, depth, static flag and resource type.
+
+    ``parts`` may pass segments that are already a column.
+    """
+    parts = segments(uri) if parts is None else parts
     absolute = F.startswith(uri, F.lit("/"))
-    parts = segments(uri)
-    root = F.get(parts, F.lit(0)) == ""
-    depth = F.when(~absolute | root, F.lit(0)).otherwise(F.size(parts))
-    app = _segment(uri, 0)
+    depth = F.when(~absolute | (F.get(parts, F.lit(0)) == ""), F.lit(0)).otherwise(F.size(parts))
+    app = _at(parts, 0)
     deep = depth >= 2
-    static = absolute & is_static(uri)
-    third = F.when(depth >= 3, _segment(uri, 2)).otherwise(F.lit(UNKNOWN))
-    file_stem = F.replace(
-        F.substring_index(F.element_at(parts, -1), ".", 1), F.lit(".min"), F.lit("")
-    )
+    static = absolute & is_static(uri, parts)
+    third = F.when(depth >= 3, _at(parts, 2)).otherwise(F.lit(UNKNOWN))
+    file_stem = F.replace(F.substring_index(F.element_at(parts, -1), ".", 1), F.lit(".min"), F.lit(""))
     module = (
         F.when(app == K.STORE_APP, F.lit("files"))
-        .when((app == K.PORTAL_APP) & static & (depth >= 3), file_stem)
+        .when((app == K.PORTAL_APP) & (depth >= 3) & static, file_stem)
         .otherwise(third)
     )
     no_endpoint = app.isin(K.PORTAL_APP, K.STORE_APP)
     return {
         "application": F.when(depth > 0, app).otherwise(F.lit(UNKNOWN)),
-        "service": F.when(deep, _segment(uri, 1)).otherwise(F.lit(UNKNOWN)),
+        "service": F.when(deep, _at(parts, 1)).otherwise(F.lit(UNKNOWN)),
         "module": F.when(deep, module).otherwise(F.lit(UNKNOWN)),
-        "endpoint": F.when((depth >= 4) & ~no_endpoint, _segment(uri, 3)).otherwise(F.lit("")),
+        "endpoint": F.when((depth >= 4) & ~no_endpoint, _at(parts, 3)).otherwise(F.lit("")),
         "path_depth": depth,
         "is_static": static,
-        "resource_type": F.when(absolute & _grouped_store(uri), F.lit("file"))
+        "resource_type": F.when(absolute & _grouped_store(parts), F.lit("file"))
         .when(static, resource_type(uri))
         .otherwise(F.lit(UNKNOWN)),
     }

@@ -315,9 +315,9 @@ ERROR_CATEGORY = {
     "504": "gateway_timeout",
 }
 
-# --- fixed values: attack patterns with scores
-SQL_INJECTION = r"(?i)(\bunion\b.*\bselect\b|\bselect\b.*\bfrom\b|;.*\bdrop\b|\bor\b.*=.*\bor\b)"
-CROSS_SITE = r"(?i)(<script|javascript:|onerror=|onload=)"
+# --- fixed values: attack patterns with scores, on lower-cased text
+SQL_INJECTION = r"(\bunion\b.*\bselect\b|\bselect\b.*\bfrom\b|;.*\bdrop\b|\bor\b.*=.*\bor\b)"
+CROSS_SITE = r"(<script|javascript:|onerror=|onload=)"
 THREATS = [
     ("sql_injection", r"(\bunion\b.*\bselect\b|\bor\b.*=|\bdrop\b)", 50),
     ("xss", r"(<script|javascript:|onerror=)", 40),

@@ -12,47 +12,53 @@ from hitlens.schema import DEFAULTS, Thresholds
 def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Add derived columns; a report that uses few of them pays for few (column pruning)."""
     c = F.col
-    path = uri.structure(c("request_uri"))
     ms = c("duration_ms")
+    # shared intermediates: computed once per row, then read as plain columns
+    base = df.withColumns(
+        {
+            "_agent": F.lower("user_agent"),
+            "_from": F.lower("referer"),
+            "_text": F.lower("request_uri"),
+            "_parts": uri.segments(c("request_uri")),
+            "_number": network.ipv4_long(c("client_ip")),
+            "is_internal": network.is_internal(c("client_ip")),
+        }
+    )
+    path = uri.structure(c("request_uri"), c("_parts"))
     first = {
         "uri": uri.trimmed_path(c("request_uri")),
         "stat_hour": F.date_trunc("hour", "log_time"),
         "hour": F.hour("log_time"),
         "weekday": F.weekday("log_time") + 1,
-        "platform": agent.platform(c("user_agent")),
-        "device": agent.device(c("user_agent")),
-        "os": agent.operating_system(c("user_agent")),
-        "browser": agent.browser_name(c("user_agent")),
-        "bot_type": agent.bot(c("user_agent")),
-        "is_bot": agent.is_bot(c("user_agent")),
+        "platform": agent.platform(c("_agent")),
+        "device": agent.device(c("_agent")),
+        "os": agent.operating_system(c("_agent")),
+        "browser": agent.browser_name(c("_agent")),
+        "bot_type": agent.bot(c("_agent")),
+        "is_bot": agent.is_bot(c("_agent")),
         "sdk_type": agent.sdk_type(c("user_agent")),
         "referer_domain": referer.domain(c("referer")),
-        "search_engine": referer.search_engine(c("referer")),
-        "social_network": referer.social_network(c("referer")),
-        "entry_source": referer.entry_source(c("referer")),
+        "search_engine": referer.search_engine(c("_from")),
+        "social_network": referer.social_network(c("_from")),
+        "entry_source": referer.entry_source(c("_from")),
         "application": path["application"],
         "service": path["service"],
         "module": path["module"],
         "is_static": path["is_static"],
         "api_category": uri.api_category(c("request_uri")),
-        "operation": uri.operation(c("request_uri")),
-        "journey_stage": uri.journey_stage(c("request_uri")),
+        "operation": uri.operation(c("_text")),
+        "journey_stage": uri.journey_stage(c("_text")),
         "is_success": status.success(c("status")),
         "is_error": status.error(c("status")),
         "is_slow": ms > limits.slow_ms,
         "anomaly_type": status.anomaly_type(c("status"), ms, c("body_bytes")),
-        "is_internal": network.is_internal(c("client_ip")),
-        "ip_kind": network.ip_kind(c("client_ip")),
-        "risk_score": security.raw_risk(
-            network.is_tor(c("client_ip")),
-            network.is_vpn(c("client_ip")),
-            network.is_datacenter(c("client_ip")),
-            c("request_uri"),
-        ),
-        "is_sql_injection": security.sql_injection(c("request_uri")),
-        "is_cross_site": security.cross_site(c("request_uri")),
+        "ip_kind": network.ip_kind(c("client_ip"), c("_number")),
+        "is_sql_injection": security.sql_injection(c("_text")),
+        "is_cross_site": security.cross_site(c("_text")),
         "tenant": business.tenant(c("server_name")),
         "environment": business.environment(c("server_name")),
+        "entry_point": business.entry_point(c("server_name")),
+        "reputation": network.reputation(c("client_ip")),
         "process_ms": F.greatest(F.lit(0), c("header_ms") - c("connect_ms")),
         "backend_transfer_ms": F.greatest(F.lit(0), c("response_ms") - c("header_ms")),
         "front_ms": F.greatest(F.lit(0), ms - c("response_ms")),
@@ -60,6 +66,7 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         "cache_status": timing.cache_status(ms),
         "fingerprint": identity.fingerprint(c("client_ip"), c("user_agent")),
     }
+    kind, tier = identity.user_kind(c("sdk_type"))
     second = {
         "is_business_success": c("is_success") & (c("body_bytes") > 0),
         "has_anomaly": c("anomaly_type") != "",
@@ -72,21 +79,27 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         "client_type": agent.client_type(c("is_bot"), c("sdk_type")),
         "channel": agent.channel(c("platform")),
         "session_id": identity.slot_session(c("fingerprint"), c("log_time")),
-        "entry_point": business.entry_point(c("server_name")),
-        "risk_level": security.risk_level(c("risk_score")),
+        "risk_score": security.raw_risk(
+            network.is_tor(c("client_ip")),
+            network.is_vpn(c("client_ip")),
+            network.is_datacenter(c("client_ip")),
+            c("is_sql_injection"),
+            c("is_cross_site"),
+        ),
         "threat": F.when(c("is_sql_injection"), F.lit("sql_injection"))
         .when(c("is_cross_site"), F.lit("xss"))
         .otherwise(F.lit("")),
-        "reputation": network.reputation(c("client_ip")),
-        "user_type": identity.user_kind(c("sdk_type"))[0],
-        "user_tier": identity.user_kind(c("sdk_type"))[1],
+        "user_type": kind,
+        "user_tier": tier,
     }
     third = {
+        "risk_level": security.risk_level(c("risk_score")),
         "value_score": business.value_score(
-            c("business_domain"), c("api_group"), c("service"), c("status"), c("duration_ms")
-        )
+            c("business_domain"), c("api_group"), c("service"), c("status"), ms
+        ),
     }
-    return df.withColumns(first).withColumns(second).withColumns(third)
+    out = base.withColumns(first).withColumns(second).withColumns(third)
+    return out.drop("_agent", "_from", "_text", "_parts", "_number")
 
 
 def day_parts(df: DataFrame, ts: str = "log_time") -> DataFrame:

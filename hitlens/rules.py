@@ -2,11 +2,15 @@
 
 A rule list is plain data: ``[(label, regex), ...]``, first match wins. It becomes one
 ``CASE WHEN`` column, so classification stays inside whole-stage codegen.
+
+Regexes are the main cost of classifying log rows, so :func:`found` tests the literal text a
+pattern needs first (a plain byte search), and runs the regex only where that text occurs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,11 +18,94 @@ from pyspark.sql import functions as F
 Rules = Iterable[tuple[str, str]]
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """Top-level alternatives of a pattern, one pair of outer parentheses removed."""
+    if pattern.startswith("(") and not pattern.startswith("(?") and _group_end(pattern, 0) == len(pattern) - 1:
+        pattern = pattern[1:-1]
+    parts, start, i = [], 0, 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\":
+            i += 1
+        elif ch in "([":
+            i = _group_end(pattern, i)
+        elif ch == "|":
+            parts.append(pattern[start:i])
+            start = i + 1
+        i += 1
+    return [*parts, pattern[start:]]
+
+
+def _group_end(pattern: str, at: int) -> int:
+    """Index of the bracket that closes the one at ``at``."""
+    close, depth, i = {"(": ")", "[": "]"}[pattern[at]], 0, at
+    while i < len(pattern):
+        if pattern[i] == "\\":
+            i += 1
+        elif pattern[i] == pattern[at]:
+            depth += 1
+        elif pattern[i] == close:
+            depth -= 1
+            if depth == 0:
+                return i
+        i += 1
+    raise ValueError(f"unbalanced pattern: {pattern}")
+
+
+def _literals(part: str) -> tuple[list[str], bool]:
+    """Literal runs every match must contain, and whether the part is literal throughout."""
+    runs, run, plain, i = [], "", True, 0
+    while i < len(part):
+        ch = part[i]
+        if ch == "\\" and not part[i + 1].isalnum():
+            run, i = run + part[i + 1], i + 2
+            continue
+        if ch not in "\\.[]()*+?{}^$":
+            run, i = run + ch, i + 1
+            continue
+        plain = False
+        if ch in "*?{":
+            run = run[:-1]
+        runs.append(run)
+        run = ""
+        if ch in "([":
+            i = _group_end(part, i)
+        elif ch == "{":
+            i = part.index("}", i)
+        elif ch == "\\":
+            i += 1
+        i += 1
+    return [r for r in (*runs, run) if r], plain
+
+
+def found(subject: Column, pattern: str) -> Column:
+    """``subject`` contains a match of ``pattern``; same result as ``rlike``, usually much cheaper."""
+    if pattern.startswith("(?"):
+        return subject.rlike(pattern)
+    tests, regexes = [], []
+    for part in _alternatives(pattern):
+        runs, plain = _literals(part)
+        if plain and runs:
+            tests.append(subject.contains(runs[0]))
+        elif runs and part.startswith("^") and _literals(part[1:]) == (runs, True):
+            tests.append(subject.startswith(runs[0]))
+        elif runs and part.endswith("$") and _literals(part[:-1]) == (runs, True):
+            tests.append(subject.endswith(runs[0]))
+        elif runs:
+            needed = reduce(lambda a, b: a & b, [subject.contains(r) for r in dict.fromkeys(runs)])
+            tests.append(needed & subject.rlike(part))
+        else:
+            regexes.append(part)
+    if regexes:
+        tests.append(subject.rlike("|".join(regexes)))
+    return reduce(lambda a, b: a | b, tests)
+
+
 def first_match(subject: Column, rules: Rules, default: str | None = None) -> Column:
     """Label of the first rule whose regex is found in ``subject``."""
     out = None
     for label, pattern in rules:
-        test = subject.rlike(pattern)
+        test = found(subject, pattern)
         out = F.when(test, F.lit(label)) if out is None else out.when(test, F.lit(label))
     if out is None:
         return F.lit(default)
@@ -53,10 +140,20 @@ def lookup(key: Column, table: Mapping[str, object], default: object) -> Column:
 
 
 def starts_with_any(subject: Column, prefixes: Iterable[str]) -> Column:
-    """One anchored regex for a list of literal prefixes."""
-    return subject.rlike("^(" + "|".join(p.replace(".", r"\.") for p in prefixes) + ")")
+    """Any of a list of literal prefixes."""
+    return reduce(lambda a, b: a | b, [subject.startswith(p) for p in prefixes])
 
 
 def present(text: Column) -> Column:
     """Header text, or NULL where it is absent, empty or the ``-`` placeholder."""
     return F.when((text != "") & (text != "-"), text)
+
+
+def settled(df, columns: Mapping[str, Column], keep: Iterable[str]):
+    """Project ``keep`` and ``columns`` so that later filters cannot pull these expressions down.
+
+    A filter over costly columns is otherwise pushed below them and computes them twice. The
+    one-row generator is a plan boundary the optimizer keeps; it adds no shuffle.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))

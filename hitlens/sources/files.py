@@ -27,6 +27,15 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], *, glob: str | No
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a source with too few splits (one small file); no shuffle otherwise.
+
+    A large table has more splits than cores and passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_lines(lines: DataFrame, n: int = 5) -> DataFrame:
     """The first n lines of each file, numbered from 1; only first blocks take part."""
     spec = Window.partitionBy("source_file").orderBy("line_id")

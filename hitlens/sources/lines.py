@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from hitlens.functions.clock import wall_clock
 from hitlens.functions.uri import path, request_parts
+from hitlens.rules import settled
 
 HEADER_BYTES = 200
 
@@ -103,31 +104,35 @@ def parse_json(df: DataFrame) -> DataFrame:
     )
 
 
-TOKEN = r'(?<!\S)\w+:(?:"[^"]*"|[^\s"]\S*)'
+def _unquoted(token: Column, after: Column) -> Column:
+    return F.btrim(F.substr(token, after), F.lit('"'))
 
 
-def tokens(line: Column) -> Column:
-    """``key:"v"`` and ``key:v`` parts of a line, in one regex pass; keys start after white space."""
-    return F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))
+def padded(line: Column) -> Column:
+    """Line with white space as single blanks in front of every key, the first one included."""
+    return F.concat(F.lit(" "), F.translate(F.trim(line), "\t", " "))
 
 
-def _unquoted(token: Column, after: Column | int) -> Column:
-    return F.btrim(F.substr(token, after if isinstance(after, Column) else F.lit(after)), F.lit('"'))
+def pair_value(line: Column, keys: list[str]) -> Column:
+    """Raw value of the first of ``keys`` in a padded line, quoted form first; NULL if absent.
 
+    Plain byte searches: a quoted value ends at the next quote, a bare one at the next blank.
+    """
 
-def pair_value(found: Column, keys: list[str]) -> Column:
-    """Value of the first of ``keys`` among the tokens; NULL if absent or an empty placeholder."""
-    placeholders = EMPTY_VALUES + [f'"{e}"' for e in EMPTY_VALUES]
-
-    def of(key: str) -> Column:
-        at = len(key) + 2
+    def of(key: str) -> list[Column]:
+        quoted, bare = f' {key}:"', f" {key}:"
+        at, at_bare = F.instr(line, quoted), F.instr(line, bare)
+        return [
+            F.when(at > 0, F.substring_index(F.substr(line, at + len(quoted)), '"', 1)),
+            F.when(at_bare > 0, F.substring_index(F.substr(line, at_bare + len(bare)), " ", 1)),
+        ]
 
-        def wanted(t: Column) -> Column:
-            return t.startswith(key + ":") & ~F.substr(t, F.lit(at)).isin(*placeholders)
+    return F.coalesce(*[value for key in keys for value in of(key)])
 
-        return _unquoted(F.get(F.filter(found, wanted), F.lit(0)), at)
 
-    return F.coalesce(*[of(k) for k in keys])
+def _clean(name: str) -> Column:
+    """Value column, NULL for the empty placeholders."""
+    return F.when(~F.col(name).isin(*EMPTY_VALUES), F.col(name))
 
 
 def parse_pairs(df: DataFrame) -> DataFrame:
@@ -135,8 +140,10 @@ def parse_pairs(df: DataFrame) -> DataFrame:
 
     Sent bytes = body + 200; the upstream time is the whole duration, connect and header are 0.
     """
-    raw = df.filter(F.trim(_v()) != "").select(*_keep(df), tokens(_v()).alias("_tokens"))
-    raw = raw.select(*_keep(df), *[pair_value(F.col("_tokens"), k).alias(f"_{n}") for n, k in PAIR_KEYS.items()])
+    kept = _keep(df)
+    raw = df.filter(F.trim(_v()) != "").select(*kept, padded(_v()).alias("_line"))
+    raw = raw.select(*kept, *[pair_value(F.col("_line"), k).alias(f"_{n}") for n, k in PAIR_KEYS.items()])
+    raw = settled(raw, {f"_{n}": _clean(f"_{n}") for n in PAIR_KEYS}, kept)
     method, uri, protocol = request_parts(F.coalesce(F.col("_request"), F.lit("")))
     ms = millis(F.col("_duration"))
     code = F.col("_status").try_cast("int")
@@ -152,7 +159,7 @@ def parse_pairs(df: DataFrame) -> DataFrame:
         )
     )
     return raw.select(
-        *_keep(df),
+        *kept,
         wall_clock(F.col("_time")).alias("log_time"),
         F.coalesce("_real_ip", "_remote_addr").alias("client_ip"),
         F.col("_remote_addr").alias("remote_addr"),
@@ -187,16 +194,23 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(_is_rejected())
 
 
+def _groups(df: DataFrame, line: Column, pattern: str, n: int) -> DataFrame:
+    """Matching lines with all groups in one array column, so the pattern runs once per line."""
+    joined = F.regexp_replace(line, pattern, "\u0001".join(f"${i}" for i in range(1, n + 1)))
+    out = df.select(*_keep(df), F.when(line.rlike(pattern), joined).alias("_joined"))
+    return settled(out, {"_g": F.split("_joined", "\u0001")}, _keep(df)).filter("_g is not null")
+
+
 def parse_combined(df: DataFrame) -> DataFrame:
     """Combined format; other lines are dropped."""
 
     def group(i: int) -> Column:
-        return F.regexp_extract(_v(), COMBINED, i)
+        return F.get(F.col("_g"), F.lit(i - 1))
 
     method, uri, protocol = request_parts(group(4))
     stamp = F.regexp_replace(group(3), r" [+-]\d{4}$", "")
     zero = F.lit(0).cast("long")
-    return df.filter(_v().rlike(COMBINED)).select(
+    return _groups(df, _v(), COMBINED, 8).select(
         *_keep(df),
         F.try_to_timestamp(stamp, F.lit("dd/MMM/yyyy:HH:mm:ss")).alias("log_time"),
         group(1).alias("client_ip"),
@@ -219,14 +233,13 @@ def parse_combined(df: DataFrame) -> DataFrame:
 
 def parse_cdn(df: DataFrame) -> DataFrame:
     """CDN lines of 13 groups; other lines are dropped."""
-    line = F.trim(_v())
 
     def group(i: int) -> Column:
-        return F.regexp_extract(line, CDN, i)
+        return F.get(F.col("_g"), F.lit(i - 1))
 
     stamp = F.regexp_replace(group(1), r" [+-]\d{4}$", "")
     url = F.regexp_extract(group(6), r"^\w+\s+(https?://\S+)", 1)
-    return df.filter(line.rlike(CDN)).select(
+    return _groups(df, F.trim(_v()), CDN, 13).select(
         *_keep(df),
         F.try_to_timestamp(stamp, F.lit("d/MMM/yyyy:HH:mm:ss")).alias("log_time"),
         group(2).alias("client_ip"),
@@ -278,9 +291,9 @@ def parse_statistics(df: DataFrame) -> DataFrame:
     """Total, parsed, error and empty lines of a key:value source in one pass."""
     line = F.trim(_v())
     need = ("time", "remote_addr", "status")
-    parts = df.select(line.alias("value"), tokens(line).alias("_tokens"))
-    parts = parts.select("value", *[pair_value(F.col("_tokens"), PAIR_KEYS[n]).alias(n) for n in need])
-    found = {n: F.col(n) for n in need}
+    parts = df.select(line.alias("value"), padded(_v()).alias("_line"))
+    parts = parts.select("value", *[pair_value(F.col("_line"), PAIR_KEYS[n]).alias(n) for n in need])
+    found = {n: _clean(n) for n in need}
     complete = found["time"].isNotNull() & found["remote_addr"].isNotNull() & found["status"].isNotNull()
     empty = F.col("value") == ""
     out = parts.agg(

@@ -198,8 +198,8 @@ def _(spark, sf):
 
 @register(
     "l13_daily_errors",
-    f""", u AS (SELECT stat_hour, status, api_category, uri, count(*) AS n FROM hits WHERE NOT is_success GROUP BY ALL), l AS (SELECT stat_hour, status, api_category, {isum('n')} AS errors, string_agg(uri || '=' || n, ';' ORDER BY uri || '=' || n) AS uris FROM u GROUP BY 1, 2, 3),
-    k AS (SELECT stat_hour, status, api_category, {CLI} FROM hits WHERE NOT is_success GROUP BY 1, 2, 3) SELECT l.*, clients FROM l JOIN k USING (stat_hour, status, api_category)""",
+    f""", k AS (SELECT stat_hour, status, api_category, count(*) AS errors, {CLI} FROM hits WHERE NOT is_success GROUP BY 1, 2, 3)
+    SELECT stat_hour, status, api_category, uri, count(*) AS uri_errors, any_value(errors) AS errors, any_value(clients) AS clients FROM hits JOIN k USING (stat_hour, status, api_category) WHERE NOT is_success GROUP BY 1, 2, 3, 4""",
 )
 def _(spark, sf):
     return realtime.daily_errors(hits(spark, sf))

@@ -804,7 +804,7 @@ def _(spark, sf):
 @register("w11_error_gaps", _GAPS + " SELECT event_id, prev_log_time FROM l")
 def _(spark, sf):
     rows = hits(spark, sf).filter("is_error").select("uri", "log_time", "event_id")
-    out = sequence.with_previous(rows, ["uri"], ["log_time", "event_id"], ["log_time"], slice_of=F.to_date("log_time"))
+    out = sequence.with_previous(rows, ["uri"], ["log_time", "event_id"], ["log_time"], slice_of=F.date_trunc("hour", "log_time"))
     return out.select("event_id", "prev_log_time")
 
 

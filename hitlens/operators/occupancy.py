@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitlens.operators.sequence import prefix_sums
+
+CHUNK = 4096
+
 
 def occupancy(df: DataFrame, arrive: str, leave: str, bucket_seconds: int) -> DataFrame:
     """New, concurrent and active requests for every bucket [s, e) between first arrival and last completion.
@@ -46,13 +50,22 @@ def occupancy(df: DataFrame, arrive: str, leave: str, bucket_seconds: int) -> Da
     counts = marks.groupBy(F.col("m.slot").alias("slot")).agg(
         F.sum("m.came").alias("came"), F.sum("m.left").alias("gone"), F.sum("m.edge").alias("edge")
     )
-    dense = counts.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi")).alias("slot")
+    # every slot in between, in chunks, so that no row holds the whole range
+    edges = counts.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
+    chunks = edges.select(
+        "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / CHUNK), F.floor(F.col("hi") / CHUNK))).alias("chunk")
+    )
+    dense = chunks.select(
+        F.explode(
+            F.sequence(
+                F.greatest("lo", F.col("chunk") * CHUNK), F.least("hi", F.col("chunk") * CHUNK + (CHUNK - 1))
+            )
+        ).alias("slot")
     )
     full = dense.join(counts, "slot", "left").fillna(0, ["came", "gone", "edge"])
-    upto = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    arrived, completed = F.sum("came").over(upto), F.sum("gone").over(upto)
-    out = full.select(
+    summed = prefix_sums(full, "slot", ["came", "gone"], F.floor(F.col("slot") / CHUNK))
+    arrived, completed = F.col("upto_came"), F.col("upto_gone")
+    out = summed.select(
         "slot",
         F.col("came").alias("new_requests"),
         (arrived - completed).alias("concurrent"),

@@ -36,9 +36,15 @@ def share_of_total(df: DataFrame, value: str, name: str = "share", *, source: Da
 
 
 def share_in_group(df: DataFrame, by: Sequence[str], value: str, name: str = "share") -> DataFrame:
-    """Percentage of the group's total over already aggregated rows."""
-    total = F.sum(value).over(Window.partitionBy(*by))
-    return df.withColumn(name, F.col(value) * F.lit(100.0) / total)
+    """Percentage of the group's total over already aggregated rows.
+
+    The totals are joined back instead of a window over the group: a window would hold all rows of
+    a hot group in one task. Spark broadcasts the totals when it has seen that they are small.
+    """
+    totals = df.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(F.sum(value).alias("_total"))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(totals[f"_{k}"]) for k in by])
+    share = df[value] * F.lit(100.0) / totals["_total"]
+    return df.join(totals, same).select(*[df[n] for n in df.columns], share.alias(name))
 
 
 def stack_up(frames: Sequence[DataFrame]) -> DataFrame:

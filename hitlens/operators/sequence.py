@@ -23,14 +23,16 @@ def with_previous(
     prefix: str = "prev_",
 ) -> DataFrame:
     """Add ``prev_<carry>`` of the preceding row per key; order columns must be total per key."""
-    sliced = df.withColumn("_slice", slice_of)
     inner = Window.partitionBy(*by, "_slice").orderBy(*order)
-    rows = sliced.withColumn("_at", F.row_number().over(inner)).withColumns(
-        {f"_lag_{c}": F.lag(c).over(inner) for c in carry}
-    )
-    last = sliced.groupBy(*by, "_slice").agg(
-        F.max_by(F.struct(*carry), F.struct(*order)).alias("_last")
+    rows = df.withColumn("_slice", slice_of).withColumns(
+        {
+            "_at": F.row_number().over(inner),
+            "_more": F.lead(F.lit(1)).over(inner),
+            **{f"_lag_{c}": F.lag(c).over(inner) for c in carry},
+        }
     )
+    # the last row of a slice comes from the same window, so both branches share one shuffle
+    last = rows.filter(F.col("_more").isNull()).select(*by, "_slice", F.struct(*carry).alias("_last"))
     across = Window.partitionBy(*by).orderBy("_slice")
     before = last.select(*by, "_slice", F.lag("_last").over(across).alias("_before"))
     joined = rows.join(before, [*by, "_slice"], "left")
@@ -41,6 +43,23 @@ def with_previous(
     return joined.withColumns(picked).select(*df.columns, *picked)
 
 
+def prefix_sums(df: DataFrame, order: str, columns: Sequence[str], chunk: Column) -> DataFrame:
+    """Running sums ``upto_<column>`` over rows in order, without one task for all rows.
+
+    ``chunk`` must rise with ``order``: sums run inside each chunk and are lifted by the running
+    sum over the chunk totals, one row per chunk.
+    """
+    cut = df.withColumn("_chunk", chunk)
+    inner = Window.partitionBy("_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = cut.groupBy("_chunk").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(
+        "_chunk", *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_base_{c}") for c in columns]
+    )
+    out = cut.withColumns({f"_in_{c}": F.sum(c).over(inner) for c in columns}).join(bases, "_chunk")
+    return out.select(*df.columns, *[(F.col(f"_in_{c}") + F.col(f"_base_{c}")).alias(f"upto_{c}") for c in columns])
+
+
 def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Running sum over bucket rows (one row per time bucket, so few)."""
     spec = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -40,10 +40,10 @@ CATALOGUE = [
 def increments(df: DataFrame) -> DataFrame:
     """Growth of a counter at every sample; after a reset the new value counts whole.
 
-    Long series are split by day, with the last sample of the day before carried over.
+    Long series are split by hour, with the last sample of the hour before carried over.
     """
     seen = with_previous(
-        df.select(*SERIES, "ts", "value"), SERIES, ["ts", "value"], ["ts", "value"], slice_of=F.to_date("ts")
+        df.select(*SERIES, "ts", "value"), SERIES, ["ts", "value"], ["ts", "value"], slice_of=F.date_trunc("hour", "ts")
     )
     grown = (
         F.when(c("prev_value").isNull(), F.lit(0.0))

@@ -7,6 +7,7 @@ from hitlens.catalog import (  # noqa: F401
     rollup_queries,
     rows,
     source_queries,
+    variant_queries,
 )
 from hitlens.catalog.base import ORACLES, QUERIES
 from hitlens.catalog.generic_queries import flagship  # noqa: F401

@@ -733,9 +733,9 @@ def _(spark, sf):
 @register(
     "a42_top_error_interfaces",
     A41_SQL
-    + """, c1 AS (SELECT CAST(row_number() OVER (ORDER BY errors DESC, uri) AS INT) AS rank, uri AS count_uri, errors AS count_errors FROM ie),
-    c2 AS (SELECT CAST(row_number() OVER (ORDER BY error_rate DESC, uri) AS INT) AS rank, uri AS rate_uri, error_rate AS rate_error_rate FROM ie WHERE requests >= 100),
-    c3 AS (SELECT CAST(row_number() OVER (ORDER BY clients DESC, uri) AS INT) AS rank, uri AS clients_uri, clients AS clients_clients FROM ie)
+    + """, c1 AS (SELECT CAST(row_number() OVER (ORDER BY errors DESC, uri) AS INT) AS rank, uri AS count_uri, errors::DOUBLE AS count_value FROM ie),
+    c2 AS (SELECT CAST(row_number() OVER (ORDER BY error_rate DESC, uri) AS INT) AS rank, uri AS rate_uri, error_rate AS rate_value FROM ie WHERE requests >= 100),
+    c3 AS (SELECT CAST(row_number() OVER (ORDER BY clients DESC, uri) AS INT) AS rank, uri AS clients_uri, clients::DOUBLE AS clients_value FROM ie)
     SELECT * FROM (SELECT * FROM c1 WHERE rank <= 10) FULL JOIN (SELECT * FROM c2 WHERE rank <= 10) USING (rank) FULL JOIN (SELECT * FROM c3 WHERE rank <= 10) USING (rank)""",
 )
 def _(spark, sf):

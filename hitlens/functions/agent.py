@@ -133,3 +133,26 @@ def channel(platform_: Column) -> Column:
         .when(platform_ == "Bot/Spider", F.lit("automated"))
         .otherwise(F.lit("web"))
     )
+
+
+def compact(agent: Column) -> dict[str, Column]:
+    """The compact class scheme: platform, device, browser, system, bot kind and version."""
+    text = _lower(agent)
+    browser_ = (
+        F.when(text.contains("chrome") & ~text.contains("edg"), F.lit("Chrome"))
+        .when(text.contains("firefox"), F.lit("Firefox"))
+        .when(text.contains("safari") & ~text.contains("chrome"), F.lit("Safari"))
+        .when(text.contains("edg"), F.lit("Edge"))
+        .when(text.contains("opera"), F.lit("Opera"))
+        .otherwise(F.lit("Other"))
+    )
+    versions = [r"OS (\d+[_\.]\d+)", r"Android (\d+\.\d+)", r"Chrome/(\d+\.\d+)"]
+    version = F.coalesce(*[F.nullif(F.regexp_extract(agent, v, 1), F.lit("")) for v in versions], F.lit(""))
+    return {
+        "platform": _unless_empty(agent, "Unknown", first_match(text, K.COMPACT_PLATFORM, "Other")),
+        "device": _unless_empty(agent, "Unknown", first_match(text, K.COMPACT_DEVICE, "Desktop")),
+        "browser": _unless_empty(agent, "Unknown", browser_),
+        "system": _unless_empty(agent, "Unknown", first_match(text, K.COMPACT_SYSTEM, "Other")),
+        "bot_kind": first_match(text, K.COMPACT_BOT, ""),
+        "version": F.translate(version, "_", "."),
+    }

@@ -145,3 +145,12 @@ def risk_label(bot: Column, connections: Column, error: Column, internal: Column
     )
     score = F.when(internal, F.greatest(F.lit(0), score - 20)).otherwise(score)
     return F.when(score >= 70, F.lit("High")).when(score >= 40, F.lit("Medium")).otherwise(F.lit("Low"))
+
+
+def by_prefix(ip: Column, table: dict[str, Sequence[str]], default: str = "Other") -> Column:
+    """Label of the first prefix list that holds the address."""
+    out = None
+    for label, prefixes in table.items():
+        test = starts_with_any(ip, prefixes)
+        out = F.when(test, F.lit(label)) if out is None else out.when(test, F.lit(label))
+    return F.when(ip.isNull() | (ip == ""), F.lit("Unknown")).otherwise(out.otherwise(F.lit(default)))

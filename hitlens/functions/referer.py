@@ -91,3 +91,16 @@ def domain_type(referer: Column) -> Column:
         .when(host.rlike("news|xinhua|people|cctv"), F.lit("news"))
         .otherwise(F.lit("general"))
     )
+
+
+def compact(referer: Column, agent: Column) -> dict[str, Column]:
+    """The compact class scheme: entry source (crawlers apart), search engine, social network."""
+    text = F.lower(referer)
+    crawler = first_match(F.lower(agent), K.COMPACT_BOT, None).isNotNull()
+    return {
+        "entry": F.when(present(referer).isNull() & crawler, F.lit("Bot"))
+        .when(present(referer).isNull(), F.lit("Direct"))
+        .otherwise(first_match(text, K.COMPACT_ENTRY, "External")),
+        "engine": first_match(text, K.COMPACT_SEARCH, ""),
+        "network": first_match(text, K.COMPACT_SOCIAL, ""),
+    }

@@ -132,3 +132,14 @@ def sla_violation(status: Column, ms: Column, slow_ms: int = 3000) -> Column:
         .when(~success(status), F.lit("availability"))
         .otherwise(F.lit(""))
     )
+
+
+def anomaly_codes(status: Column, ms: Column, uri: Column, *, slow_ms: int = 5000, long_uri: int = 500) -> Column:
+    """Codes of slow answers, over-long URIs and server errors as an array."""
+    return F.array_compact(
+        F.array(
+            F.when(ms > slow_ms, F.lit("slow_response")),
+            F.when(F.length(uri) > long_uri, F.lit("suspicious_uri_length")),
+            F.when(code(status) >= 500, F.lit("server_error")),
+        )
+    )

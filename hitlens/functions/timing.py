@@ -179,3 +179,9 @@ def monotone(connect: Column, header: Column, response: Column, total: Column) -
     h = F.greatest(header, connect)
     r = F.greatest(response, h)
     return h, r, F.greatest(total, r)
+
+
+def coarse_experience(ms: Column) -> tuple[Column, Column]:
+    """Experience and Apdex class with the coarse cut-offs 100 / 1000 / 3000 / 10000 ms."""
+    steps = [(100, "Excellent"), (1000, "Good"), (3000, "Fair"), (10000, "Poor")]
+    return ladder(ms, steps, "Unacceptable"), ladder(ms, [(1000, "Satisfied"), (3000, "Tolerating")], "Frustrated")

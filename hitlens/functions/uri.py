@@ -163,3 +163,31 @@ def operation(uri: Column) -> Column:
 
 def journey_stage(uri: Column) -> Column:
     return F.when(uri == "", F.lit(UNKNOWN)).otherwise(first_match(F.lower(uri), K.JOURNEY_STAGE, "active"))
+
+
+def keyword_class(uri: Column) -> dict[str, Column]:
+    """Category, module and importance by the first keyword in the path."""
+    text = F.lower(uri)
+    out: dict[str, Column] = {}
+    for i, name in enumerate(("category", "module", "importance")):
+        chosen = None
+        for keyword, *labels in K.KEYWORD_CATEGORY:
+            test, label = text.contains(keyword), F.lit(labels[i])
+            chosen = F.when(test, label) if chosen is None else chosen.when(test, label)
+        out[name] = chosen.otherwise(F.lit({"category": "general", "module": "unknown", "importance": "Medium"}[name]))
+    return out
+
+
+def features(uri: Column) -> dict[str, Column]:
+    """Length, query flag and size, slashes, file extension of a URI."""
+    extension = F.regexp_extract(path(uri), r"\.([a-zA-Z0-9]+)$", 1)
+    named = F.filter(F.split(query(uri), "&"), lambda p: p.rlike("^[^=]+=.+"))
+    names = F.array_distinct(F.transform(named, lambda p: F.substring_index(p, "=", 1)))
+    return {
+        "uri_length": F.length(uri),
+        "has_query": F.contains(uri, F.lit("?")),
+        "query_count": F.size(names),
+        "slashes": F.regexp_count(uri, F.lit("/")),
+        "has_extension": extension != "",
+        "extension": extension,
+    }

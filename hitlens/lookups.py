@@ -380,3 +380,95 @@ PATH_CLASS = [
     ("Image", r"\.(jpg|png|gif|ico|svg)$"),
     ("Asset", r"\.(css|js)$"),
 ]
+
+# --- fixed values: compact scheme of client, referer and request classes
+COMPACT_PLATFORM = [
+    ("iOS_SDK", r"wst-sdk-ios|zgt-ios/|ios.*sdk|cfnetwork.*darwin|ios/\d+\.\d+"),
+    ("Android_SDK", r"wst-sdk-android|zgt-android/|android.*sdk|okhttp|retrofit"),
+    ("Java_SDK", r"wst-sdk-java|java.*sdk|apache-httpclient|java/\d+\.\d+"),
+    ("iOS", r"iphone|ipad|ipod|ios \d+\.\d+|mobile/\w+|version/\d+\.\d+ mobile.*safari"),
+    ("Android", r"android \d+\.\d+|android;|linux.*android|mobile.*chrome.*android|version.*mobile safari.*android"),
+    ("macOS", r"macintosh.*mac os x|macos|darwin.*safari|version.*safari.*macintosh"),
+    ("Windows", r"windows nt \d+\.\d+|windows \d+|win64|trident|msie|edge"),
+    ("Web", r"chrome/\d+|firefox/\d+|safari/\d+|edge/\d+|opera/\d+"),
+    ("Bot", r"bot|spider|crawler|curl|wget|facebookexternalhit|twitterbot|linkedinbot"),
+]
+COMPACT_DEVICE = [
+    ("Mobile", r"iphone|android|mobile"),
+    ("Tablet", r"ipad|tablet"),
+    ("TV", r"tv|smart-tv"),
+    ("Bot", r"bot|crawler|spider"),
+]
+COMPACT_SYSTEM = [
+    ("Windows", r"windows"),
+    ("macOS", r"mac os"),
+    ("Android", r"android"),
+    ("iOS", r"iphone|ipad"),
+    ("Linux", r"linux"),
+]
+COMPACT_BOT = [
+    ("Search Engine", r"googlebot|bingbot|baiduspider|yandexbot"),
+    ("Social Media", r"facebookexternalhit|twitterbot|linkedinbot"),
+    ("Monitoring", r"pingdom|uptimerobot|nagios"),
+    ("Generic", r"bot|spider|crawler"),
+]
+COMPACT_ENTRY = [
+    ("Search_Engine", r"google|baidu|bing|yahoo"),
+    ("Social_Media", r"weibo|qq|wechat|douyin|facebook|twitter"),
+    ("Internal", r"wechat|weixin"),
+]
+COMPACT_SEARCH = [("Google", r"google"), ("Baidu", r"baidu"), ("Bing", r"bing"), ("Yahoo", r"yahoo")]
+COMPACT_SOCIAL = [
+    ("WeChat", r"weixin|wechat"),
+    ("Weibo", r"weibo"),
+    ("QQ", r"qq\.com|qzone"),
+    ("Douyin", r"douyin|tiktok"),
+    ("Facebook", r"facebook"),
+    ("Twitter", r"twitter|t\.co"),
+]
+COMPACT_CATEGORY = [
+    ("User_Auth", r"/api/.*/auth|/api/.*/login|/api/.*/register|/api/.*/logout|/oauth|/sso"),
+    ("Business_Core", r"/api/.*/order|/api/.*/payment|/api/.*/business|/api/.*/transaction|/api/.*/core"),
+    ("System_Config", r"/api/.*/config|/api/.*/settings|/api/.*/admin|/api/.*/system|/api/.*/management"),
+    ("Data_Query", r"/api/.*/query|/api/.*/search|/api/.*/list|/api/.*/get|/api/.*/find"),
+    ("File_Upload", r"/api/.*/upload|/api/.*/file|/api/.*/attachment|/api/.*/media|/api/.*/document"),
+    (
+        "Static_Resource",
+        r"\.(css|js|png|jpg|jpeg|gif|ico|woff|woff2|ttf|svg|mp4|pdf)$|/static/|/assets/|/resources/",
+    ),
+    ("Health_Check", r"/health|/ping|/status|/heartbeat|/actuator|/metrics"),
+]
+# keyword scheme: keyword, category, module, importance
+KEYWORD_CATEGORY = [
+    ("login", "auth", "user", "Critical"),
+    ("logout", "auth", "user", "High"),
+    ("register", "auth", "user", "Critical"),
+    ("search", "search", "search", "High"),
+    ("calendar", "calendar", "calendar", "Medium"),
+    ("upload", "file", "upload", "High"),
+    ("download", "file", "download", "Medium"),
+    ("gxrz", "gxrz", "gxrz", "High"),
+    ("zgt", "zgt", "zgt", "High"),
+    ("api", "api", "general", "Medium"),
+    ("group", "static", "cdn", "Low"),
+]
+REGION_PREFIXES = {
+    "北京": ["10.", "172.16.", "192.168.", "110.", "111."],
+    "上海": ["121.", "180.", "221.", "222."],
+    "广州": ["113.", "14.", "223.", "59."],
+    "深圳": ["119.", "183.", "224.", "58."],
+    "杭州": ["115.", "60.", "101.", "125."],
+    "成都": ["118.", "61.", "171.", "182."],
+}
+ISP_PREFIXES = {
+    "电信": ["202.", "218.", "222.", "61.", "180."],
+    "联通": ["210.", "221.", "123.", "125.", "140."],
+    "移动": ["211.", "223.", "183.", "117.", "139."],
+    "教育网": ["202.112.", "166.111.", "219."],
+    "广电网": ["117.", "183."],
+}
+CARRIER_RANGES = {
+    "China Telecom": ["1.0.", "1.1.", "14.", "27.", "36.", "42.", "49.", "58.", "59.", "60.", "61."],
+    "China Unicom": ["10.", "112.", "113.", "114.", "115.", "116.", "117.", "118.", "119.", "120.", "121."],
+    "China Mobile": ["39.", "111.", "183.", "211.", "218.", "221.", "222."],
+}

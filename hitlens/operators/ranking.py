@@ -57,13 +57,28 @@ def label_order(label: Column, order: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(x) for x in order]), label)
 
 
-def side_by_side(lists: dict[str, DataFrame], key: str = "rank") -> DataFrame:
-    """Ranked lists next to each other, full outer join on the rank."""
-    renamed = [
-        frame.select(key, *[F.col(c).alias(f"{name}_{c}") for c in frame.columns if c != key])
-        for name, frame in lists.items()
+def top_lists(df: DataFrame, lists: dict[str, Column], keep: Sequence[str], k: int, tie: Sequence[str]) -> DataFrame:
+    """Several top-k lists of one table in a single pass: (list, rank, value, *keep).
+
+    ``lists`` maps a list name to the value it ranks by (descending); NULL keeps a row out.
+    """
+    entries = F.array(
+        *[F.struct(F.lit(name).alias("list"), value.cast("double").alias("value")) for name, value in lists.items()]
+    )
+    rows = df.select(*keep, F.explode(entries).alias("_e")).select(*keep, "_e.list", "_e.value")
+    return top_per_group(
+        rows.filter(F.col("value").isNotNull()), ["list"], [F.desc("value"), *[F.asc(t) for t in tie]], k
+    )
+
+
+def side_by_side(ranked: DataFrame, names: Sequence[str], item: str) -> DataFrame:
+    """Ranked lists next to each other, one row per rank (a pivot over the few kept rows, no join)."""
+    columns = [
+        F.max(F.when(F.col("list") == name, F.col(source))).alias(f"{name}_{label}")
+        for name in names
+        for source, label in ((item, item), ("value", "value"))
     ]
-    return reduce(lambda a, b: a.join(b, key, "full"), renamed)
+    return ranked.groupBy("rank").agg(*columns)
 
 
 def latest(df: DataFrame, by: Sequence[str], version: str) -> DataFrame:

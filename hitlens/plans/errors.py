@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.operators.measures import flag, mean, rate, summarise
-from hitlens.operators.ranking import ranked_top, side_by_side, top_per_group
+from hitlens.operators.ranking import side_by_side, top_lists, top_per_group
 from hitlens.operators.sequence import with_previous
 
 CRITICAL = ["500", "502", "503", "504"]
@@ -40,16 +40,13 @@ def interfaces(df: DataFrame) -> DataFrame:
 
 def top_interfaces(report: DataFrame, *, k: int = 10, min_requests: int = 100) -> DataFrame:
     """Three top lists next to each other: error count, error rate (busy interfaces only), clients."""
+    c = F.col
     lists = {
-        "count": ranked_top(report.select("uri", "errors"), [F.desc("errors"), F.asc("uri")], k),
-        "rate": ranked_top(
-            report.filter(F.col("requests") >= min_requests).select("uri", "error_rate"),
-            [F.desc("error_rate"), F.asc("uri")],
-            k,
-        ),
-        "clients": ranked_top(report.select("uri", "clients"), [F.desc("clients"), F.asc("uri")], k),
+        "count": c("errors"),
+        "rate": F.when(c("requests") >= min_requests, c("error_rate")),
+        "clients": c("clients"),
     }
-    return side_by_side(lists)
+    return side_by_side(top_lists(report, lists, ["uri"], k, ["uri"]), list(lists), "uri")
 
 
 def _listed(ranked: DataFrame, by: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hitlens.functions import uri as uri_functions
 from hitlens.operators.measures import flag, mean, rate, summarise
-from hitlens.operators.ranking import ranked_top, stack_up
+from hitlens.operators.ranking import stack_up, top_lists
 from hitlens.rules import descend
 
 c = F.col
@@ -207,30 +207,39 @@ def dashboard_totals(df: DataFrame, hour: str) -> DataFrame:
 
 
 def slow_and_hot(percentiles: DataFrame, *, n: int = 10) -> DataFrame:
-    """Top slow paths and top hot paths in one table with rank."""
+    """Top slow paths and top hot paths in one table with rank, one pass."""
     cols = ["path_group", "platform", "stat_hour", "requests", "success_rate", "p95"]
-    base = percentiles.select(*cols)
-    tie = [F.asc("path_group"), F.asc("platform"), F.asc("stat_hour")]
-    slow = ranked_top(base, [F.desc("p95"), *tie], n, "position").withColumn("kind", F.lit("slow"))
-    hot = ranked_top(base, [F.desc("requests"), *tie], n, "position").withColumn("kind", F.lit("hot"))
-    return stack_up([slow, hot])
+    lists = {"slow": c("p95"), "hot": c("requests")}
+    ranked = top_lists(percentiles, lists, cols, n, ["path_group", "platform", "stat_hour"])
+    return ranked.select(*cols, c("rank").alias("position"), c("list").alias("kind"))
 
 
 def anomalies(percentiles: DataFrame, health: DataFrame) -> DataFrame:
     """Error rate over 5 %, p95 over 3 s, upstream health under 80, with severity."""
 
-    def part(frame: DataFrame, kind: str, value: str, what: str, where: str, severity: Column) -> DataFrame:
-        return frame.select(
-            "stat_hour", c(what).alias("subject"), c(where).alias("scope"), F.lit(kind).alias("kind"),
-            c(value).cast("double").alias("value"), severity.alias("severity"),
+    def rule(test: Column, kind: str, value: str, severity: Column) -> Column:
+        found = F.struct(
+            F.lit(kind).alias("kind"), c(value).cast("double").alias("value"), severity.alias("severity")
         )
-
+        return F.when(test, found)
+
+    def part(frame: DataFrame, subject: str, scope: str, rules: list[Column]) -> DataFrame:
+        fired = frame.select(
+            "stat_hour",
+            c(subject).alias("subject"),
+            c(scope).alias("scope"),
+            F.explode(F.array_compact(F.array(*rules))).alias("r"),
+        )
+        return fired.select("stat_hour", "subject", "scope", "r.kind", "r.value", "r.severity")
+
+    slow_level = descend(c("p95"), [(10000, "CRITICAL"), (5000, "WARNING")], "OK")
+    apis = [
+        rule(c("error_rate") > 5, "high_error_rate", "error_rate", descend(c("error_rate"), [(10, "CRITICAL")], "WARNING")),
+        rule(c("p95") > 3000, "high_response_time", "p95", slow_level),
+    ]
+    upstreams = [rule(c("health") < 80, "low_health", "health", c("alert"))]
     return stack_up(
-        [
-            part(percentiles.filter("error_rate > 5"), "high_error_rate", "error_rate", "path_group", "platform", descend(c("error_rate"), [(10, "CRITICAL")], "WARNING")),
-            part(percentiles.filter("p95 > 3000"), "high_response_time", "p95", "path_group", "platform", descend(c("p95"), [(10000, "CRITICAL"), (5000, "WARNING")], "OK")),
-            part(health.filter("health < 80"), "low_health", "health", "upstream_addr", "service", c("alert")),
-        ]
+        [part(percentiles, "path_group", "platform", apis), part(health, "upstream_addr", "service", upstreams)]
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hitlens.catalog.base import access, hits, pct, register, table
+from hitlens.catalog.reports import A1_SQL, SLOW_SQL
 from hitlens.operators import filters, measures, ranking, sampling, sequence
 from hitlens.plans import api, insight, metrics, slow
 from hitlens.rules import lookup
@@ -223,7 +224,7 @@ def _(spark, sf):
     return sampling.weighted(table(spark, sf, "events").select("event_id", "event_type"), weight, "event_id", 200).select("event_id")
 
 
-@register("k07_slow_sample")
+@register("k07_slow_sample", SLOW_SQL + f" SELECT event_id, cause, severity, weight FROM diag ORDER BY -ln({_U}) / weight, event_id LIMIT 500")
 def _(spark, sf):
     found = slow.diagnose(hits(spark, sf))
     return sampling.weighted(found, c("weight"), "event_id", 500).select("event_id", "cause", "severity", "weight")
@@ -400,7 +401,12 @@ def _(spark, sf):
     return flagship(spark, sf)
 
 
-@register("a03_largest_phase")
+@register(
+    "a03_largest_phase",
+    A1_SQL
+    + """ SELECT uri, greatest(share_connect_ms, share_process_ms, share_backend_transfer_ms, share_front_ms) AS share, CASE greatest(share_connect_ms, share_process_ms, share_backend_transfer_ms, share_front_ms)
+    WHEN share_connect_ms THEN 'connect_ms' WHEN share_process_ms THEN 'process_ms' WHEN share_backend_transfer_ms THEN 'backend_transfer_ms' ELSE 'front_ms' END AS bottleneck FROM api""",
+)
 def _(spark, sf):
     return api.largest_phase(api.api_performance(hits(spark, sf)))
 

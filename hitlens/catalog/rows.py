@@ -91,7 +91,7 @@ def _(spark, sf):
 
 @register(
     "e07_uri_structure",
-    """SELECT event_id, application, service, module, depth AS path_depth,
+    """SELECT event_id, application, service, module, CAST(depth AS INT) AS path_depth,
     CASE WHEN depth >= 4 AND application NOT IN ('zgt-h5', 'group1') THEN seg[4] ELSE '' END AS endpoint FROM hits""",
 )
 def _(spark, sf):

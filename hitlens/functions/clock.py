@@ -62,8 +62,9 @@ def arrival(completed: Column, duration_ms: Column) -> Column:
 
 def wall_clock(text: Column) -> Column:
     """ISO text with its offset removed (not converted), NULL if unreadable."""
-    plain = F.replace(F.regexp_replace(text, r"[+-]\d{2}:\d{2}$", ""), F.lit("T"), F.lit(" "))
-    return F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss"))
+    plain = F.replace(F.substring(text, 1, 19), F.lit("T"), F.lit(" "))
+    form = text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}([+-]\d{2}:\d{2})?$")
+    return F.when(form, plain.try_cast("timestamp"))
 
 
 def bucket(ts: Column, grain: str) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 By = Sequence[str] | Mapping[str, Column]
@@ -88,6 +88,66 @@ def summarise(
     return out.select(*plain, *points)
 
 
+def wide_quantiles(df: DataFrame, by: By, quantiles: Mapping[str, tuple[Column, Mapping[str, float]]]) -> DataFrame:
+    """Exact quantiles of measures with unbounded domains, such as speeds, one row per group.
+
+    :func:`summarise` hands all distinct values of a group to one task; here no task sees more than
+    one slice of them. Values are counted, cut into logarithmic slices (a fixed, order-keeping
+    function of the value), ranked inside their slice and lifted by the counts of lower slices.
+    """
+    keys = keys_of(by)
+    entries = F.array(
+        *[F.struct(F.lit(name).alias("m"), value.cast("double").alias("v")) for name, (value, _) in quantiles.items()]
+    )
+    rows = df.select(*[k.alias(n) for n, k in keys.items()], F.explode(entries).alias("_e"))
+    group = [*keys, "_m"]
+    counts = (
+        rows.select(*keys, F.col("_e.m").alias("_m"), F.col("_e.v").alias("_v"))
+        .filter("_v is not null")
+        .groupBy(*group, "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_slice", _slice(F.col("_v")))
+    )
+    upto = Window.unboundedPreceding
+    inner = Window.partitionBy(*group, "_slice").orderBy("_v").rowsBetween(upto, Window.currentRow)
+    ranked = counts.withColumn("_in", F.sum("_n").over(inner))
+    lower = Window.partitionBy(*group).orderBy("_slice").rowsBetween(upto, -1)
+    slices = counts.groupBy(*group, "_slice").agg(F.sum("_n").alias("_s"))
+    slices = slices.select(
+        *[F.col(g).alias(f"{g}_r") for g in group],
+        F.col("_slice").alias("_slice_r"),
+        F.coalesce(F.sum("_s").over(lower), F.lit(0)).alias("_base"),
+        F.sum("_s").over(Window.partitionBy(*group)).alias("_all"),
+    )
+    same = F.col("_slice") == F.col("_slice_r")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"{g}_r"))
+    joined = ranked.join(slices, same).withColumn("_cum", F.col("_base") + F.col("_in"))
+    picks, out = [], []
+    for m, (_, wanted) in quantiles.items():
+        for name, p in wanted.items():
+            at = (F.col("_all") - 1) * F.lit(float(p))
+            mine = F.col("_m") == m
+
+            def value_at(rank: Column) -> Column:
+                return F.max(F.when(mine & (rank >= F.col("_cum") - F.col("_n")) & (rank < F.col("_cum")), F.col("_v")))
+
+            picks += [
+                value_at(F.floor(at)).alias(f"_lo_{name}"),
+                value_at(F.ceil(at)).alias(f"_hi_{name}"),
+                F.max(F.when(mine, at - F.floor(at))).alias(f"_f_{name}"),
+            ]
+            lo, hi, part = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_f_{name}")
+            out.append(F.round(lo + (hi - lo) * part, 6).alias(name))
+    return joined.groupBy(*keys).agg(*picks).select(*keys, *out)
+
+
+def _slice(value: Column) -> Column:
+    """Order-keeping slice number: 1000 slices per factor e on either side of zero."""
+    size = F.floor(F.ln(F.abs(value)) * 1000) + 1_000_000
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))
+
+
 def _direct(sums: Iterable[str], mins: Iterable[str], maxs: Iterable[str]) -> list[Column]:
     return (
         [F.sum(f"_v_{n}").alias(n) for n in sums]

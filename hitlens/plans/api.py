@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.functions import timing
-from hitlens.operators.measures import flag, mean, rate, summarise
+from hitlens.operators.measures import flag, mean, rate, summarise, wide_quantiles
 from hitlens.operators.ranking import top_per_group
 from hitlens.rules import descend
 from hitlens.schema import DEFAULTS, Thresholds
@@ -73,13 +73,12 @@ def api_transfer(df: DataFrame, *, exact: bool = True) -> DataFrame:
         (m["backend_efficiency"] / 100).alias("efficiency"),
     )
     names = ["response_speed", "total_speed", "connection_cost", "efficiency"]
-    out = summarise(
-        rows,
-        ["uri"],
-        sums={"requests": F.lit(1), **{f"sum_{n}": F.col(n) for n in names}},
-        quantiles=[(F.col(n), {f"p10_{n}": 0.1, f"p90_{n}": 0.9}) for n in names],
-        exact=exact,
-    )
+    points = {n: (F.col(n), {f"p10_{n}": 0.1, f"p90_{n}": 0.9}) for n in names}
+    sums = {"requests": F.lit(1), **{f"sum_{n}": F.col(n) for n in names}}
+    if exact:
+        out = summarise(rows, ["uri"], sums=sums).join(wide_quantiles(rows, ["uri"], points), "uri")
+    else:
+        out = summarise(rows, ["uri"], sums=sums, quantiles=list(points.values()), exact=False)
     out = out.withColumns({f"avg_{n}": F.round(F.col(f"sum_{n}") / F.col("requests"), 6) for n in names})
     grade = descend(
         F.col("avg_efficiency"), [(0.8, "优秀"), (0.6, "良好"), (0.4, "一般"), (0.2, "较差")], "很差", strict=False

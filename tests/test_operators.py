@@ -109,6 +109,19 @@ def test_summarise_hot_key(spark):
     assert "hashpartitioning(k#" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_wide_quantiles(spark):
+    r = random.Random(3)
+    data = [(k, r.choice([-1, 0, 1, 1]) * 10 ** r.uniform(-6, 9)) for k in ("a", "b", None) for _ in range(r.randrange(1, 200))]
+    df = spark.createDataFrame([*data, ("a", None)], "k string, v double")
+    points = {"p0": 0.0, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    got = measures.wide_quantiles(df, ["k"], {"v": (F.col("v"), points)})
+    want = measures.summarise(df, ["k"], quantiles=[(F.col("v"), points)])
+    key = lambda row: str(row["k"])
+    for a, b in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key), strict=True):
+        for name in points:
+            assert a[name] == pytest.approx(b[name], rel=1e-9, abs=1e-6)
+
+
 def test_summarise_nulls_and_empty(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, v int")
     out = {r["k"]: r for r in measures.summarise(df, ["k"], sums={"n": F.lit(1)}, quantiles=[(F.col("v"), {"p": 0.5})], distinct={"d": F.col("v")}).collect()}

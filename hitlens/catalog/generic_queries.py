@@ -103,6 +103,12 @@ def _(spark, sf):
     return ranking.top(li, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")], 25)
 
 
+@register("w04_ranked_top", "SELECT p_partkey, p_retailprice, CAST(row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS INT) AS rank FROM part QUALIFY rank <= 10", raw=True)
+def _(spark, sf):
+    parts = table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    return ranking.ranked_top(parts, [F.desc("p_retailprice"), F.asc("p_partkey")], 10)
+
+
 @register("t02_top_per_group", "SELECT * FROM (SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS INT) AS rank FROM orders) WHERE rank <= 5", raw=True)
 def _(spark, sf):
     o = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")

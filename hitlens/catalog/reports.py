@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.catalog.base import access, hits, pct, q, register, sql_case, table
+from hitlens.catalog.base import ORACLES, access, hits, pct, register, sql_case, table
 from hitlens.functions import clock
-from hitlens.operators import measures, occupancy, ranking, sequence
+from hitlens.operators import measures, occupancy, sequence
 from hitlens.plans import api, cdn, clients, errors, headers, service, slow, stability, status, summary, timeline
 
 c = F.col
@@ -107,8 +107,6 @@ def _(spark, sf):
     return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 6) for m in ("l_quantity", "l_discount")})
 
 
-from hitlens.catalog.base import ORACLES  # noqa: E402
-
 ORACLES["a52_describe_lineitem"] = (
     _describe_sql("l_returnflag", ["l_quantity", "l_discount"], "lineitem")
     .replace("avg(l_quantity)", "round(avg(l_quantity), 6)")

@@ -9,16 +9,15 @@ from hitlens.catalog.base import (
     _IP,
     access,
     hits,
-    pct,
     q,
     register,
     sql_case,
     sql_map,
-    sql_networks,
     sql_prefix,
     table,
 )
 from hitlens.functions import agent, business, clock, identity, network, quality, referer, security, status, timing, uri
+from hitlens.plans.enrich import day_parts
 
 c = F.col
 
@@ -660,13 +659,13 @@ def _(spark, sf):
     FROM hits""",
 )
 def _(spark, sf):
-    h, w = F.hour("log_time"), F.weekday("log_time") + 1
+    df = day_parts(access(spark, sf))
     return _cols(
-        access(spark, sf),
-        period=clock.day_period(h),
-        business_hours=clock.business_hours(w, h),
-        pattern=clock.traffic_pattern(w, h),
-        business_period=clock.business_period(h),
+        df,
+        period=c("day_period"),
+        business_hours=c("business_hours_type"),
+        pattern=c("traffic_pattern"),
+        business_period=clock.business_period(c("hour")),
     )
 
 

@@ -184,7 +184,7 @@ def _(spark, sf):
 @register("s17_retention", "SELECT count(*) AS kept FROM access WHERE CAST(log_time AS DATE) >= DATE '2024-01-24'")
 def _(spark, sf):
     df = access(spark, sf).withColumn("date", F.to_date("log_time"))
-    return sinks.retain(df, "date", 7, date(2024, 1, 31)).agg(F.count(F.lit(1)).alias("kept"))
+    return sinks.retain(df, "date", "ranking_short", date(2024, 1, 31)).agg(F.count(F.lit(1)).alias("kept"))
 
 
 @register("s18_delete_range", "SELECT CAST(log_time AS DATE) AS date, count(*) AS kept FROM access WHERE CAST(log_time AS DATE) NOT BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' GROUP BY 1")

@@ -11,7 +11,6 @@ from hitlens.rules import descend, lookup
 from hitlens.schema import DEFAULTS, Thresholds
 
 SEVERITIES = ["极严重", "严重", "中度", "轻度"]
-PERIODS = ["高峰期", "平峰期", "低峰期"]
 # --- fixed values: diagnosis weights
 SEVERITY_WEIGHT = {"极严重": 4.0, "严重": 3.0, "中度": 2.0, "轻度": 1.0}
 CAUSE_WEIGHT = {"处理慢": 3.0, "连接慢": 2.5, "传输慢": 2.0, "混合型": 3.5, "其他": 1.0}

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hitlens.operators.measures import flag, rate, summarise
 from hitlens.operators.ranking import share_of_total, top_per_group
-from hitlens.rules import descend
 
 
 def distribution(df: DataFrame) -> DataFrame:
@@ -124,6 +123,3 @@ def estimated_lifecycle(distributed: DataFrame) -> DataFrame:
         level.alias("level"),
     )
 
-
-def rate_class(share, steps=((10.0, "High"), (5.0, "Medium"))):
-    return descend(share, steps, "Low")

@@ -46,8 +46,9 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
 
 
-def retain(df: DataFrame, column: str, days: int, today: date) -> DataFrame:
-    """Rows not older than ``days``; on a date partition column this prunes whole folders."""
+def retain(df: DataFrame, column: str, limit: int | str, today: date) -> DataFrame:
+    """Rows not older than a number of days or a layer's limit; on a partition column this prunes folders."""
+    days = RETENTION_DAYS[limit] if isinstance(limit, str) else limit
     return df.filter(F.col(column) >= F.lit(today - timedelta(days=days)).cast("date"))
 
 

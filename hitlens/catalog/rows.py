@@ -382,11 +382,19 @@ _LOCATE = f""", nets(position, lo, hi, isp, region) AS (VALUES {_NETS}),
 @register(
     "e31_geo_rules",
     _LOCATE + f""" SELECT h.event_id, CASE WHEN is_internal THEN 'unknown' ELSE {sql_case('client_ip', K.CARRIER_PREFIXES, 'unknown')} END AS carrier,
-    m.isp, m.region FROM hits h LEFT JOIN m USING (event_id)""",
+    CASE WHEN is_internal THEN 'internal' WHEN {sql_case('client_ip', K.CARRIER_PREFIXES, None)} IS NOT NULL THEN 'China' ELSE 'unknown' END AS carrier_region,
+    m.isp, m.region, coalesce(m.isp = 'Government Network', false) AS trusted FROM hits h LEFT JOIN m USING (event_id)""",
 )
 def _(spark, sf):
     isp, region = network.network_carrier(c("client_ip"))
-    return _cols(access(spark, sf), carrier=network.carrier(c("client_ip")), isp=isp, region=region)
+    return _cols(
+        access(spark, sf),
+        carrier=network.carrier(c("client_ip")),
+        carrier_region=network.carrier_region(c("client_ip")),
+        isp=isp,
+        region=region,
+        trusted=network.trusted_network(isp),
+    )
 
 
 @register("j03_ip_range_join", _LOCATE + " SELECT a.event_id, a.client_ip, m.isp, m.region FROM access a LEFT JOIN m USING (event_id)")

@@ -29,7 +29,7 @@ def _nul(col: str) -> str:
 )
 def _(spark, sf):
     raw = lines.as_json(access(spark, sf)).select("event_id", "value")
-    return lines.parse_json(raw).drop("protocol")
+    return lines.parse_json(raw).drop("protocol", "upstream_cache", "trace_id", "connection_requests")
 
 
 @register(

@@ -100,6 +100,20 @@ def carrier(ip: Column) -> Column:
     return F.when(is_internal(ip), F.lit("unknown")).otherwise(first_match(ip, K.CARRIER_PREFIXES, "unknown"))
 
 
+def carrier_region(ip: Column) -> Column:
+    """internal, China (where the carrier is known by prefix) or unknown."""
+    return (
+        F.when(ip.isNull() | (ip == "") | is_internal(ip), F.lit("internal"))
+        .when(carrier(ip) != "unknown", F.lit("China"))
+        .otherwise(F.lit("unknown"))
+    )
+
+
+def trusted_network(isp: Column) -> Column:
+    """Addresses of the government network count as trusted."""
+    return F.coalesce(isp == "Government Network", F.lit(False))
+
+
 def network_carrier(ip: Column, networks=K.CARRIER_NETWORKS) -> tuple[Column, Column]:
     """Carrier and region of the first listed block that holds the address, NULL if none.
 

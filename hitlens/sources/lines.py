@@ -26,18 +26,22 @@ JSON_KEYS = {
     "client_ip": ["remote_addr", "client_ip"],
     "request_method": ["request_method", "method"],
     "request_uri": ["request_uri", "uri"],
+    "query": ["query_string", "request_args"],
     "protocol": ["request_protocol", "server_protocol"],
     "status": ["status", "response_status"],
     "duration": ["request_time", "response_time"],
     "connect": ["upstream_connect_time"],
     "header": ["upstream_header_time"],
-    "response": ["upstream_response_time"],
+    "response": ["upstream_response_time", "upstream_time"],
     "body": ["body_bytes_sent", "response_size"],
     "sent": ["bytes_sent", "body_bytes_sent"],
     "user_agent": ["http_user_agent", "user_agent"],
     "referer": ["http_referer", "referer"],
-    "server_name": ["server_name", "host"],
+    "server_name": ["server_name", "host", "http_host"],
     "upstream_addr": ["upstream_addr"],
+    "cache": ["upstream_cache_status"],
+    "trace": ["trace_id", "x_trace_id"],
+    "connection": ["connection_requests"],
 }
 PAIR_KEYS = {
     "server_name": ["http_host"],
@@ -48,6 +52,7 @@ PAIR_KEYS = {
     "status": ["code", "status"],
     "body": ["body", "body_bytes_sent"],
     "duration": ["ar_time", "response_time"],
+    "upstream": ["upstream_response_time"],
     "referer": ["http_referer"],
     "user_agent": ["agent", "http_user_agent"],
 }
@@ -75,7 +80,10 @@ def _keep(df: DataFrame) -> list[str]:
 
 
 def parse_json(df: DataFrame) -> DataFrame:
-    """JSON lines in either dialect; lines that are no JSON object are dropped."""
+    """JSON lines in either dialect; lines that are no JSON object are dropped.
+
+    A query string logged apart from the URI is appended to it.
+    """
     names = sorted({n for group in JSON_KEYS.values() for n in group})
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     parsed = df.filter(F.ltrim(_v()).startswith("{")).withColumn("_j", F.from_json(_v(), schema))
@@ -83,12 +91,14 @@ def parse_json(df: DataFrame) -> DataFrame:
     def field(name: str) -> Column:
         return F.coalesce(*[F.col("_j")[k] for k in JSON_KEYS[name]])
 
+    uri, args = field("request_uri"), field("query")
+    apart = (args != "") & (args != "-") & ~uri.contains("?")
     return parsed.select(
         *_keep(df),
         wall_clock(field("time")).alias("log_time"),
         field("client_ip").alias("client_ip"),
         field("request_method").alias("request_method"),
-        field("request_uri").alias("request_uri"),
+        F.when(apart, F.concat(uri, F.lit("?"), args)).otherwise(uri).alias("request_uri"),
         field("protocol").alias("protocol"),
         field("status").alias("status"),
         millis(field("duration")).alias("duration_ms"),
@@ -101,6 +111,9 @@ def parse_json(df: DataFrame) -> DataFrame:
         field("referer").alias("referer"),
         field("server_name").alias("server_name"),
         field("upstream_addr").alias("upstream_addr"),
+        F.coalesce(field("cache"), F.lit("")).alias("upstream_cache"),
+        F.coalesce(field("trace"), F.lit("")).alias("trace_id"),
+        F.coalesce(field("connection").try_cast("long"), F.lit(1).cast("long")).alias("connection_requests"),
     )
 
 
@@ -138,7 +151,8 @@ def _clean(name: str) -> Column:
 def parse_pairs(df: DataFrame) -> DataFrame:
     """key:"value" lines. Adds ``parsing_errors``; :func:`accepted` and :func:`rejected` split them.
 
-    Sent bytes = body + 200; the upstream time is the whole duration, connect and header are 0.
+    Sent bytes = body + 200; connect and header times are 0; the upstream time is the whole duration
+    unless the line states it.
     """
     kept = _keep(df)
     raw = df.filter(F.trim(_v()) != "").select(*kept, padded(_v()).alias("_line"))
@@ -170,7 +184,7 @@ def parse_pairs(df: DataFrame) -> DataFrame:
         ms.alias("duration_ms"),
         F.lit(0).cast("long").alias("connect_ms"),
         F.lit(0).cast("long").alias("header_ms"),
-        ms.alias("response_ms"),
+        F.when(F.col("_upstream").isNotNull(), millis(F.col("_upstream"))).otherwise(ms).alias("response_ms"),
         whole(F.col("_body")).alias("body_bytes"),
         (whole(F.col("_body")) + HEADER_BYTES).alias("sent_bytes"),
         F.col("_user_agent").alias("user_agent"),

@@ -40,10 +40,10 @@ def test_pair_line(spark):
 
 
 def test_pair_edges(spark):
-    second = 'remote_addr:"1.1.1.1" ar_time:"9" time:"2025-04-23 00:00:02" status:"404" response_time:"1.5" body_bytes_sent:"3.0" request:"GET"'
+    second = 'remote_addr:"1.1.1.1" ar_time:"9" time:"2025-04-23 00:00:02" status:"404" response_time:"1.5" upstream_response_time:"1.2" body_bytes_sent:"3.0" request:"GET"'
     rows = lines.parse_pairs(text(spark, second, "  ", 'remote_addr:"1.1.1.1" time:"x" code:"999"', 'time:"2025-04-23 00:00:02" code:"200"'))
     a, b, c = rows.collect()
-    assert a["log_time"] == datetime(2025, 4, 23, 0, 0, 2) and a["duration_ms"] == 9000
+    assert a["log_time"] == datetime(2025, 4, 23, 0, 0, 2) and (a["duration_ms"], a["response_ms"]) == (9000, 1200)
     assert (a["status"], a["body_bytes"], a["request_method"], a["request_uri"]) == ("404", 3, "GET", "")
     assert b["parsing_errors"] == ["bad_time", "bad_code"]
     assert c["parsing_errors"] == ["missing_remote_addr"]
@@ -53,7 +53,11 @@ def test_pair_edges(spark):
 def test_json_dialects(spark):
     one = '{"time":"2025-04-23T00:00:02+08:00","client_ip":"1.2.3.4","request_method":"GET","request_uri":"/a","status":"200","request_time":0.29,"body_bytes_sent":"-","bytes_sent":10,"user_agent":"x"}'
     two = '{"log_time":"2025-04-23 00:00:03","remote_addr":"4.3.2.1","method":"POST","uri":"/b","response_status":500,"response_time":"1.001","response_size":7,"http_user_agent":"y"}'
-    rows = lines.parse_json(text(spark, one, two, "not json")).orderBy("log_time").collect()
+    three = '{"time":"2025-04-23T00:00:04+08:00","http_host":"h","request_uri":"/c","request_args":"x=1","status":"200","upstream_time":"0.1","trace_id":"t","connection_requests":7}'
+    rows = lines.parse_json(text(spark, one, two, three, "not json")).orderBy("log_time").collect()
+    last = rows.pop()
+    assert (last["server_name"], last["request_uri"], last["response_ms"]) == ("h", "/c?x=1", 100)
+    assert (last["trace_id"], last["connection_requests"], rows[0]["connection_requests"]) == ("t", 7, 1)
     assert [(r["client_ip"], r["status"], r["duration_ms"], r["body_bytes"], r["user_agent"]) for r in rows] == [
         ("1.2.3.4", "200", 290, 0, "x"), ("4.3.2.1", "500", 1001, 7, "y")]
 

@@ -1,4 +1,8 @@
 """The registered queries of this package; importing the operators fills the registry."""
 
-from hitlens.llm import quality_ledger  # noqa: F401
+from hitlens.llm import (  # noqa: F401
+    quality_ledger,
+    simhash_variants,
+    suffix_decontamination,
+)
 from hitlens.llm.common import ORACLES, QUERIES  # noqa: F401

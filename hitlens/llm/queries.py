@@ -1,7 +1,9 @@
 """The registered queries of this package; importing the operators fills the registry."""
 
 from hitlens.llm import (  # noqa: F401
+    chunk_codec,
     quality_ledger,
+    sequence_files,
     simhash_variants,
     suffix_decontamination,
 )

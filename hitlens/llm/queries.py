@@ -2,9 +2,11 @@
 
 from hitlens.llm import (  # noqa: F401
     chunk_codec,
+    license_rules,
     quality_ledger,
     sequence_files,
     simhash_variants,
     suffix_decontamination,
+    url_automaton,
 )
 from hitlens.llm.common import ORACLES, QUERIES  # noqa: F401

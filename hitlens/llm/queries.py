@@ -7,6 +7,7 @@ from hitlens.llm import (  # noqa: F401
     sequence_files,
     simhash_variants,
     suffix_decontamination,
+    toxicity_models,
     url_automaton,
 )
 from hitlens.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -3,6 +3,7 @@
 from hitlens.llm import (  # noqa: F401
     chunk_codec,
     license_rules,
+    page_wrappers,
     quality_ledger,
     sequence_files,
     simhash_variants,

@@ -2,6 +2,7 @@
 
 from hitlens.llm import (  # noqa: F401
     chunk_codec,
+    edit_counts,
     license_rules,
     page_wrappers,
     quality_ledger,

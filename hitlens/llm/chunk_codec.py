@@ -138,6 +138,12 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
     )
 
 
+def coded(docs: DataFrame, model: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded`` of every document."""
+    both = decoded(encoded(docs.select("doc_id", "text"), model, carry_text=False), model)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
+
+
 def model_path() -> str:
     import public_tokenizers
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlens.llm.common import others, register, slices, table
+from hitlens.llm.common import mapped, others, register, slices, table
 
 MARK = "▁"
 TABLE_SIZE = 400_000
@@ -108,7 +108,7 @@ def encoded(docs: DataFrame, model: str, text: str = "text", into: str = "ids",
             names = [n for n in part.schema.names if carry_text or n != text]
             yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], ids], [*names, into])
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
 def decoded(encodings: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -123,7 +123,7 @@ def decoded(encodings: DataFrame, model: str, ids: str = "ids", into: str = "dec
                 texts = codec.decode([r or [] for r in part.column(ids).to_pylist()], num_threads=1)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:

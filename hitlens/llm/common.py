@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +61,23 @@ def others(df: DataFrame, produced: Iterable[str]) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in own]
 
 
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as select() takes them, whatever characters they have."""
+    return [f"`{c.replace('`', '``')}`" for c in names]
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, also for column names with dots, which that call cannot take."""
+    names = df.columns
+    if not any("." in c or "`" in c for c in names):
+        return df.mapInArrow(run, schema)
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(pa.RecordBatch.from_arrays(batch.columns, names) for batch in batches)
+
+    return df.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(renamed, schema)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``size`` bytes at a time (one longer value stays whole)."""
     for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlens.llm.chunk_codec import strings
-from hitlens.llm.common import others, register, slices, table
+from hitlens.llm.common import mapped, others, register, slices, table
 from hitlens.llm.word_tokens import Generations
 
 LEAF = 32
@@ -172,7 +172,7 @@ def trees(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> Data
             sums = [pa.array([t.chars for t in made], pa.list_(pa.int32())), pa.array([t.tokens for t in made], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([*part.columns, *sums], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
 def n_tokens(tokens: str = "tree_tokens") -> Column:
@@ -211,7 +211,7 @@ def updated(state: DataFrame, ranks: str, pattern: str, text: str = "text", edit
             made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *made], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
 def revision(doc_id: str = "doc_id", text: str = "text") -> Column:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import register, slices, table, workspace
+from hitlens.llm.common import mapped, register, slices, table, workspace
 from hitlens.llm.word_tokens import word_table
 
 LENGTH = 2048
@@ -145,7 +145,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, text: str = "t
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in row[:-1]], pa.array(row[-1])], SHARDS.replace(" long", "").replace(" string", "").split(", "))
 
     manifest = f"{folder}/shards"
-    ordered.mapInArrow(run, SHARDS).drop("first_sequence").write.parquet(manifest)
+    mapped(ordered, run, SHARDS).drop("first_sequence").write.parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)
 
 
@@ -173,7 +173,7 @@ def read_documents(shards: DataFrame, folder: str) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([part.column("doc_id"), starts, part.column("n_tokens"), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     spread = placed.repartition(F.col("path"))
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return mapped(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def tokenizer_path() -> str:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from hitlens.llm.common import others, register, slices, stored, table, texts_of
+from hitlens.llm.common import mapped, others, register, slices, stored, table, texts_of
 
 WIDTH = 4
 DISTANCE = 4
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = WIDTH, into:
             columns = [part.column(n) for n in part.schema.names if n != text] + [pa.array(values.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, [*[n for n in part.schema.names if n != text], into])
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
 def variant_masks(segments: int, exact: int, distance: int = DISTANCE) -> list[int]:
@@ -180,7 +180,7 @@ def links(nodes: DataFrame, segments: int, exact: int, distance: int = DISTANCE)
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found[:, k].copy().view(np.int64)) for k in (0, 1)], ["a", "b"])
 
-    pairs_df = index.mapInArrow(run, "a long, b long")
+    pairs_df = mapped(index, run, "a long, b long")
     return pairs_df.select(F.greatest("a", "b").alias("src"), F.least("a", "b").alias("dst")).distinct()
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlens.llm.common import WORD, others, register, slices, table, texts_of
+from hitlens.llm.common import WORD, mapped, others, quoted, register, slices, table, texts_of
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -237,7 +237,7 @@ def _scan(docs: DataFrame, test: TestSet, text: str, carried: list[str]) -> Data
             ]
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *made], [*carried, *PRODUCED])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[TestSet]:
@@ -258,7 +258,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry_tex
         return _scan(source, tests[0], text, carried)
     # several blocks: the later passes only add hits to the rows of the first; equal rows have equal hits
     row = F.xxhash64(*[F.col(f"`{c}`") for c in source.columns])
-    keyed = source.select(row.alias("__row"), *source.columns)
+    keyed = source.select(row.alias("__row"), "*")
     scans = [_scan(keyed, test, text, ["__row", *carried] if k == 0 else ["__row"]) for k, test in enumerate(tests)]
     found = scans[0].select("__row", *PRODUCED[1:])
     for scan in scans[1:]:
@@ -281,7 +281,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry_tex
     )
     found = found.select(F.col("__row"), merged.alias("hits"), "items", "longest")
     return scans[0].drop(*PRODUCED[1:]).join(found, "__row", "left").select(
-        *carried, "n_words", F.coalesce("hits", F.array()).alias("hits"), F.coalesce("items", F.array()).alias("items"),
+        *quoted(carried), "n_words", F.coalesce("hits", F.array()).alias("hits"), F.coalesce("items", F.array()).alias("items"),
         F.coalesce("longest", F.lit(0)).cast("bigint").alias("longest"),
     )
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from hitlens.llm.common import lower_ascii, others, register, slices, stored, table, texts_of
+from hitlens.llm.common import lower_ascii, mapped, others, quoted, register, slices, stored, table, texts_of
 from hitlens.llm.suffix_decontamination import words_of
 
 ORDER = 6
@@ -202,7 +202,7 @@ def _features(docs: DataFrame, tables: dict[str, GramTable], text: str, into: li
             made = [f for model in shared.value for f in zip(*model.features(texts), strict=True)]
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *[pa.array(m, pa.float64()) for m in made]], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -233,13 +233,13 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", max_per_class
     data = rows.toArrow()  # the training sample: four numbers for each row
     toxic, half = data.column("toxic").to_numpy(), data.column("half").to_numpy()
     if len(set(toxic.tolist())) < 2:
-        return source.select(*carried, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return source.select(*quoted(carried), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     other = [np.where(half == 0, data.column(f"{c}1").to_numpy(), data.column(f"{c}0").to_numpy()) for c in "ab"]
     w = logistic(np.column_stack(other), toxic.astype(float))
     made = _features(source, {"all": tables["all"]}, text, ["__best", "__mean"], carried)
     z = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("__best") + F.lit(float(w[2])) * F.col("__mean")
     score = 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-700.0)), F.lit(700.0))))
-    return made.select(*carried, score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+    return made.select(*quoted(carried), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def ordinary(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:

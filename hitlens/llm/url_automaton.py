@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlens.llm.common import lower_ascii, others, register, slices, table, texts_of
+from hitlens.llm.common import lower_ascii, mapped, others, register, slices, table, texts_of
 
 SEPARATOR = 256  # no byte of a URL
 CELLS = 1 << 20  # characters of a batch that is stepped through together
@@ -160,7 +160,7 @@ def judged(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES, method: Sequenc
             verdicts = [ranked[k].action if k >= 0 else method[m].action if m >= 0 else "allow" for k, m in zip(first, picked, strict=True)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(verdicts, pa.string())], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
 _SQL = f"""

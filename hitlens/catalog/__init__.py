@@ -11,10 +11,16 @@ from hitlens.catalog import (  # noqa: F401
 )
 from hitlens.catalog.base import ORACLES, QUERIES
 from hitlens.catalog.generic_queries import flagship  # noqa: F401
+from hitlens.session import tune
 
 
 def queries():
-    return dict(QUERIES)
+    """The registered queries; a session is tuned when one of them is called, not by building its plan."""
+
+    def tuned(build):
+        return lambda spark, sf_dir: build(tune(spark), sf_dir)
+
+    return {name: tuned(build) for name, build in QUERIES.items()}
 
 
 def oracles():

@@ -9,7 +9,6 @@ from hitlens.catalog.reports import A1_SQL, SLOW_SQL
 from hitlens.operators import filters, measures, ranking, sampling, sequence
 from hitlens.plans import api, insight, metrics, slow
 from hitlens.rules import lookup
-from hitlens.session import tune
 
 c = F.col
 
@@ -243,7 +242,6 @@ _INC = _SER + """, g AS (SELECT *, lag(value) OVER (PARTITION BY metric, cluster
 
 
 def samples(spark, sf, names=None):
-    tune(spark)
     metric = c("event_type") if names is None else lookup(c("event_type"), names, "other")
     return table(spark, sf, "events").select(
         metric.alias("metric"),

@@ -535,7 +535,7 @@ def _(spark, sf):
     "l45_security_score",
     L33_SQL
     + L22_SQL
-    + """, z AS (SELECT least(20, (SELECT count(*) FROM sus)) AS suspicious, (SELECT count(*) FROM l22b) AS critical) SELECT suspicious, critical, greatest(0e0, 100 - suspicious * 2 - critical * 1.5e0) AS security_score FROM z""",
+    + """, z AS (SELECT (SELECT count(*) FROM sus) AS suspicious, (SELECT count(*) FROM l22) AS critical) SELECT suspicious, critical, greatest(0e0, 100 - suspicious * 2 - critical * 1.5e0) AS security_score FROM z""",
 )
 def _(spark, sf):
     return insight.security_score(hits(spark, sf))

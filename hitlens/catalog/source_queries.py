@@ -10,7 +10,6 @@ from hitlens.catalog.base import access, enrich, hits, register, requests_from,
 from hitlens.operators import ranking
 from hitlens.plans import quality
 from hitlens.schema import coerce
-from hitlens.session import tune
 from hitlens.sources import files, lines, sinks
 from hitlens.streaming import jobs, state
 
@@ -52,6 +51,36 @@ def _(spark, sf):
     return out.select("event_id", "log_time", "client_ip", "request_method", "request_uri", "protocol", "status", "body_bytes", "user_agent", "referer")
 
 
+def _spoilt(spark, sf):
+    """JSON lines, three in ten of them broken off or no JSON at all."""
+    raw = lines.as_json(access(spark, sf))
+    i = c("event_id") % 10
+    line = F.when(i == 0, F.lit("{broken")).when(i == 1, F.substr("value", F.lit(1), F.lit(40))).when(i == 2, F.lit("noise"))
+    return raw.select("event_id", line.otherwise(c("value")).alias("value"))
+
+
+@register("s01_broken_lines", "SELECT event_id, event_id % 10 > 2 AS kept FROM access")
+def _(spark, sf):
+    raw = _spoilt(spark, sf)
+    good = lines.parse_json(raw).filter(c("status").isNotNull() & c("log_time").isNotNull())
+    return ranking.stack_up([part.select("event_id", F.lit(kept).alias("kept")) for part, kept in ((good, True), (lines.broken(raw, "json"), False))])
+
+
+@register(
+    "q05_json_statistics",
+    "SELECT count(*) AS total, count(*) FILTER (WHERE event_id % 10 > 2) AS parsed, count(*) FILTER (WHERE event_id % 10 <= 2) AS errors, 0::BIGINT AS empty, count(*) FILTER (WHERE event_id % 10 > 2)::DOUBLE / count(*) AS success_rate FROM access",
+)
+def _(spark, sf):
+    return lines.parse_statistics(_spoilt(spark, sf), "json")
+
+
+@register("s03_extended_lines", "SELECT event_id, status, body_bytes, referer, user_agent FROM access")
+def _(spark, sf):
+    raw = lines.as_combined(access(spark, sf))
+    more = F.when(c("event_id") % 3 == 0, F.lit(' "203.0.113.7"')).when(c("event_id") % 3 == 1, F.lit(' "-" 0.125 "x y"')).otherwise(F.lit(""))
+    return lines.parse_combined(raw.select("event_id", F.concat("value", more).alias("value"))).select("event_id", "status", "body_bytes", "referer", "user_agent")
+
+
 @register(
     "s04_cdn_lines",
     f"""SELECT event_id, {SEC} AS log_time, client_ip, '-' AS proxy_ip, duration_ms, referer, request_method, 'https://' || server_name || {URI} AS url, split_part({URI}, '?', 1) AS uri, status, 512::BIGINT AS request_bytes,
@@ -193,14 +222,14 @@ def _(spark, sf):
     return sinks.kept_after_delete(df, "date", date(2024, 1, 5), date(2024, 1, 9)).groupBy("date").agg(F.count(F.lit(1)).alias("kept"))
 
 
-_FILES = """, f AS (SELECT DISTINCT strftime(log_time, 'cdn_%Y_%m_%d_%H0000_%H5959.log') AS file, date_trunc('hour', log_time) AS range_start FROM access WHERE status = '503')"""
+_FILES = """, f AS (SELECT DISTINCT strftime(log_time, 'cdn_%Y_%m_%d_%H0000_%H5959.log') AS file, date_trunc('hour', log_time) AS range_start FROM access)"""
 
 
 def _hour_files(spark, sf):
     name = F.concat(
         F.lit("cdn_"), F.date_format("log_time", "yyyy_MM_dd_HH"), F.lit("0000_"), F.date_format("log_time", "HH"), F.lit("5959.log")
     )
-    return access(spark, sf).filter(c("status") == "503").select(name.alias("file")).distinct()
+    return access(spark, sf).select(name.alias("file")).distinct()
 
 
 @register("s20_file_ranges", _FILES + " SELECT file, range_start, range_start + INTERVAL 3599 SECOND AS range_end FROM f")
@@ -240,6 +269,22 @@ def _(spark, sf):
     return files.pending(f.select("file", "hash"), manifest)
 
 
+@register("s09_incremental_load", "SELECT '3' AS family, count(*) AS lines FROM access WHERE event_id % 4 = 3")
+def _(spark, sf):
+    """List, fingerprint, record as done; then a part is added to the folder: only its files are pending."""
+    folder = scratch(spark, "grown")
+    rows = lines.as_pairs(access(spark, sf)).select("value", (c("event_id") % 4).cast("string").alias("family"))
+
+    def prints():
+        return files.content_fingerprints(files.read_lines(spark, f"{folder}/tree"))
+
+    rows.filter("family <> '3'").write.partitionBy("family").text(f"{folder}/tree")
+    files.manifest_rows(prints(), "completed", F.current_timestamp()).write.parquet(f"{folder}/manifest")
+    rows.filter("family = '3'").write.mode("append").partitionBy("family").text(f"{folder}/tree")
+    waiting = files.pending(prints(), spark.read.parquet(f"{folder}/manifest"))
+    return waiting.groupBy(F.regexp_extract("file", "family=([^/]*)", 1).alias("family")).agg(F.sum("lines").alias("lines"))
+
+
 @register(
     "s09_reset_failed",
     """, f AS (SELECT client_ip || '/' || strftime(log_time, '%Y-%m-%d') AS file, CAST(CAST(sum(body_bytes) AS BIGINT) AS VARCHAR) AS hash, max(event_id) AS i FROM access GROUP BY 1)
@@ -270,7 +315,6 @@ def _(spark, sf):
 
 @register("x02_stream_rollup", _STATE_SQL)
 def _(spark, sf):
-    tune(spark)
     schema = table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     folder = scratch(spark, "stream")

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from hitlens import lookups as K
 from hitlens.rules import present
 
-INLINE_LIMIT = 500
-
 
 def _bound(text: str | None, *, end: bool) -> datetime | None:
     if not text:
@@ -40,13 +38,10 @@ def between_times(df: DataFrame, ts: str, start: str | None = None, end: str | N
 
 
 def one_of(df: DataFrame, column: str, values: Sequence[str] | DataFrame) -> DataFrame:
-    """Include-list: a predicate for short lists, a left-semi join for long ones or tables."""
+    """Include-list: a list is a predicate that reaches the scan, a table is a left-semi join."""
     if isinstance(values, DataFrame):
-        return df.join(values, column, "left_semi")
-    if len(values) <= INLINE_LIMIT:
-        return df.filter(F.col(column).isin(*values))
-    listed = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")
-    return df.join(listed, column, "left_semi")
+        return df.join(values, column, "left_semi").select(*df.columns)
+    return df.filter(F.col(column).isin(*values))
 
 
 def recent_or_all(df: DataFrame, ts: str, hours: int, now: datetime | str) -> DataFrame:

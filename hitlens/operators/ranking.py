@@ -19,8 +19,16 @@ def ranked_top(df: DataFrame, order: Sequence[Column], n: int, name: str = "rank
     return top(df, order, n).withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
-def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
-    """First k rows per group. Spark cuts each group to k rows before the shuffle."""
+def top_per_group(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank", *, within: Column | None = None
+) -> DataFrame:
+    """First k rows per group. Spark cuts each group to k rows before the shuffle, but only for small k.
+
+    ``within`` cuts a group into slices (say, a hash of the row's id): each slice is reduced to k rows
+    for itself first, whatever k is, so that no task holds more of a hot group than its slices' best.
+    """
+    if within is not None:
+        df = top_per_group(df.withColumn("_within", within), [*by, "_within"], order, k, name).drop("_within", name)
     spec = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(spec)).filter(F.col(name) <= k)
 

@@ -17,9 +17,10 @@ def unit_hash(key: Column, seed: str) -> Column:
 
 
 def per_key(df: DataFrame, by: Sequence[str], key: str, n: int, *, seed: str = "s") -> DataFrame:
-    """Uniform sample of at most n rows per key; each task keeps n rows per key before the shuffle."""
+    """Uniform sample of at most n rows per key; each of 64 slices of a key is cut to n rows first."""
     drawn = df.withColumn("_u", unit_hash(F.col(key), seed))
-    return top_per_group(drawn, by, [F.col("_u"), F.col(key)], n, "_r").drop("_u", "_r")
+    slices = F.pmod(F.xxhash64(key), F.lit(64))
+    return top_per_group(drawn, by, [F.col("_u"), F.col(key)], n, "_r", within=slices).drop("_u", "_r")
 
 
 def stratified(df: DataFrame, stratum: str, key: str, fractions: dict[str, float], *, seed: str = "s") -> DataFrame:

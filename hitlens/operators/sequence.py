@@ -8,6 +8,7 @@ previous non-empty slice, a table with one row per key and slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,10 @@ def with_previous(
     last = rows.filter(F.col("_more").isNull()).select(*by, "_slice", F.struct(*carry).alias("_last"))
     across = Window.partitionBy(*by).orderBy("_slice")
     before = last.select(*by, "_slice", F.lag("_last").over(across).alias("_before"))
-    joined = rows.join(before, [*by, "_slice"], "left")
+    # keys may be NULL, and a NULL key has rows in a row like any other
+    before = before.select(*[F.col(k).alias(f"_of_{k}") for k in (*by, "_slice")], "_before")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in (*by, "_slice")])
+    joined = rows.join(before, same, "left")
     first = F.col("_at") == 1
     picked = {
         f"{prefix}{c}": F.when(first, F.col("_before")[c]).otherwise(F.col(f"_lag_{c}")) for c in carry

@@ -129,7 +129,8 @@ def error_trend(df: DataFrame) -> DataFrame:
     return out.select("hour", "requests", "client_errors", "server_errors", "errors", "error_rate", level.alias("health"))
 
 
-def critical_errors(df: DataFrame, n: int = 20) -> DataFrame:
+def critical_errors(df: DataFrame, n: int | None = 20) -> DataFrame:
+    """Errors per status, URI and platform with priority; the n most frequent, or all."""
     out = summarise(
         df.filter(c("status").isin("500", "502", "503", "504", "404")),
         ["status", "uri", "platform"],
@@ -145,7 +146,7 @@ def critical_errors(df: DataFrame, n: int = 20) -> DataFrame:
     )
     impact = descend(c("clients"), [(100, "High"), (10, "Medium")], "Low")
     out = out.withColumns({"priority": priority, "impact": impact})
-    return top(out, [F.desc("errors"), F.asc("status"), F.asc("uri"), F.asc("platform")], n)
+    return out if n is None else top(out, [F.desc("errors"), F.asc("status"), F.asc("uri"), F.asc("platform")], n)
 
 
 def day_pattern(df: DataFrame) -> DataFrame:
@@ -563,11 +564,11 @@ def platform_detail(df: DataFrame, platform: str) -> DataFrame:
 
 
 def security_score(df: DataFrame) -> DataFrame:
-    """100 less 2 per suspicious client and 1.5 per listed critical error, never below 0."""
+    """100 less 2 per suspicious client and 1.5 per critical error, all of them, never below 0."""
     marks = stack_up(
         [
-            suspicious_clients(df).select(F.lit(1).alias("suspicious"), F.lit(0).alias("critical")),
-            critical_errors(df).select(F.lit(0).alias("suspicious"), F.lit(1).alias("critical")),
+            suspicious_clients(df, None).select(F.lit(1).alias("suspicious"), F.lit(0).alias("critical")),
+            critical_errors(df, None).select(F.lit(0).alias("suspicious"), F.lit(1).alias("critical")),
         ]
     )
     out = marks.agg(

@@ -27,15 +27,6 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], *, glob: str | No
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a source with too few splits (one small file); no shuffle otherwise.
-
-    A large table has more splits than cores and passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def first_lines(lines: DataFrame, n: int = 5) -> DataFrame:
     """The first n lines of each file, numbered from 1; only first blocks take part."""
     spec = Window.partitionBy("source_file").orderBy("line_id")
@@ -108,11 +99,16 @@ def list_files(spark: SparkSession, path: str, *, glob: str = "*") -> DataFrame:
 def content_fingerprints(lines: DataFrame) -> DataFrame:
     """Content fingerprint per file from per-line hashes, so no task holds a whole file.
 
-    The id of a line within its block makes the sum sensitive to line order.
+    Only the lines decide it (two independent sums and their number), so it does not depend on how the
+    folder was split into tasks, nor on the other files. Lines that change places go unnoticed.
     """
-    mixed = F.xxhash64("value", "line_id").cast("decimal(38,0)")
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)")).cast("string")
+
+    n = F.count(F.lit(1))
     return lines.groupBy(F.col("source_file").alias("file")).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(mixed).cast("string").alias("hash")
+        n.alias("lines"), F.concat_ws("/", n.cast("string"), total(1), total(2)).alias("hash")
     )
 
 

@@ -5,6 +5,8 @@ Other columns (file name, line id) pass through. Every parser is one projection.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +58,13 @@ PAIR_KEYS = {
     "referer": ["http_referer"],
     "user_agent": ["agent", "http_user_agent"],
 }
-COMBINED = r'^([^\s]+)\s+-\s+([^\s]*)\s+\[([^\]]+)\]\s+"([^"]+)"\s+(\d+)\s+(\d+)\s+"([^"]*)"\s+"([^"]*)"'
-CDN = (
-    r'^\[(.*?)\]\s+(\S+)\s+(\S+)\s+(\d+)\s+"([^"]*)"\s+"([^"]*)"\s+(\d+)\s+(\d+)\s+(\d+)\s+([^"]*?)\s+'
-    r'"([^"]*)"\s+"([^"]*)"\s+(.*)$'
+# --- line formats, written from their field lists: QUOTED is free text, WORD has no blanks
+_WORD, _NUMBER, _QUOTED, _BRACKETS = r"(\S+)", r"(\d+)", r'"([^"]*)"', r"\[([^\]]*)\]"
+# address, "-", user, time, request, status, bytes, referer, user agent; further fields may follow
+COMBINED = r"^" + r"\s+".join([_WORD, "-", r"(\S*)", _BRACKETS, r'"([^"]+)"', _NUMBER, _NUMBER, _QUOTED, _QUOTED]) + r".*$"
+# time, address, proxy, ms, referer, request, status, bytes in, bytes out, cache, user agent, type, end address
+CDN = r"^" + r"\s+".join(
+    [_BRACKETS, _WORD, _WORD, _NUMBER, _QUOTED, _QUOTED, _NUMBER, _NUMBER, _NUMBER, r'([^"]*?)', _QUOTED, _QUOTED, r"(.*)$"]
 )
 EMPTY_VALUES = ["-", '""', "''", "null", "NULL", ""]
 TIME_FORMS = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}[+-]\d{2}:\d{2}| \d{2}:\d{2}:\d{2})"
@@ -79,14 +84,24 @@ def _keep(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != "value"]
 
 
+BAD_JSON = "_bad"
+
+
+def _json(line: Column) -> Column:
+    """The known keys of a JSON object; ``BAD_JSON`` holds the line if it is not well formed."""
+    names = sorted({n for group in JSON_KEYS.values() for n in group})
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, BAD_JSON)])
+    return F.from_json(line, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_JSON})
+
+
 def parse_json(df: DataFrame) -> DataFrame:
     """JSON lines in either dialect; lines that are no JSON object are dropped.
 
     A query string logged apart from the URI is appended to it.
     """
-    names = sorted({n for group in JSON_KEYS.values() for n in group})
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    parsed = df.filter(F.ltrim(_v()).startswith("{")).withColumn("_j", F.from_json(_v(), schema))
+    kept = _keep(df)
+    parsed = settled(df.filter(F.ltrim(_v()).startswith("{")), {"_j": _json(_v())}, kept)
+    parsed = parsed.filter(F.col("_j")[BAD_JSON].isNull())
 
     def field(name: str) -> Column:
         return F.coalesce(*[F.col("_j")[k] for k in JSON_KEYS[name]])
@@ -301,15 +316,25 @@ def file_formats(df: DataFrame, file: str = "source_file", position: str = "line
     return head.groupBy(file).agg(F.coalesce(first, F.lit("json")).alias("format"))
 
 
-def parse_statistics(df: DataFrame) -> DataFrame:
-    """Total, parsed, error and empty lines of a key:value source in one pass."""
-    line = F.trim(_v())
-    need = ("time", "remote_addr", "status")
-    parts = df.select(line.alias("value"), padded(_v()).alias("_line"))
-    parts = parts.select("value", *[pair_value(F.col("_line"), PAIR_KEYS[n]).alias(n) for n in need])
-    found = {n: _clean(n) for n in need}
-    complete = found["time"].isNotNull() & found["remote_addr"].isNotNull() & found["status"].isNotNull()
-    empty = F.col("value") == ""
+def _complete(form: str) -> Column:
+    """Whether a line is a request in a format: json, pairs, combined or cdn."""
+    if form == "json":
+        return F.ltrim(_v()).startswith("{") & _json(_v())[BAD_JSON].isNull()
+    if form == "pairs":
+        values = [pair_value(padded(_v()), PAIR_KEYS[n]) for n in ("time", "remote_addr", "status")]
+        return reduce(lambda a, b: a & b, [v.isNotNull() & ~v.isin(*EMPTY_VALUES) for v in values])
+    return F.trim(_v()).rlike({"combined": COMBINED, "cdn": CDN}[form])
+
+
+def broken(df: DataFrame, form: str) -> DataFrame:
+    """The lines with text in them that are no request in a format, as they are."""
+    return df.filter((F.trim(_v()) != "") & ~F.coalesce(_complete(form), F.lit(False)))
+
+
+def parse_statistics(df: DataFrame, form: str = "pairs") -> DataFrame:
+    """Total, parsed, error and empty lines of a source in one pass."""
+    parts = settled(df, {"_complete": F.coalesce(_complete(form), F.lit(False)), "_empty": F.trim(_v()) == ""}, [])
+    complete, empty = F.col("_complete"), F.col("_empty")
     out = parts.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(complete).alias("parsed"),

@@ -6,41 +6,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import first_match
+from hitlens.rules import column, first_match, found, lowered_text
 
 
-def _lower(agent: Column) -> Column:
-    return F.lower(agent)
-
-
-def _unless_empty(agent: Column, label: str, value: Column) -> Column:
+def _unless_empty(agent: Column | str, label: str, value: Column) -> Column:
+    agent = column(agent)
     return F.when(agent.isNull() | (agent == ""), F.lit(label)).otherwise(value)
 
 
-def platform(agent: Column, rules=K.PLATFORM) -> Column:
-    return _unless_empty(agent, "Unknown", first_match(_lower(agent), rules, "Other"))
+def platform(agent: Column | str, rules=K.PLATFORM, *, lowered: bool = False) -> Column:
+    return _unless_empty(agent, "Unknown", first_match(lowered_text(agent, lowered), rules, "Other"))
 
 
-def operating_system(agent: Column) -> Column:
-    return _unless_empty(agent, K.NO_SYSTEM, first_match(_lower(agent), K.OPERATING_SYSTEM, K.OTHER_SYSTEM))
+def operating_system(agent: Column | str, *, lowered: bool = False) -> Column:
+    return _unless_empty(agent, K.NO_SYSTEM, first_match(lowered_text(agent, lowered), K.OPERATING_SYSTEM, K.OTHER_SYSTEM))
 
 
-def device(agent: Column) -> Column:
-    return _unless_empty(agent, K.NO_DEVICE, first_match(_lower(agent), K.DEVICE, K.DESKTOP))
+def device(agent: Column | str, *, lowered: bool = False) -> Column:
+    return _unless_empty(agent, K.NO_DEVICE, first_match(lowered_text(agent, lowered), K.DEVICE, K.DESKTOP))
 
 
-def bot(agent: Column) -> Column:
+def bot(agent: Column | str, *, lowered: bool = False) -> Column:
     """Crawler family, NULL for people."""
-    return first_match(_lower(agent), K.BOT, None)
+    return first_match(lowered_text(agent, lowered), K.BOT, None)
 
 
-def is_bot(agent: Column) -> Column:
-    return F.coalesce(_lower(agent).rlike(r"bot|crawler|spider|scraper"), F.lit(False))
+def is_bot(agent: Column | str, *, lowered: bool = False) -> Column:
+    return F.coalesce(found(lowered_text(agent, lowered), r"bot|crawler|spider|scraper"), F.lit(False))
 
 
 def browser(agent: Column) -> Column:
     """Browser name, with its major version where the pattern captures one."""
-    text = _lower(agent)
+    text = F.lower(agent)
     out = None
     for name, pattern in K.BROWSER:
         value = F.lit(name)
@@ -51,14 +48,14 @@ def browser(agent: Column) -> Column:
     return _unless_empty(agent, K.NO_BROWSER, out.otherwise(F.lit(K.OTHER_BROWSER)))
 
 
-def browser_name(agent: Column) -> Column:
-    return _unless_empty(agent, K.NO_BROWSER, first_match(_lower(agent), K.BROWSER, K.OTHER_BROWSER))
+def browser_name(agent: Column | str, *, lowered: bool = False) -> Column:
+    return _unless_empty(agent, K.NO_BROWSER, first_match(lowered_text(agent, lowered), K.BROWSER, K.OTHER_BROWSER))
 
 
 def family(agent: Column) -> Column:
     """Tool family, else the first 50 characters."""
     short = F.concat(F.substring(agent, 1, 50), F.when(F.length(agent) > 50, F.lit("...")).otherwise(F.lit("")))
-    return F.coalesce(first_match(_lower(agent), K.AGENT_FAMILY, None), short)
+    return F.coalesce(first_match(F.lower(agent), K.AGENT_FAMILY, None), short)
 
 
 def platform_version(agent: Column, platform_: Column) -> Column:
@@ -76,7 +73,7 @@ def sdk_type(agent: Column) -> Column:
     app = F.upper(F.regexp_extract(agent, r"(?i)zgt-(ios|android)", 1))
     out = F.when(sdk != "", F.concat(F.lit("WST-SDK-"), sdk)).when(app != "", F.concat(F.lit("ZGT-"), app))
     for name in K.GOVERNMENT_APPS:
-        out = out.when(_lower(agent).contains(name.lower()), F.lit(f"GOV-{name}"))
+        out = out.when(F.lower(agent).contains(name.lower()), F.lit(f"GOV-{name}"))
     return out.otherwise(F.lit(""))
 
 
@@ -89,7 +86,7 @@ def app_version(agent: Column) -> Column:
 
 
 def risk_level(agent: Column) -> Column:
-    return first_match(_lower(agent), K.AGENT_RISK, "normal")
+    return first_match(F.lower(agent), K.AGENT_RISK, "normal")
 
 
 def access_type(sdk: Column, platform_: Column, browser_: Column, bot_: Column) -> Column:
@@ -137,7 +134,7 @@ def channel(platform_: Column) -> Column:
 
 def compact(agent: Column) -> dict[str, Column]:
     """The compact class scheme: platform, device, browser, system, bot kind and version."""
-    text = _lower(agent)
+    text = F.lower(agent)
     browser_ = (
         F.when(text.contains("chrome") & ~text.contains("edg"), F.lit("Chrome"))
         .when(text.contains("firefox"), F.lit("Firefox"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import first_match, lookup
+from hitlens.rules import first_match, lookup, lowered_text
 
 
 def api_group(app: Column, service: Column, static: Column) -> Column:
@@ -26,8 +26,11 @@ def api_group(app: Column, service: Column, static: Column) -> Column:
     )
 
 
-def domain(app: Column, service: Column, module: Column) -> Column:
-    word = F.lower(module)
+def domain(app: Column, service: Column, module: Column, *, word: Column | str | None = None, words: Column | str | None = None) -> Column:
+    """Business domain. ``word`` and ``words``, the lower-cased module and ``app/service/module``, are read once
+    per rule; a caller may pass them as columns."""
+    word = F.lower(module) if word is None else word
+    words = F.lower(F.concat_ws("/", app, service, module)) if words is None else words
     gateway = (
         F.when(service == K.IDENTITY_SERVICE, first_match(word, K.IDENTITY_DOMAIN, "government-identity-service"))
         .when(service == K.PORTAL_SERVICE, first_match(word, K.PORTAL_DOMAIN, "government-portal-service"))
@@ -42,7 +45,7 @@ def domain(app: Column, service: Column, module: Column) -> Column:
         F.when(app == K.GATEWAY_APP, gateway)
         .when(app == K.PORTAL_APP, portal)
         .when(app == K.STORE_APP, F.lit("government-file-storage"))
-        .otherwise(first_match(F.lower(F.concat_ws("/", app, service, module)), K.WORD_DOMAIN, "general-service"))
+        .otherwise(first_match(words, K.WORD_DOMAIN, "general-service"))
     )
 
 
@@ -120,14 +123,14 @@ def integration_pattern(app: Column, static: Column) -> Column:
     )
 
 
-def environment(server: Column) -> Column:
-    return first_match(F.lower(server), K.ENVIRONMENT, "prod")
+def environment(server: Column | str, *, lowered: bool = False) -> Column:
+    return first_match(lowered_text(server, lowered), K.ENVIRONMENT, "prod")
 
 
-def tenant(server: Column) -> Column:
-    return first_match(F.lower(server), K.TENANT, "government")
+def tenant(server: Column | str, *, lowered: bool = False) -> Column:
+    return first_match(lowered_text(server, lowered), K.TENANT, "government")
 
 
-def entry_point(server: Column) -> Column:
-    return first_match(F.lower(server), K.ENTRY_POINT, "direct")
+def entry_point(server: Column | str, *, lowered: bool = False) -> Column:
+    return first_match(lowered_text(server, lowered), K.ENTRY_POINT, "direct")
 

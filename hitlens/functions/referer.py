@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import first_match, lookup, present
+from hitlens.rules import column, first_match, lookup, lowered_text, present
 
 
 def authority(referer: Column) -> Column:
@@ -19,12 +19,12 @@ def domain(referer: Column) -> Column:
     return F.regexp_replace(authority(referer), r"^www\.", "")
 
 
-def search_engine(referer: Column) -> Column:
-    return first_match(F.lower(referer), K.SEARCH_ENGINE, None)
+def search_engine(referer: Column | str, *, lowered: bool = False) -> Column:
+    return first_match(lowered_text(referer, lowered), K.SEARCH_ENGINE, None)
 
 
-def social_network(referer: Column) -> Column:
-    return first_match(F.lower(referer), K.SOCIAL_NETWORK, None)
+def social_network(referer: Column | str, *, lowered: bool = False) -> Column:
+    return first_match(lowered_text(referer, lowered), K.SOCIAL_NETWORK, None)
 
 
 def domain_search(referer: Column) -> Column:
@@ -52,10 +52,10 @@ def search_keywords(referer: Column) -> Column:
     return F.coalesce(F.try_url_decode(raw), raw)
 
 
-def entry_source(referer: Column) -> Column:
+def entry_source(referer: Column | str, *, lowered: bool = False) -> Column:
     """Internal, Search_Engine, Social_Media, Direct, External or Unknown by keyword."""
-    return F.when(present(referer).isNull(), F.lit("Direct")).otherwise(
-        first_match(F.lower(referer), K.ENTRY_SOURCE, "Unknown")
+    return F.when(present(column(referer)).isNull(), F.lit("Direct")).otherwise(
+        first_match(lowered_text(referer, lowered), K.ENTRY_SOURCE, "Unknown")
     )
 
 

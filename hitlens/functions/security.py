@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import descend, found
+from hitlens.rules import descend, found, lowered_text
 
 
-def sql_injection(uri: Column) -> Column:
-    return F.coalesce(found(F.lower(uri), K.SQL_INJECTION), F.lit(False))
+def sql_injection(uri: Column | str, *, lowered: bool = False) -> Column:
+    return F.coalesce(found(lowered_text(uri, lowered), K.SQL_INJECTION), F.lit(False))
 
 
-def cross_site(uri: Column) -> Column:
-    return F.coalesce(found(F.lower(uri), K.CROSS_SITE), F.lit(False))
+def cross_site(uri: Column | str, *, lowered: bool = False) -> Column:
+    return F.coalesce(found(lowered_text(uri, lowered), K.CROSS_SITE), F.lit(False))
 
 
 def threats(uri: Column, params: Column, agent: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import first_match, lookup
+from hitlens.rules import column, first_match, lookup, lowered_text
 
 UNKNOWN = "unknown"
 
@@ -157,12 +157,12 @@ def path_class(uri: Column) -> Column:
     return F.when(uri == "", F.lit("Unknown")).otherwise(first_match(uri, K.PATH_CLASS, "Page"))
 
 
-def operation(uri: Column) -> Column:
-    return F.when(uri == "", F.lit(UNKNOWN)).otherwise(first_match(F.lower(uri), K.OPERATION, "other"))
+def operation(uri: Column | str, *, lowered: bool = False) -> Column:
+    return F.when(column(uri) == "", F.lit(UNKNOWN)).otherwise(first_match(lowered_text(uri, lowered), K.OPERATION, "other"))
 
 
-def journey_stage(uri: Column) -> Column:
-    return F.when(uri == "", F.lit(UNKNOWN)).otherwise(first_match(F.lower(uri), K.JOURNEY_STAGE, "active"))
+def journey_stage(uri: Column | str, *, lowered: bool = False) -> Column:
+    return F.when(column(uri) == "", F.lit(UNKNOWN)).otherwise(first_match(lowered_text(uri, lowered), K.JOURNEY_STAGE, "active"))
 
 
 def keyword_class(uri: Column) -> dict[str, Column]:

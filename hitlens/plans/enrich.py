@@ -19,6 +19,7 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
             "_agent": F.lower("user_agent"),
             "_from": F.lower("referer"),
             "_text": F.lower("request_uri"),
+            "_server": F.lower("server_name"),
             "_parts": uri.segments(c("request_uri")),
             "_number": network.ipv4_long(c("client_ip")),
             "is_internal": network.is_internal(c("client_ip")),
@@ -30,34 +31,34 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         "stat_hour": F.date_trunc("hour", "log_time"),
         "hour": F.hour("log_time"),
         "weekday": F.weekday("log_time") + 1,
-        "platform": agent.platform(c("_agent")),
-        "device": agent.device(c("_agent")),
-        "os": agent.operating_system(c("_agent")),
-        "browser": agent.browser_name(c("_agent")),
-        "bot_type": agent.bot(c("_agent")),
-        "is_bot": agent.is_bot(c("_agent")),
+        "platform": agent.platform("_agent", lowered=True),
+        "device": agent.device("_agent", lowered=True),
+        "os": agent.operating_system("_agent", lowered=True),
+        "browser": agent.browser_name("_agent", lowered=True),
+        "bot_type": agent.bot("_agent", lowered=True),
+        "is_bot": agent.is_bot("_agent", lowered=True),
         "sdk_type": agent.sdk_type(c("user_agent")),
         "referer_domain": referer.domain(c("referer")),
-        "search_engine": referer.search_engine(c("_from")),
-        "social_network": referer.social_network(c("_from")),
-        "entry_source": referer.entry_source(c("_from")),
+        "search_engine": referer.search_engine("_from", lowered=True),
+        "social_network": referer.social_network("_from", lowered=True),
+        "entry_source": referer.entry_source("_from", lowered=True),
         "application": path["application"],
         "service": path["service"],
         "module": path["module"],
         "is_static": path["is_static"],
         "api_category": uri.api_category(c("request_uri")),
-        "operation": uri.operation(c("_text")),
-        "journey_stage": uri.journey_stage(c("_text")),
+        "operation": uri.operation("_text", lowered=True),
+        "journey_stage": uri.journey_stage("_text", lowered=True),
         "is_success": status.success(c("status")),
         "is_error": status.error(c("status")),
         "is_slow": ms > limits.slow_ms,
         "anomaly_type": status.anomaly_type(c("status"), ms, c("body_bytes")),
         "ip_kind": network.ip_kind(c("client_ip"), c("_number")),
-        "is_sql_injection": security.sql_injection(c("_text")),
-        "is_cross_site": security.cross_site(c("_text")),
-        "tenant": business.tenant(c("server_name")),
-        "environment": business.environment(c("server_name")),
-        "entry_point": business.entry_point(c("server_name")),
+        "is_sql_injection": security.sql_injection("_text", lowered=True),
+        "is_cross_site": security.cross_site("_text", lowered=True),
+        "tenant": business.tenant("_server", lowered=True),
+        "environment": business.environment("_server", lowered=True),
+        "entry_point": business.entry_point("_server", lowered=True),
         "reputation": network.reputation(c("client_ip")),
         "process_ms": F.greatest(F.lit(0), c("header_ms") - c("connect_ms")),
         "backend_transfer_ms": F.greatest(F.lit(0), c("response_ms") - c("header_ms")),
@@ -73,7 +74,8 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         "network_ms": c("connect_ms") + c("front_ms"),
         "transfer_ms": c("backend_transfer_ms") + c("front_ms"),
         "api_group": business.api_group(c("application"), c("service"), c("is_static")),
-        "business_domain": business.domain(c("application"), c("service"), c("module")),
+        "_word": F.lower("module"),
+        "_words": F.lower(F.concat_ws("/", "application", "service", "module")),
         "access_type": agent.access_type(c("sdk_type"), c("platform"), c("browser"), c("is_bot")),
         "client_category": agent.client_category(c("is_bot"), c("device"), c("sdk_type")),
         "client_type": agent.client_type(c("is_bot"), c("sdk_type")),
@@ -93,13 +95,18 @@ def enrich(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         "user_tier": tier,
     }
     third = {
+        "business_domain": business.domain(
+            c("application"), c("service"), c("module"), word="_word", words="_words"
+        ),
         "risk_level": security.risk_level(c("risk_score")),
+    }
+    fourth = {
         "value_score": business.value_score(
             c("business_domain"), c("api_group"), c("service"), c("status"), ms
         ),
     }
-    out = base.withColumns(first).withColumns(second).withColumns(third)
-    return out.drop("_agent", "_from", "_text", "_parts", "_number")
+    out = base.withColumns(first).withColumns(second).withColumns(third).withColumns(fourth)
+    return out.drop("_agent", "_from", "_text", "_server", "_parts", "_number", "_word", "_words")
 
 
 def day_parts(df: DataFrame, ts: str = "log_time") -> DataFrame:

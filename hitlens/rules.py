@@ -78,31 +78,61 @@ def _literals(part: str) -> tuple[list[str], bool]:
     return [r for r in (*runs, run) if r], plain
 
 
-def found(subject: Column, pattern: str) -> Column:
-    """``subject`` contains a match of ``pattern``; same result as ``rlike``, usually much cheaper."""
+def _tests(pattern: str) -> list[tuple[str, list[str], str]]:
+    """What a pattern comes down to: (kind, literals, regex); kinds are contains, startswith, endswith and rlike."""
     if pattern.startswith("(?"):
-        return subject.rlike(pattern)
+        return [("rlike", [], pattern)]
     tests, regexes = [], []
     for part in _alternatives(pattern):
         runs, plain = _literals(part)
         if plain and runs:
-            tests.append(subject.contains(runs[0]))
+            tests.append(("contains", runs[:1], ""))
         elif runs and part.startswith("^") and _literals(part[1:]) == (runs, True):
-            tests.append(subject.startswith(runs[0]))
+            tests.append(("startswith", runs[:1], ""))
         elif runs and part.endswith("$") and _literals(part[:-1]) == (runs, True):
-            tests.append(subject.endswith(runs[0]))
+            tests.append(("endswith", runs[:1], ""))
         elif runs:
-            needed = reduce(lambda a, b: a & b, [subject.contains(r) for r in dict.fromkeys(runs)])
-            tests.append(needed & subject.rlike(part))
+            tests.append(("rlike", list(dict.fromkeys(runs)), part))
         else:
             regexes.append(part)
-    if regexes:
-        tests.append(subject.rlike("|".join(regexes)))
-    return reduce(lambda a, b: a | b, tests)
+    return [*tests, ("rlike", [], "|".join(regexes))] if regexes else tests
 
 
-def first_match(subject: Column, rules: Rules, default: str | None = None) -> Column:
-    """Label of the first rule whose regex is found in ``subject``."""
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_test(column: str, pattern: str) -> str:
+    """The tests of a pattern as SQL over a named column."""
+
+    def one(kind: str, literals: list[str], regex: str) -> str:
+        plain = [f"{'contains' if kind == 'rlike' else kind}(`{column}`, {_quoted(text)})" for text in literals]
+        return "(" + " AND ".join([*plain, f"`{column}` RLIKE {_quoted(regex)}"] if kind == "rlike" else plain) + ")"
+
+    return "(" + " OR ".join(one(*test) for test in _tests(pattern)) + ")"
+
+
+def found(subject: Column | str, pattern: str) -> Column:
+    """``subject`` contains a match of ``pattern``; same result as ``rlike``, usually much cheaper.
+
+    A column given by its name becomes one SQL expression: the same plan, built in one call to the JVM.
+    """
+    if isinstance(subject, str):
+        return F.expr(_sql_test(subject, pattern))
+
+    def one(kind: str, literals: list[str], regex: str) -> Column:
+        plain = [getattr(subject, "contains" if kind == "rlike" else kind)(text) for text in literals]
+        return reduce(lambda a, b: a & b, [*plain, subject.rlike(regex)] if kind == "rlike" else plain)
+
+    return reduce(lambda a, b: a | b, [one(*test) for test in _tests(pattern)])
+
+
+def first_match(subject: Column | str, rules: Rules, default: str | None = None) -> Column:
+    """Label of the first rule whose regex is found in ``subject`` (a column, or its name as in :func:`found`)."""
+    rules = list(rules)
+    if isinstance(subject, str) and rules:
+        arms = " ".join(f"WHEN {_sql_test(subject, pattern)} THEN {_quoted(label)}" for label, pattern in rules)
+        return F.expr(f"CASE {arms} ELSE {'NULL' if default is None else _quoted(default)} END")
     out = None
     for label, pattern in rules:
         test = found(subject, pattern)
@@ -144,6 +174,15 @@ def starts_with_any(subject: Column, prefixes: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [subject.startswith(p) for p in prefixes])
 
 
+def column(text: Column | str) -> Column:
+    return F.col(text) if isinstance(text, str) else text
+
+
+def lowered_text(text: Column | str, lowered: bool) -> Column | str:
+    """Lower-cased text for a rule list; a rule list reads it once per rule, so callers may pass it lowered."""
+    return text if lowered else F.lower(text)
+
+
 def present(text: Column) -> Column:
     """Header text, or NULL where it is absent, empty or the ``-`` placeholder."""
     return F.when((text != "") & (text != "-"), text)

@@ -92,7 +92,7 @@ def _(spark, sf):
 @register("j05_previous_row", "SELECT event_id, lag(event_id) OVER w AS prev_event_id, lag(value) OVER w AS prev_value FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)", raw=True)
 def _(spark, sf):
     e = table(spark, sf, "events").select("event_id", "event_type", c("ts").cast("timestamp").alias("ts"), "value")
-    out = sequence.with_previous(e, ["event_type"], ["ts", "event_id"], ["event_id", "value"], slice_of=F.to_date("ts"))
+    out = sequence.with_previous(e, ["event_type"], ["ts", "event_id"], ["event_id", "value"], slice_of=F.date_trunc("minute", "ts"))
     return out.select("event_id", "prev_event_id", "prev_value")
 
 

@@ -802,7 +802,7 @@ def _(spark, sf):
 @register("w11_error_gaps", _GAPS + " SELECT event_id, prev_log_time FROM l")
 def _(spark, sf):
     rows = hits(spark, sf).filter("is_error").select("uri", "log_time", "event_id")
-    out = sequence.with_previous(rows, ["uri"], ["log_time", "event_id"], ["log_time"], slice_of=F.date_trunc("hour", "log_time"))
+    out = sequence.with_previous(rows, ["uri"], ["log_time", "event_id"], ["log_time"], slice_of=F.date_trunc("minute", "log_time"))
     return out.select("event_id", "prev_log_time")
 
 
@@ -853,15 +853,23 @@ def _(spark, sf):
 @register(
     "a50_health_score",
     A51_SQL
-    + """, s AS (SELECT greatest(0e0, 100 - server_error_rate * 20) AS e, greatest(0e0, 100 - greatest(0e0, avg_ms / 1000 - 0.5e0) * 50) AS l, (least(100e0, backend_efficiency) + (100 - connection_cost) + (100 - transfer_share)) / 3 AS f,
+    + bucket_sql("day")
+    + ", tl AS (" + " UNION ALL ".join(f"SELECT bucket, '{m}' AS metric, {m}::DOUBLE AS v FROM rep" for m in ("p50", "error_rate", "qps")) + ")"
+    + """, th AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY bucket) <= count(*) OVER (PARTITION BY metric) // 2 AS early FROM tl),
+    tg AS (SELECT metric, avg(v) FILTER (WHERE early) AS x, avg(v) FILTER (WHERE NOT early) AS y FROM th GROUP BY metric), tc AS (SELECT metric, round((y - x) / x * 100, 6) AS ch FROM tg WHERE x <> 0),
+    tp AS (SELECT coalesce(sum(CASE WHEN metric IN ('p50', 'error_rate') AND ch > 5 THEN least(20e0, abs(ch)) WHEN metric = 'qps' AND ch < -5 THEN least(15e0, abs(ch)) END), 0) AS lost FROM tc),
+    s AS (SELECT greatest(0e0, 100 - server_error_rate * 20) AS e, greatest(0e0, 100 - greatest(0e0, avg_ms / 1000 - 0.5e0) * 50) AS l, (least(100e0, backend_efficiency) + (100 - connection_cost) + (100 - transfer_share)) / 3 AS f,
       greatest(0e0, 100 - CASE WHEN std_ms / 1000 > 0.5 THEN least(30e0, std_ms / 1000 * 20) ELSE 0 END - CASE WHEN server_error_rate > 0.5 THEN least(40e0, server_error_rate * 15) ELSE 0 END) AS s,
-      greatest(0e0, 100 - (CASE WHEN server_error_rate > 2 THEN least(50e0, server_error_rate * 10) ELSE 0 END + CASE WHEN avg_ms / 1000 > 2 THEN least(30e0, (avg_ms / 1000 - 2) * 15) ELSE 0 END)) AS a FROM k),
-    o AS (SELECT *, round(e * 0.25e0 + l * 0.2e0 + f * 0.2e0 + s * 0.15e0 + a * 0.1e0 + 80 * 0.1e0, 4) AS overall FROM s)
-    SELECT round(e, 4) AS error_score, round(l, 4) AS latency_score, round(f, 4) AS efficiency_score, round(s, 4) AS stability_score, round(a, 4) AS anomaly_score, overall,
+      greatest(0e0, 100 - (CASE WHEN server_error_rate > 2 THEN least(50e0, server_error_rate * 10) ELSE 0 END + CASE WHEN avg_ms / 1000 > 2 THEN least(30e0, (avg_ms / 1000 - 2) * 15) ELSE 0 END)) AS a,
+      greatest(0e0, 80 - (SELECT lost FROM tp)) AS t FROM k),
+    o AS (SELECT *, round(e * 0.25e0 + l * 0.2e0 + f * 0.2e0 + s * 0.15e0 + a * 0.1e0 + t * 0.1e0, 4) AS overall FROM s)
+    SELECT round(e, 4) AS error_score, round(l, 4) AS latency_score, round(f, 4) AS efficiency_score, round(s, 4) AS stability_score, round(a, 4) AS anomaly_score, round(t, 4) AS trend_score, overall,
     CASE WHEN overall >= 90 THEN '优秀' WHEN overall >= 80 THEN '良好' WHEN overall >= 70 THEN '一般' WHEN overall >= 60 THEN '需要关注' ELSE '需要紧急处理' END AS grade FROM o""",
 )
 def _(spark, sf):
-    return summary.health(summary.key_metrics(hits(spark, sf)))
+    rows = hits(spark, sf)
+    trends = timeline.halves_trend(timeline.buckets(rows, "day"), ["p50", "error_rate", "qps"])
+    return summary.health(summary.key_metrics(rows), trends)
 
 
 _RAW_TIMES = """, m AS (SELECT event_id, duration_ms - event_id % 3 AS d, connect_ms, header_ms - event_id % 50 AS h, response_ms FROM access)"""

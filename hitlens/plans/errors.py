@@ -113,7 +113,7 @@ def samples(df: DataFrame, *, k: int = 50) -> DataFrame:
 def bursts(df: DataFrame, *, gap_seconds: int = 300) -> DataFrame:
     """Gaps between consecutive errors per interface; a burst is a gap under five minutes."""
     rows = df.filter("is_error").select("uri", "log_time", "event_id")
-    seen = with_previous(rows, ["uri"], ["log_time", "event_id"], ["log_time"], slice_of=F.date_trunc("hour", "log_time"))
+    seen = with_previous(rows, ["uri"], ["log_time", "event_id"], ["log_time"], slice_of=F.date_trunc("minute", "log_time"))
     gap = (F.unix_micros("log_time") - F.unix_micros("prev_log_time"))
     out = seen.withColumn("gap", gap).groupBy("uri").agg(
         F.count(F.lit(1)).alias("errors"),

@@ -53,8 +53,23 @@ def key_metrics(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def health(metrics: DataFrame) -> DataFrame:
-    """Weighted health score: errors .25, latency .20, efficiency .20, stability .15, anomaly .10, trend .10."""
+def trend_penalty(trends: DataFrame) -> DataFrame:
+    """One value: points lost for rising latency or error rate (20 at most each) and falling throughput (15).
+
+    ``trends`` has a row ``(metric, change, direction)`` for each metric, as the trend reports give it.
+    """
+    c = F.col
+    size = F.abs("change")
+    worse = F.when(c("metric").isin("p50", "error_rate") & (c("direction") == "rising"), F.least(F.lit(20.0), size))
+    worse = worse.when((c("metric") == "qps") & (c("direction") == "falling"), F.least(F.lit(15.0), size))
+    return trends.agg(F.coalesce(F.sum(worse), F.lit(0.0)).alias("penalty"))
+
+
+def health(metrics: DataFrame, trends: DataFrame | None = None) -> DataFrame:
+    """Weighted health score: errors .25, latency .20, efficiency .20, stability .15, anomaly .10, trend .10.
+
+    Without ``trends`` (p50, error_rate and qps of the halves of the period) the trend counts 80 of 100.
+    """
     c = F.col
     zero, full = F.lit(0.0), F.lit(100.0)
     seconds = c("avg_ms") / F.lit(1000.0)
@@ -74,7 +89,8 @@ def health(metrics: DataFrame) -> DataFrame:
     odd = F.when(err > 2, F.least(F.lit(50.0), err * 10)).otherwise(zero) + F.when(
         seconds > 2, F.least(F.lit(30.0), (seconds - 2) * 15)
     ).otherwise(zero)
-    trend_score = F.lit(80.0)
+    lost = F.lit(0.0) if trends is None else trend_penalty(trends).scalar()
+    trend_score = F.greatest(zero, F.lit(80.0) - lost)
     overall = (
         error_score * 0.25
         + latency_score * 0.20
@@ -89,6 +105,7 @@ def health(metrics: DataFrame) -> DataFrame:
         F.round(efficiency_score, 4).alias("efficiency_score"),
         F.round(stability_score, 4).alias("stability_score"),
         F.round(F.greatest(zero, full - odd), 4).alias("anomaly_score"),
+        F.round(trend_score, 4).alias("trend_score"),
         F.round(overall, 4).alias("overall"),
     )
     grade = descend(c("overall"), [(90, "优秀"), (80, "良好"), (70, "一般"), (60, "需要关注")], "需要紧急处理", strict=False)

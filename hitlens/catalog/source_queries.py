@@ -323,6 +323,40 @@ def _(spark, sf):
     return jobs.read_rollup(spark, f"{folder}/state", _KEYS).drop("clients_estimate", "p95_estimate")
 
 
+@register("x01_watched_folder", "SELECT status, count(*) AS requests, CAST(sum(event_id) AS BIGINT) AS ids FROM access GROUP BY 1")
+def _(spark, sf):
+    """A folder of log files that grows between two runs of one job: every line is taken once."""
+    folder = scratch(spark, "watched")
+    tagged = F.concat(c("value"), F.lit(' id:"'), c("event_id").cast("string"), F.lit('"'))
+    rows = lines.as_pairs(access(spark, sf)).select(tagged.alias("value"), (c("event_id") % 2).alias("half"))
+
+    def parsed(batch, batch_id):
+        ids = lines.pair_value(lines.padded(c("value")), ["id"]).cast("long").alias("event_id")
+        found = lines.accepted(lines.parse_pairs(batch.select("value", ids)))
+        found.select("event_id", "status").write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+
+    for half in (0, 1):
+        rows.filter(c("half") == half).select("value").write.mode("append").text(f"{folder}/logs")
+        stream = jobs.watch_lines(spark, f"{folder}/logs", glob="*.txt").writeStream.foreachBatch(parsed)
+        stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(f"{folder}/rows")
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("requests"), F.sum("event_id").alias("ids"))
+
+
+@register("x08_late_rows", _STATE_SQL)
+def _(spark, sf):
+    """Rows of hours long past arrive in a later run, after a fold; none is lost or counted twice."""
+    folder = scratch(spark, "late")
+    rows = table(spark, sf, "events")
+    for late in (False, True):
+        rows.filter((c("event_id") % 10 == 0) == late).write.mode("append").parquet(f"{folder}/events")
+        events = spark.readStream.schema(rows.schema).parquet(f"{folder}/events")
+        jobs.start_rollup(enrich(requests_from(events)), _KEYS, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+        if not late:
+            jobs.compact(spark, f"{folder}/state", _KEYS, f"{folder}/folded")
+    return jobs.read_rollup(spark, f"{folder}/state", _KEYS, f"{folder}/folded").drop("clients_estimate", "p95_estimate")
+
+
 @register("x04_latest_version", "SELECT client_ip, arg_max(event_id, (log_time, event_id)) AS event_id, arg_max(status, (log_time, event_id)) AS status, max(log_time) AS log_time FROM access GROUP BY 1")
 def _(spark, sf):
     df = access(spark, sf).select("client_ip", "event_id", "status", "log_time", F.struct("log_time", "event_id").alias("version"))

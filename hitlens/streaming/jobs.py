@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,14 +52,35 @@ def start_rollup(
     return writer.start()
 
 
-def read_rollup(spark: SparkSession, state_path: str, keys: Sequence[str]) -> DataFrame:
-    """Current report over all partial state rows."""
-    return state.report(state.merge(spark.read.parquet(state_path), keys), keys)
+def _current(spark: SparkSession, state_path: str, folded: str | None) -> DataFrame:
+    """Partial rows that count: the latest fold, and the batches after the last one in it."""
+    batches = spark.read.parquet(state_path)
+    if folded is None:
+        return batches
+    try:
+        folds = spark.read.parquet(folded)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return batches
+    through = folds.agg(F.max("through")).first()[0]
+    later = batches.filter(c("batch_id") > through).drop("batch_id")
+    return folds.filter(c("through") == through).drop("through").unionByName(later)
+
+
+def read_rollup(spark: SparkSession, state_path: str, keys: Sequence[str], folded: str | None = None) -> DataFrame:
+    """Current report over all partial state rows; with ``folded``, over the latest fold and what came later."""
+    return state.report(state.merge(_current(spark, state_path, folded), keys), keys)
 
 
 def compact(spark: SparkSession, state_path: str, keys: Sequence[str], target: str) -> None:
-    """Fold the partial rows into one row per key in a new folder."""
-    state.merge(spark.read.parquet(state_path), keys).write.mode("overwrite").parquet(target)
+    """Fold the partial rows into one row per key, in a folder named after the last batch in it.
+
+    A reader of the fold takes no earlier batch, so those may be deleted at any time.
+    """
+    last = spark.read.parquet(state_path).agg(F.max("batch_id")).first()[0]
+    rows = _current(spark, state_path, target)
+    state.merge(rows, keys).write.mode("overwrite").parquet(f"{target}/through={last}")
 
 
 def windowed(requests: DataFrame, width: str, *, late: str = "1 hour", slide: str | None = None, by: Sequence[str] = ()) -> DataFrame:

@@ -105,23 +105,25 @@ class ShardReader:
         self.file = pa.ipc.open_file(opened)
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 0
         self.length = self.file.schema.field("ids").type.list_size
+        self.last: tuple[int, np.ndarray] | None = None
 
-    def sequences(self, batch: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (no copy) and mask of a batch, one row for each sequence."""
-        read = self.file.get_batch(batch)
-        ids = read.column("ids").flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
-        return ids, read.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(-1, self.length)
+    def ids(self, batch: int) -> np.ndarray:
+        """Ids of a batch (no copy), one row for each sequence; the last batch asked for stays at hand."""
+        if self.last is None or self.last[0] != batch:
+            flat = self.file.get_batch(batch).column("ids").flatten()
+            self.last = batch, flat.to_numpy(zero_copy_only=True).reshape(-1, self.length)
+        return self.last[1]
 
     def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        ids, mask = self.sequences(k // self.rows)
-        return ids[k % self.rows], mask[k % self.rows]
+        """Ids and mask of a sequence."""
+        mask = self.file.get_batch(k // self.rows).column("mask")[k % self.rows].values
+        return self.ids(k // self.rows)[k % self.rows], mask.to_numpy(zero_copy_only=False)
 
     def tokens(self, start: int, count: int) -> Iterator[np.ndarray]:
         """A run of token ids, as views of the batches that it touches."""
         whole = self.rows * self.length
         while count > 0:
-            ids = self.sequences(start // whole)[0].reshape(-1)
-            part = ids[start % whole : start % whole + count]
+            part = self.ids(start // whole).reshape(-1)[start % whole : start % whole + count]
             yield part
             start, count = start + len(part), count - len(part)
 
@@ -172,7 +174,7 @@ def read_documents(shards: DataFrame, folder: str) -> DataFrame:
                         starts = pa.array(part.column("start").to_numpy() + first)
                         yield pa.RecordBatch.from_arrays([part.column("doc_id"), starts, part.column("n_tokens"), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.repartition(F.col("path"))
+    spread = placed.repartition(max(1, shards.count()))  # a task for each shard, though their rows are few
     return mapped(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -93,7 +93,10 @@ class ShardWriter:
             writer.close()
             file.close()
         for draft, final in zip(self.draft, self.final, strict=True):
-            self.fs.move(draft, final)
+            if self.fs.get_file_info(final).type == pafs.FileType.NotFound:
+                self.fs.move(draft, final)
+            else:  # another attempt of this task has put the same bytes there
+                self.fs.delete_file(draft)
         return self.final[0]
 
 

@@ -72,6 +72,20 @@ def test_nearest_rank(spark):
             assert row[name] == values[min(int(len(values) * p), len(values) - 1)]
 
 
+def test_with_previous_of_a_null_key(spark):
+    rows = [(k, T0 + timedelta(days=d), d) for k in (None, "a") for d in (0, 3)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, i int")
+    out = sequence.with_previous(df, ["k"], ["t", "i"], ["i"], slice_of=F.to_date("t"))
+    assert sorted((str(r["k"]), r["i"], r["prev_i"] is None) for r in out.collect()) == [("None", 0, True), ("None", 3, False), ("a", 0, True), ("a", 3, False)]
+
+
+def test_large_samples_per_key(spark):
+    df = spark.range(20_000).withColumn("k", F.col("id") % 2)
+    out = sampling.per_key(df, ["k"], "id", 2_000)
+    assert {r["k"]: r["count"] for r in out.groupBy("k").count().collect()} == {0: 2_000, 1: 2_000}
+    assert out.columns == df.columns
+
+
 def test_with_previous_across_empty_slices(spark):
     data = [("a", T0 + timedelta(hours=h), i) for i, h in enumerate([0, 0, 1, 30, 31, 90])] + [("b", T0, 9)]
     df = spark.createDataFrame(data, "k string, t timestamp, i int")
@@ -145,6 +159,12 @@ def test_filters(spark):
     assert filters.recent_or_all(df, "t", 24, "2025-01-03 00:00:00").count() == 2
     assert filters.recent_or_all(df, "t", 24, "2026-01-03 00:00:00").count() == 4
     assert filters.one_of(df, "i", list(range(600))).count() == 4
+    wide = spark.createDataFrame([(k, str(k)) for k in range(4000)], "i int, k string")
+    for n in (3, 3000):
+        picked = filters.one_of(wide, "k", [str(k) for k in range(n)])
+        assert picked.columns == wide.columns and picked.count() == n
+    listed = filters.one_of(wide, "k", spark.createDataFrame([("7",)], "k string"))
+    assert listed.columns == wide.columns and listed.count() == 1
     now = datetime(2025, 1, 1, 12)
     assert filters.time_window(None, None, 6, now) == (datetime(2025, 1, 1, 6), now)
     assert filters.time_window("1735689600", "2025-01-02T00:00:00Z", 6, now) == (datetime(2025, 1, 1), datetime(2025, 1, 2))
@@ -209,6 +229,15 @@ def test_streaming_rollup_equals_batch(spark, tmp_path):
     assert after.agg(F.sum("requests")).first()[0] == events.count() + 5
     jobs.compact(spark, f"{folder}/state", keys, f"{folder}/compact")
     assert jobs.read_rollup(spark, f"{folder}/compact", keys).count() == after.count()
+    folded = jobs.read_rollup(spark, f"{folder}/state", keys, f"{folder}/compact")
+    assert folded.agg(F.sum("requests")).first()[0] == events.count() + 5
+    # what comes after a fold is added to it, and a second fold takes the first one's place
+    events.limit(7).coalesce(1).write.mode("append").parquet(source)
+    jobs.start_rollup(enrich(requests_from(stream)), keys, f"{folder}/state", f"{folder}/check").awaitTermination()
+    for _ in range(2):
+        folded = jobs.read_rollup(spark, f"{folder}/state", keys, f"{folder}/compact")
+        assert folded.agg(F.sum("requests")).first()[0] == events.count() + 12
+        jobs.compact(spark, f"{folder}/state", keys, f"{folder}/compact")
 
 
 def test_streaming_alerts(spark, tmp_path):

@@ -113,11 +113,47 @@ def test_manifest(spark, tmp_path):
     left = {r["file"][-5:] for r in files.pending(prints.select("file", "hash"), manifest).collect()}
     assert left == {"b.log", "c.log"}
     assert files.reset_failed(manifest, later).count() == 1
+    # a manifest is a stored table; a lazy one would read the changed file as well
+    manifest.write.parquet(str(tmp_path / "manifest"))
+    manifest = spark.read.parquet(str(tmp_path / "manifest"))
     (tmp_path / "a.log").write_text("changed\n")
-    prints = files.content_fingerprints(files.read_lines(spark, str(tmp_path)))
+    prints = files.content_fingerprints(files.read_lines(spark, str(tmp_path), glob="*.log"))
     assert files.pending(prints.select("file", "hash"), manifest).count() == 3
 
 
+def test_new_file_leaves_other_fingerprints(spark, tmp_path):
+    def prints():
+        return {r["file"][-5:]: r["hash"] for r in files.content_fingerprints(files.read_lines(spark, str(tmp_path))).collect()}
+
+    for name in ("b", "c"):
+        (tmp_path / f"{name}.log").write_text(f"{name}\n" * 50)
+    before = prints()
+    (tmp_path / "a.log").write_text("a\n" * 5000)
+    after = prints()
+    assert len(after) == 3 and {k: after[k] for k in before} == before
+
+
+def test_broken_lines_of_every_format(spark):
+    good = '{"time":"2025-01-01T00:00:00+08:00","status":"200","client_ip":"1.1.1.1"}'
+    df = text(spark, good, "{broken", '{"a": ', "noise", "  ")
+    assert lines.parse_json(df).count() == 1
+    assert [r["value"] for r in lines.broken(df, "json").collect()] == ["{broken", '{"a": ', "noise"]
+    stats = lines.parse_statistics(df, "json").first()
+    assert (stats["total"], stats["parsed"], stats["errors"], stats["empty"]) == (5, 1, 3, 1)
+    line = '1.1.1.1 - - [01/Jan/2025:00:00:00 +0800] "GET /a HTTP/1.1" 200 5 "-" "x"'
+    df = text(spark, line, line + ' "1.1.1.1" 0.5', "1.1.1.1 - -")
+    assert [r["user_agent"] for r in lines.parse_combined(df).collect()] == ["x", "x"]
+    assert lines.broken(df, "combined").count() == 1 and lines.parse_statistics(df, "combined").first()["errors"] == 1
+    assert lines.parse_statistics(df, "cdn").first()["parsed"] == 0
+
+
+def test_shared_folders_come_from_the_session(spark):
+    from hitlens.catalog.base import scratch
+
+    home = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert scratch(spark, "x").startswith(home) and scratch(spark, "x") != scratch(spark, "x")
+
+
 def test_csv_round_trip_and_coercion(spark, tmp_path):
     df = spark.createDataFrame([("2025-01-01 00:00:00", "1.1.1.1", "200", "7.0"), ("2025-01-01 00:00:01", None, "404", "-")], "raw_time string, client_ip_address string, response_status_code string, body_bytes_sent string")
     sinks.write_csv(df, str(tmp_path / "csv"))

@@ -282,6 +282,18 @@ def _(spark, sf):
     return out.select("metric", "cluster", F.round("raw", 4).alias("raw"), F.round("value", 4).alias("value"), "used_fallback")
 
 
+@register(
+    "m00_ghost_resets",
+    _FIT
+    + """, r AS (SELECT metric, cluster, sum(growth) AS raw FROM inc GROUP BY 1, 2), f AS (SELECT metric, cluster, sum(slope * span) AS fb FROM sl GROUP BY 1, 2)
+    SELECT cluster, round(CASE WHEN raw > 12000 AND fb > 0 AND fb < 12000 THEN fb ELSE raw END, 4) AS value FROM r JOIN f USING (metric, cluster) WHERE metric = 'click'""",
+    raw=True,
+)
+def _(spark, sf):
+    out = metrics.catalogue_report(samples(spark, sf, _CAT), seconds=3600, ghost={"total_requests": 12000.0})
+    return out.filter(c("name") == "total_requests").select("cluster", F.round("value", 4).alias("value"))
+
+
 @register("m03_peak", _SER + " SELECT metric, cluster, max(value) AS peak, arg_min(ts, (-value, ts)) AS peak_time FROM m GROUP BY 1, 2", raw=True)
 def _(spark, sf):
     return metrics.peak(samples(spark, sf), ["metric", "cluster"], "value", "ts")

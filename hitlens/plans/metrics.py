@@ -65,22 +65,27 @@ def rates(df: DataFrame, seconds: int = 120) -> DataFrame:
     return out.select("metric", "cluster", "slot", (c("growth") / F.lit(float(seconds))).alias("rate"))
 
 
-def slopes(df: DataFrame) -> DataFrame:
-    """Least-squares growth per second of every series, times the observed span."""
-    x = F.unix_micros("ts") / F.lit(1e6)
+def _slope() -> Column:
+    """Least-squares growth per second of ``value``."""
     origin = F.lit(1_700_000_000.0)
-    out = df.groupBy(*SERIES).agg(
-        F.regr_slope(c("value"), x - origin).alias("slope"),
+    return F.regr_slope(c("value"), F.unix_micros("ts") / F.lit(1e6) - origin)
+
+
+def slopes(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Least-squares growth per second of every series, times the observed span."""
+    out = df.groupBy(*by, *SERIES).agg(
+        _slope().alias("slope"),
         F.min("ts").alias("lo"),
         F.max("ts").alias("hi"),
     )
     span = (F.unix_micros("hi") - F.unix_micros("lo")) / F.lit(1e6)
-    return out.select(*SERIES, "slope", (c("slope") * span).alias("fitted"))
+    return out.select(*by, *SERIES, "slope", (c("slope") * span).alias("fitted"))
 
 
-def corrected(value: Column, fallback: Column, limit: float) -> Column:
+def corrected(value: Column, fallback: Column, limit: float | Column) -> Column:
     """The fallback, where the value passes the ghost-reset limit and the fallback is plausible."""
-    bad = (value > F.lit(limit)) & (fallback > 0) & (fallback < F.lit(limit))
+    limit = limit if isinstance(limit, Column) else F.lit(limit)
+    bad = (value > limit) & (fallback > 0) & (fallback < limit)
     return F.when(bad, fallback).otherwise(value)
 
 
@@ -196,10 +201,14 @@ def limit_breaches(summary: DataFrame, limits: dict[str, float]) -> DataFrame:
     )
 
 
-def catalogue_report(df: DataFrame, *, seconds: int = 120, cpu_limit: float = 85.0) -> DataFrame:
+def catalogue_report(
+    df: DataFrame, *, seconds: int = 120, cpu_limit: float = 85.0, ghost: dict[str, float] | None = None, fit_seconds: int = 300
+) -> DataFrame:
     """Every catalogue entry for which the table has series, per cluster: value, time, status.
 
-    Samples are tagged with the entries they feed, so the entries share one pass per function.
+    Samples are tagged with the entries they feed, so the entries share one pass per function. A counter
+    that passes its entry's ghost-reset limit (``ghost`` overrides limits by name) is taken from fitted
+    slopes instead, where those are plausible; such a value has no peak time.
     """
     tags = None
     for name, series, function, *_ in CATALOGUE:
@@ -232,13 +241,20 @@ def catalogue_report(df: DataFrame, *, seconds: int = 120, cpu_limit: float = 85
     counted = now.groupBy("name", "cluster").agg(
         F.count(F.lit(1)).alias("all"), F.count_if(c("v") > 0).alias("up"), F.count_if(c("v") > cpu_limit).alias("over")
     )
-    joined = ranged.join(counted, ["name", "cluster"])
-    divisor = critical = warning = None
-    for name, _, _, scale, limits, _ in CATALOGUE:
+    whole = slopes(tagged.filter(c("function") == "increase"), ("name",)).groupBy("name", "cluster").agg(F.sum("fitted").alias("fitted"))
+    fit_slot = F.window("ts", f"{fit_seconds} seconds")["start"]
+    local = tagged.filter(c("function") == "rate_peak").groupBy("name", *SERIES, fit_slot.alias("slot")).agg(_slope().alias("slope"))
+    local = local.groupBy("name", "cluster", "slot").agg(F.sum("slope").alias("slope"))
+    local = local.groupBy("name", "cluster").agg(F.max("slope").alias("fitted"))
+    joined = ranged.join(counted, ["name", "cluster"]).join(whole.unionByName(local), ["name", "cluster"], "left")
+    divisor = critical = warning = bound = None
+    for name, _, _, scale, limits, guard in CATALOGUE:
+        guard = (ghost or {}).get(name, guard)
         test = c("name") == F.lit(name)
         crit, warn = limits or (None, None)
         divisor = F.when(test, F.lit(scale)) if divisor is None else divisor.when(test, F.lit(scale))
         critical = F.when(test, F.lit(crit).cast("double")) if critical is None else critical.when(test, F.lit(crit).cast("double"))
+        bound = F.when(test, F.lit(guard).cast("double")) if bound is None else bound.when(test, F.lit(guard).cast("double"))
         warning = F.when(test, F.lit(warn).cast("double")) if warning is None else warning.when(test, F.lit(warn).cast("double"))
     f = c("function")
     value = (
@@ -248,9 +264,10 @@ def catalogue_report(df: DataFrame, *, seconds: int = 120, cpu_limit: float = 85
         .when(f == "count_over", c("over").cast("double"))
         .otherwise(F.coalesce(c("best.v"), F.lit(0.0)))
     )
-    out = joined.withColumn("value", value / divisor)
+    out = joined.withColumn("raw", value / divisor)
+    out = out.withColumn("value", corrected(c("raw"), c("fitted") / divisor, bound))
     status = (
         F.when(c("value") >= critical, F.lit("critical")).when(c("value") >= warning, F.lit("warning")).otherwise(F.lit("normal"))
     )
-    when = F.when(f.endswith("_peak"), F.timestamp_micros(-c("best.t")))
+    when = F.when(f.endswith("_peak") & (c("value") == c("raw")), F.timestamp_micros(-c("best.t")))
     return out.select("name", "cluster", "value", when.alias("peak_time"), status.alias("status"))

@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlens.llm.common import mapped, others, register, slices, table
+from hitlens.llm.common import held, mapped, others, register, slices, table
 
 MARK = "▁"
-TABLE_SIZE = 400_000
+TABLE_SIZE = 150_000
 _RUNS = re.compile(" +[^ ]*")
 
 
@@ -71,13 +71,8 @@ class ChunkTable:
         return [b"".join([known[c] for c in parts]) for parts in cut]
 
 
-_TABLES: dict[str, ChunkTable] = {}
-
-
 def chunk_table(model: str) -> ChunkTable:
-    if model not in _TABLES:
-        _TABLES[model] = ChunkTable(model)
-    return _TABLES[model]
+    return held(("chunks", model), lambda: ChunkTable(model))
 
 
 def strings(column: pa.Array) -> list[str]:
@@ -117,11 +112,9 @@ def decoded(encodings: DataFrame, model: str, ids: str = "ids", into: str = "dec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = chunk_table(model).model
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                texts = codec.decode([r or [] for r in part.column(ids).to_pylist()], num_threads=1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
+        for part in slices(batches, ids, 1 << 20):
+            texts = codec.decode([r or [] for r in part.column(ids).to_pylist()], num_threads=1)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
 
     return mapped(source, run, schema)
 

@@ -68,7 +68,12 @@ def quoted(names: Iterable[str]) -> list[str]:
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow(run, schema)``, also for column names with dots, which that call cannot take."""
-    names = df.columns
+    inner, names = run, df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from inner(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on
+
     if not any("." in c or "`" in c for c in names):
         return df.mapInArrow(run, schema)
 
@@ -78,10 +83,35 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(renamed, schema)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks: the tables of one operator, the last that asked."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def wrapped(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``doc`` (the other columns as one), ``doc_id`` and ``text``: nothing can clash, the text travels once."""
+    rest = [F.col(c) for c in quoted(c for c in docs.columns if c != text)]
+    return docs.select(F.struct(*rest).alias("doc"), F.col("doc_id"), F.col(text).alias("text"))
+
+
+def unwrapped(df: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` again, from rows that :func:`wrapped` made."""
+    return df.select(*[F.col("text" if c == text else f"doc.{q}").alias(c) for c, q in zip(docs.columns, quoted(docs.columns), strict=True)])
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``size`` bytes at a time (one longer value stays whole)."""
+    """Cut batches so that ``column`` (text, or lists of 32-bit numbers) holds about ``size`` bytes at a time; one
+    longer value stays whole."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        counted = pc.multiply(pc.list_value_length(values), 4) if pa.types.is_list(values.type) else pc.binary_length(values)
+        lengths = pc.fill_null(counted, 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths, dtype=np.int64)
         start = 0
         while start < batch.num_rows:

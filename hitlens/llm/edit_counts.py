@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlens.llm.chunk_codec import strings
-from hitlens.llm.common import mapped, others, register, slices, table
+from hitlens.llm.common import held, mapped, others, register, slices, table
 from hitlens.llm.word_tokens import Generations
 
 LEAF = 32
@@ -54,13 +54,8 @@ class Counter:
         return list(map(len, pieces)), list(map(self.known.__getitem__, pieces))
 
 
-_COUNTERS: dict[tuple[str, str], Counter] = {}
-
-
 def counter(ranks: str, pattern: str) -> Counter:
-    if (ranks, pattern) not in _COUNTERS:
-        _COUNTERS[ranks, pattern] = Counter(ranks, pattern)
-    return _COUNTERS[ranks, pattern]
+    return held(("pieces", ranks, pattern), lambda: Counter(ranks, pattern))
 
 
 class SegmentTree:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlens.llm.common import WORD, mapped, others, quoted, register, slices, table, texts_of
+from hitlens.llm.common import WORD, mapped, others, quoted, register, slices, table, texts_of, unwrapped, wrapped
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -288,8 +288,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry_tex
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents without any test window, with their own columns, whatever they are called."""
-    wrapped = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), F.col(text).alias("text"))
-    return matches(wrapped, benchmark, window=window).filter(F.size("hits") == 0).select("doc.*")
+    clean = matches(wrapped(docs, text), benchmark, carry_text=True, window=window).filter(F.size("hits") == 0)
+    return unwrapped(clean, docs, text)
 
 
 _SQL = rf"""

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from hitlens.llm.common import lower_ascii, mapped, others, quoted, register, slices, stored, table, texts_of
+from hitlens.llm.common import held, lower_ascii, mapped, others, quoted, register, slices, stored, table, texts_of, unwrapped, wrapped
 from hitlens.llm.suffix_decontamination import words_of
 
 ORDER = 6
@@ -39,7 +39,7 @@ STRENGTH = 2.0  # weight of the shared model in a context without own counts
 MAX_PER_CLASS = 50_000
 SLOTS = 1 << 20
 THRESHOLD = 0.7
-CACHE = 300_000
+CACHE = 150_000
 HALVES = ("all", "first", "second")
 
 
@@ -197,7 +197,8 @@ def _features(docs: DataFrame, tables: dict[str, GramTable], text: str, into: li
     shared = docs.sparkSession.sparkContext.broadcast(list(tables.values()))  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
+        held(("evidence",), dict)  # lets go what another operator has left in this worker
+        for part in slices(batches, text, 1 << 20):
             texts = texts_of(part.column(text))
             made = [f for model in shared.value for f in zip(*model.features(texts), strict=True)]
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *[pa.array(m, pa.float64()) for m in made]], schema.names)
@@ -244,8 +245,8 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", max_per_class
 
 def ordinary(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are not predicted toxic, with their own columns."""
-    wrapped = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), "doc_id", F.col(text).alias("text"))
-    return scored(wrapped, labels).filter("predicted = 0").select("doc.*")
+    kept = scored(wrapped(docs, text), labels, carry_text=True).filter("predicted = 0")
+    return unwrapped(kept, docs, text)
 
 
 @register("op5_toxicity")

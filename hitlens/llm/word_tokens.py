@@ -15,6 +15,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from hitlens.llm.common import held
+
 TABLE_SIZE = 250_000  # entries of a generation
 # letters of this range have no other composed form and lower-case one by one; U+0130 and U+0149 do not
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+")
@@ -85,10 +87,5 @@ class WordTable:
         return b"".join(map(self.chunks.__getitem__, parts))
 
 
-_TABLES: dict[str, WordTable] = {}
-
-
 def word_table(path: str) -> WordTable:
-    if path not in _TABLES:
-        _TABLES[path] = WordTable(path)
-    return _TABLES[path]
+    return held(("words", path), lambda: WordTable(path))

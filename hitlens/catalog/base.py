@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,6 +152,18 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _PLANS[key]
 
 
+@contextmanager
+def enriched_from(spark: SparkSession, sf_dir: str, stored: DataFrame) -> Iterator[None]:
+    """Within this context the reports read a stored enriched table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    before = _PLANS.get(key)
+    _PLANS[key] = stored
+    try:
+        yield
+    finally:
+        _PLANS.pop(key) if before is None else _PLANS.update({key: before})
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """New folder for a job's files that every executor reaches: under the shared folder that the session
     names, else under its warehouse."""

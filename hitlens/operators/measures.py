@@ -9,6 +9,7 @@ a key once, with its frequency. Sums and extremes ride along in the same pass.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ def summarise(
     mins: Mapping[str, Column] | None = None,
     maxs: Mapping[str, Column] | None = None,
     quantiles: Quantiles = (),
+    unbounded: Quantiles = (),
     distinct: Mapping[str, Column] | None = None,
     modes: Mapping[str, Column] | None = None,
     exact: bool = True,
@@ -42,11 +44,19 @@ def summarise(
     """Grouped measures; ``exact=False`` uses bounded sketches for quantiles and distinct counts.
 
     Quantiles interpolate linearly and are rounded to 6 digits. Exact quantiles suit measures with a
-    bounded domain, such as whole milliseconds. A mode is the most frequent value, ties to the smallest.
+    bounded domain, such as whole milliseconds; those of ``unbounded`` measures (sizes, prices) come from
+    :func:`wide_quantiles`, which reads the input once more and gives no task all values of a group. A mode is the most frequent value, ties to the smallest.
     """
     keys = keys_of(by)
     sums, mins, maxs = dict(sums or {}), dict(mins or {}), dict(maxs or {})
     distinct, modes = dict(distinct or {}), dict(modes or {})
+    if unbounded and exact:
+        rest = summarise(df, by, sums=sums, mins=mins, maxs=maxs, quantiles=quantiles, distinct=distinct, modes=modes)
+        found = wide_quantiles(df, by, {f"q{i}": part for i, part in enumerate(unbounded)})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.lit(True))
+        found = found.select(*[F.col(c).alias(f"_of_{c}" if c in keys else c) for c in found.columns])
+        return rest.join(found, same, "left").drop(*[f"_of_{k}" for k in keys])
+    quantiles = [*quantiles, *unbounded]
     if not exact:
         return _sketched(df, keys, sums, mins, maxs, quantiles, distinct, modes, accuracy)
     inputs = {**sums, **mins, **maxs}
@@ -189,18 +199,30 @@ def _sketched(df, keys, sums, mins, maxs, quantiles, distinct, modes, accuracy):
     return df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(*aggs)
 
 
-def describe(df: DataFrame, by: By, metrics: Sequence[str], points: Mapping[str, float] | None = None) -> DataFrame:
-    """Count, mean, min, max and percentiles of each metric, one row per group."""
+def describe(
+    df: DataFrame,
+    by: By,
+    metrics: Sequence[str],
+    points: Mapping[str, float] | None = None,
+    *,
+    sums: Mapping[str, Column] | None = None,
+    unbounded: Sequence[str] = (),
+) -> DataFrame:
+    """Count, mean, min, max and percentiles of each metric, and further ``sums``, one row per group.
+
+    ``unbounded`` names the metrics with too many different values for one task.
+    """
     points = points or {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     out = summarise(
         df,
         by,
-        sums={"requests": F.lit(1)}
+        sums={"requests": F.lit(1), **(sums or {})}
         | {f"sum_{m}": F.col(m) for m in metrics}
         | {f"n_{m}": flag(F.col(m).isNotNull()) for m in metrics},
         mins={f"min_{m}": F.col(m) for m in metrics},
         maxs={f"max_{m}": F.col(m) for m in metrics},
-        quantiles=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in metrics],
+        quantiles=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in metrics if m not in unbounded],
+        unbounded=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in metrics if m in unbounded],
     )
     out = out.withColumns({f"avg_{m}": mean(F.col(f"sum_{m}"), F.col(f"n_{m}")) for m in metrics})
     return out.drop(*[f"sum_{m}" for m in metrics], *[f"n_{m}" for m in metrics])

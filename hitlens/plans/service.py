@@ -9,17 +9,14 @@ from hitlens.operators.measures import describe, deviation, flag, mean, rate, su
 from hitlens.schema import DEFAULTS, Thresholds
 
 METRICS = ["duration_ms", "response_ms", "process_ms", "body_bytes"]
+SIZES = ["body_bytes", "sent_bytes"]
 
 
 def service_report(df: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Counts per status family and mean/min/max/percentiles of each metric."""
     names = metrics or METRICS
-    families = summarise(
-        df,
-        ["service"],
-        sums={f"n_{d}xx": flag(F.substring("status", 1, 1) == str(d)) for d in (2, 3, 4, 5)},
-    )
-    return describe(df, ["service"], names).join(families, "service")
+    families = {f"n_{d}xx": flag(F.substring("status", 1, 1) == str(d)) for d in (2, 3, 4, 5)}
+    return describe(df, ["service"], names, sums=families, unbounded=SIZES)
 
 
 def derived_metrics(df: DataFrame) -> DataFrame:

@@ -85,6 +85,13 @@ def _extended(docs: DataFrame, field: T.StructField) -> tuple[DataFrame, T.Struc
     return source, T.StructType([*source.schema.fields, field])
 
 
+def _lists(rows: list[bytes]) -> pa.ListArray:
+    """Packed 32-bit ids per row as an Arrow list column."""
+    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
+
+
 def encoded(docs: DataFrame, model: str, text: str = "text", into: str = "ids", end: bool = True, carry_text: bool = True) -> DataFrame:
     """``docs`` with the ids of each whole text, and the model's end id after them if ``end``."""
     source, schema = _extended(docs, T.StructField(into, T.ArrayType(T.IntegerType(), False), False))
@@ -96,12 +103,8 @@ def encoded(docs: DataFrame, model: str, text: str = "text", into: str = "ids",
         tail = array("i", [known.model.eos_id()] if end else []).tobytes()
         for part in slices(batches, text):
             rows = [ids + tail for ids in known.encode(strings(part.column(text)))]
-            offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-            np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(rows), dtype=np.int32))
-            ids = pa.ListArray.from_arrays(pa.array(offsets), values)
             names = [n for n in part.schema.names if carry_text or n != text]
-            yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], ids], [*names, into])
+            yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], _lists(rows)], [*names, into])
 
     return mapped(source, run, schema)
 
@@ -119,11 +122,27 @@ def decoded(encodings: DataFrame, model: str, ids: str = "ids", into: str = "dec
     return mapped(source, run, schema)
 
 
+def round_trip(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: ids with the end id, and the text decoded from them, in one Python worker a task."""
+    source = docs.select("doc_id", F.col(text).cast("string").alias("text"))
+    schema = T.StructType([
+        source.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = chunk_table(model)
+        tail = array("i", [known.model.eos_id()]).tobytes()
+        for part in slices(batches, "text", 1 << 20):
+            rows = [ids + tail for ids in known.encode(strings(part.column("text")))]
+            texts = known.model.decode([np.frombuffer(r, dtype=np.int32).tolist() for r in rows], num_threads=1)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(rows), pa.array(texts, pa.string())], schema.names)
+
+    return mapped(source, run, schema)
+
+
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """Encode, decode, and reduce both to counts and digests; nothing is shuffled."""
-    ids = encoded(docs, model, carry_text=False)
-    both = decoded(ids, model)
-    return both.select(
+    return round_trip(docs, model).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -133,8 +152,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
 
 def coded(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every document."""
-    both = decoded(encoded(docs.select("doc_id", "text"), model, carry_text=False), model)
-    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
+    return round_trip(docs, model).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
 
 
 def model_path() -> str:

@@ -8,9 +8,10 @@ words and by the mean over all its words (both length-normalised), which a logis
 
 Counting: words are counted once for each document, by a map-side aggregation over all documents; labels come in by
 a broadcast of at most about ``MAX_PER_CLASS`` labelled rows of each class, chosen by hash (the documented bound of the
-training sample). The curve is fitted on that sample, each half scored by the model of the other half. The model sent
-to the tasks is a table of ``SLOTS`` slots: of the grams that share a slot the one with most evidence keeps it, the
-rest fall back to the shared counts. Its size is fixed whatever the corpus. Scoring reads each text once, in place.
+training sample). The curve is fitted on that sample, each half scored by the model of the other half. Every gram's
+evidence stays in a stored table; it is sent to the stored vocabulary in blocks of about ``BLOCK`` grams, one pass each,
+and summed to word scores. Tasks get the scores of the most common words, ``COMMON`` at most, and score the texts made
+of them in place; the missing words of the other texts are joined in.
 
 Defined results: a null or wordless text has no evidence and gets the curve's value there; rows labelled twice count
 as toxic if any label says so; without labels of both classes every score is 0; repeated rows are scored one by one;
@@ -37,7 +38,8 @@ SPAN = 4
 DISCOUNTS = (1.0, 1.5, 1.5)  # of counts 1, 2 and above: what one document alone says is left to the shared counts
 STRENGTH = 2.0  # weight of the shared model in a context without own counts
 MAX_PER_CLASS = 50_000
-SLOTS = 1 << 20
+BLOCK = 1 << 20  # grams sent at a time
+COMMON = 1 << 20  # words whose scores are sent to the tasks; scores of the others are joined
 THRESHOLD = 0.7
 CACHE = 150_000
 HALVES = ("all", "first", "second")
@@ -125,85 +127,160 @@ def evidence(words: DataFrame, order: int = ORDER, lower: int = LOWER) -> DataFr
         seen = " + ".join(variants[name])
         return F.when(F.expr(seen) > 0, F.log(model(name, "t")) - F.log(model(name, "o"))).otherwise(F.lit(0.0))
 
-    return rows.select("gram", *[difference(name).alias(name) for name in HALVES], F.expr("t0 + t1 + o0 + o1").alias("seen"))
+    return rows.select("gram", *[difference(name).alias(name) for name in HALVES])
 
 
-class GramTable:
-    """Evidence of grams in a fixed number of slots, and a bounded cache of word scores."""
+def word_scores(words: DataFrame, found: DataFrame, order: int = ORDER, block: int = BLOCK) -> DataFrame:
+    """``word``, its number of documents ``n``, and the summed evidence of its grams under each model."""
+    found = stored(found.select(F.xxhash64("gram").alias("key"), *HALVES), "evidence")
+    count = found.count() // block + 1
+    scores = words.select("word", "n", *[F.lit(0.0).alias(name) for name in HALVES])
+    for k in range(count):
+        data = found.filter(F.pmod("key", F.lit(count)) == k).toArrow()  # about ``block`` rows
+        scores = stored(_added(scores, data, order), "scores")
+    return scores
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, order: int = ORDER) -> None:
-        self.keys, self.values, self.order = keys, values, order
-        self.known: dict[bytes, float] = {}
+
+def _added(scores: DataFrame, data: pa.Table, order: int) -> DataFrame:
+    """Word scores with the evidence of one block of grams added."""
+    keys = data.column("key").to_numpy().view(np.uint64)
+    sort = np.argsort(keys)
+    values = np.column_stack([data.column(name).to_numpy() for name in HALVES])
+    shared = scores.sparkSession.sparkContext.broadcast((keys[sort], values[sort]))
+    names = scores.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = shared.value
+        for part in slices(batches, "word", 1 << 16):
+            sums = [part.column(name).to_numpy() for name in HALVES]
+            if len(keys):
+                hashes, starts = [], []
+                for word in part.column("word").to_pylist():
+                    starts.append(len(hashes))
+                    text = f"\x02{word}\x03"
+                    hashes += [xxh64_intdigest(text[max(0, i - order) : i], 42) for i in range(2, len(text) + 1)]
+                asked = np.array(hashes, dtype=np.uint64)
+                at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                there = keys[at] == asked
+                sums = [x + np.add.reduceat(np.where(there, values[at, k], 0.0), starts) for k, x in enumerate(sums)]
+            yield pa.RecordBatch.from_arrays([part.column("word"), part.column("n"), *map(pa.array, sums)], names)
+
+    return mapped(scores, run, scores.schema)
+
+
+class WordTable:
+    """Scores of words by hash under one or more models, and a bounded cache of their places in the table."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.known: dict[bytes, int] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": {}}
 
     def learn(self, words: set[bytes]) -> None:
-        """Score the words that the cache does not have."""
+        """Look up the words that the cache does not have; -1 is for a word that the table does not have."""
         if len(self.known) > CACHE:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         if not new:
             return
-        hashes, ends = [], []
-        for word in new:
-            text = f"\x02{word.decode()}\x03"
-            hashes += [xxh64_intdigest(text[max(0, i - self.order) : i], 42) for i in range(2, len(text) + 1)]
-            ends.append(len(hashes))
-        keys = np.array(hashes, dtype=np.uint64)
-        slots = (keys % np.uint64(len(self.keys))).astype(np.int64)
-        found = np.where(self.keys[slots] == keys, self.values[slots], 0).astype(np.float64)
-        scores = np.add.reduceat(found, [0, *ends[:-1]])
-        self.known.update(zip(new, scores.tolist(), strict=True))
-
-    def features(self, texts: list[bytes]) -> list[tuple[float, float]]:
-        """Per text the best mean over neighbouring words and the mean over all words."""
+        if not len(self.keys):
+            self.known.update(dict.fromkeys(new, -1))
+            return
+        hashes = np.fromiter((xxh64_intdigest(w, 42) for w in new), dtype=np.uint64, count=len(new))
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        self.known.update(zip(new, np.where(self.keys[at] == hashes, at, -1).tolist(), strict=True))
+
+    def scores(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """Per text a row of scores for each word, NaN where the table has none, and the words of those rows."""
         cut = [words_of(t) for t in texts]
         self.learn({w for words in cut for w in words})
-        out = []
         for words in cut:
-            if not words:
-                out.append((0.0, 0.0))
-                continue
-            x = np.fromiter(map(self.known.__getitem__, words), dtype=np.float64, count=len(words))
-            n = min(SPAN, len(x))
-            sums = np.cumsum(np.append(0.0, x))
-            out.append((float((sums[n:] - sums[:-n]).max()) / n, float(sums[-1]) / len(x)))
-        return out
-
-
-def fitted_tables(found: DataFrame, slots: int = SLOTS) -> dict[str, GramTable]:
-    """One table for each model; of the grams in a slot the one with most evidence is kept."""
-    key = F.xxhash64("gram")
-    rows = found.select(key.alias("key"), *HALVES, "seen")
-    slot = F.pmod(F.pmod(F.col("key"), F.lit(slots)) + F.when(F.col("key") < 0, F.lit((1 << 64) % slots)).otherwise(F.lit(0)), F.lit(slots))
-    weight = F.abs("all") * F.log1p("seen")
-    best = rows.groupBy(slot.alias("slot")).agg(F.max_by(F.struct("key", *HALVES), F.struct(weight, F.col("key"))).alias("best"))
-    data = best.select("best.*").toArrow()  # at most one row for each slot
-    keys = np.zeros(slots, dtype=np.uint64)
-    got = data.column("key").to_numpy().view(np.uint64)
-    at = (got % np.uint64(slots)).astype(np.int64)
-    keys[at] = got
-    tables = {}
-    for name in HALVES:
-        values = np.zeros(slots, dtype=np.float32)
-        values[at] = data.column(name).to_numpy()
-        tables[name] = GramTable(keys, values)
-    return tables
-
-
-def _features(docs: DataFrame, tables: dict[str, GramTable], text: str, into: list[str], carried: list[str]) -> DataFrame:
-    schema = T.StructType([*[docs.schema[c] for c in carried], *[T.StructField(c, T.DoubleType()) for c in into]])
-    shared = docs.sparkSession.sparkContext.broadcast(list(tables.values()))  # fixed size
+            at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+            if len(at) and at.min() >= 0:
+                yield self.values[at], []
+            else:
+                x = np.full((len(words), self.values.shape[1]), np.nan)
+                x[at >= 0] = self.values[at[at >= 0]]
+                yield x, [words[k] for k in np.flatnonzero(at < 0)]
+
+
+def features(x: np.ndarray) -> list[float]:
+    """For each model the best mean over neighbouring words and the mean over all words."""
+    if not len(x):
+        return [0.0] * (2 * x.shape[1])
+    n = min(SPAN, len(x))
+    sums = np.cumsum(np.vstack([np.zeros(x.shape[1]), x]), axis=0)
+    return np.column_stack([(sums[n:] - sums[:-n]).max(axis=0) / n, sums[-1] / len(x)]).ravel().tolist()
+
+
+def common_words(scores: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """The words in at least so many documents that ``most`` of them are enough, and whether those are all words."""
+    level = F.floor(F.log2("n")).cast("int")
+    sizes = {r.level: r.size for r in scores.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("size")).collect()}  # up to 64 rows
+    taken, least = 0, max(sizes, default=0) + 1
+    for at in sorted(sizes, reverse=True):
+        taken += sizes[at]
+        if taken > most:
+            return scores.filter(level >= least), False
+        least = at
+    return scores, True
+
+
+def _features(docs: DataFrame, scores: DataFrame, names: list[str], text: str, into: list[str], carried: list[str], most: int) -> DataFrame:
+    common, whole = common_words(scores, most)
+    data = common.select(F.xxhash64("word").alias("key"), *names).toArrow()  # ``most`` rows at most
+    keys = data.column("key").to_numpy().view(np.uint64)
+    values = np.column_stack([data.column(c).to_numpy() for c in names])
+    shared = docs.sparkSession.sparkContext.broadcast(WordTable(keys, values))
+    made = T.StructType([*[docs.schema[c] for c in carried], *[T.StructField(c, T.DoubleType()) for c in into]])
+    unsolved = [
+        T.StructField("__key", T.LongType()), T.StructField("__known", T.ArrayType(T.DoubleType())), T.StructField("__missing", T.ArrayType(T.StringType())),
+    ]
+    schema = made if whole else T.StructType([*made, *unsolved])
+
+    def columns(rows: list[list[float]]) -> list[pa.Array]:
+        return [pa.array(c, pa.float64()) for c in zip(*rows, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(("evidence",), dict)  # lets go what another operator has left in this worker
         for part in slices(batches, text, 1 << 20):
             texts = texts_of(part.column(text))
-            made = [f for model in shared.value for f in zip(*model.features(texts), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *[pa.array(m, pa.float64()) for m in made]], schema.names)
-
-    return mapped(docs, run, schema)
+            found = list(shared.value.scores(texts))
+            out = [*[part.column(c) for c in carried], *columns([features(x) for x, _ in found])]
+            if not whole:
+                keys = [int(np.uint64(xxh64_intdigest(t, 42)).astype(np.int64)) if m else None for t, (_, m) in zip(texts, found, strict=True)]
+                out += [
+                    pa.array(keys, pa.int64()),
+                    pa.array([x.ravel() if m else None for x, m in found], pa.list_(pa.float64())),
+                    pa.array([[w.decode() for w in m] if m else None for _, m in found], pa.list_(pa.string())),
+                ]
+            yield pa.RecordBatch.from_arrays(out, schema.names)
+
+    first = mapped(docs, run, schema)
+    if whole:
+        return first
+    # texts with words beyond the common ones: equal texts ask once, their scores come back by the text's hash
+    first = stored(first, "known")
+    open_ = first.filter("__missing is not null")
+    asked = open_.select("__key", F.explode("__missing").alias("word")).distinct().join(scores.select("word", *names), "word")
+    answers = asked.groupBy("__key").agg(F.collect_list("word").alias("__words"), *[F.collect_list(n).alias(f"__of_{n}") for n in names])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "__known", 1 << 20):
+            rows = []
+            for k in range(part.num_rows):
+                of = [part.column(f"__of_{n}")[k].values.to_numpy() for n in names]
+                got = dict(zip(part.column("__words")[k].as_py(), zip(*of, strict=True), strict=True))
+                x = part.column("__known")[k].values.to_numpy().reshape(-1, len(names)).copy()
+                x[np.isnan(x[:, 0])] = [got[w] for w in part.column("__missing")[k].as_py()]
+                rows.append(features(x))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *columns(rows)], made.names)
+
+    filled = mapped(open_.join(answers, "__key"), fill, made)
+    return first.filter("__missing is null").select(*quoted(made.names)).union(filled)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -220,24 +297,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
     return w
 
 
-def scored(docs: DataFrame, labels: DataFrame, text: str = "text", max_per_class: int = MAX_PER_CLASS, carry_text: bool = False) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, text: str = "text", max_per_class: int = MAX_PER_CLASS, carry_text: bool = False, most: int = COMMON) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (score at least 0.7), learnt from ``labels``."""
     produced = ["score", "predicted"]
     source = docs.select(*others(docs, [*produced, text]), F.col(text).cast("string").alias(text))
     carried = [c for c in source.columns if carry_text or c != text]
     sample = stored(training_sample(labels, max_per_class), "sample")
-    words = vocabulary(source, sample, text)
-    tables = fitted_tables(evidence(words))
+    words = stored(vocabulary(source, sample, text), "vocabulary")
+    scores = stored(word_scores(words, evidence(words)), "scores")
     labelled = source.select("doc_id", F.col(text).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("toxic", "half", "text")
-    halves = {name: tables[name] for name in HALVES[1:]}
-    rows = _features(labelled, halves, "text", ["a0", "b0", "a1", "b1"], ["toxic", "half"])
+    rows = _features(labelled, scores, list(HALVES[1:]), "text", ["a0", "b0", "a1", "b1"], ["toxic", "half"], most)
     data = rows.toArrow()  # the training sample: four numbers for each row
     toxic, half = data.column("toxic").to_numpy(), data.column("half").to_numpy()
     if len(set(toxic.tolist())) < 2:
         return source.select(*quoted(carried), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     other = [np.where(half == 0, data.column(f"{c}1").to_numpy(), data.column(f"{c}0").to_numpy()) for c in "ab"]
     w = logistic(np.column_stack(other), toxic.astype(float))
-    made = _features(source, {"all": tables["all"]}, text, ["__best", "__mean"], carried)
+    made = _features(source, scores, ["all"], text, ["__best", "__mean"], carried, most)
     z = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("__best") + F.lit(float(w[2])) * F.col("__mean")
     score = 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-700.0)), F.lit(700.0))))
     return made.select(*quoted(carried), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))

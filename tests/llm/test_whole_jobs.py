@@ -2,7 +2,7 @@
 
 import random
 
-from hitlens.llm import toxicity_models
+from hitlens.llm import page_wrappers, toxicity_models
 
 
 def _labelled(spark, n=240):
@@ -40,3 +40,17 @@ def test_toxicity_does_not_depend_on_the_table_sent(spark):
     for most in (0, 30):
         got = toxicity_models.scored(docs, labels, most=most).collect()
         assert sorted((r.doc_id, round(r.score, 9)) for r in got) == want
+
+
+def _texts(pages):
+    wrapper = page_wrappers.Wrapper()
+    trees = [page_wrappers.parse(page) for page in pages]
+    pairs = [wrapper.align(page_wrappers.Skeleton((t.tag, t.names), [t])) for t in trees]
+    return [page_wrappers.main_text(t, wrapper.template(p)) for t, p in zip(trees, pairs, strict=True)]
+
+
+def test_constant_siblings_are_template():
+    pages = [f"<body><p>Story {k}</p><p>Follow us</p><p>More {k}</p><p>Even {k}</p></body>" for k in range(200)]
+    assert _texts(pages) == [f"Story {k}\n\nMore {k}\n\nEven {k}" for k in range(200)]
+    many = ["<body>" + "".join(f"<p>Line {k} {i}</p>" for i in range(100)) + "<p>Follow us</p></body>" for k in range(60)]
+    assert all("Follow us" not in text and text.count("Line") == 100 for text in _texts(many))

@@ -54,3 +54,11 @@ def test_constant_siblings_are_template():
     assert _texts(pages) == [f"Story {k}\n\nMore {k}\n\nEven {k}" for k in range(200)]
     many = ["<body>" + "".join(f"<p>Line {k} {i}</p>" for i in range(100)) + "<p>Follow us</p></body>" for k in range(60)]
     assert all("Follow us" not in text and text.count("Line") == 100 for text in _texts(many))
+
+
+def test_copies_of_a_page_are_no_template():
+    page = "<body><h1>Head</h1><p>Story</p></body>"
+    assert _texts([page] * 6) == ["Head\n\nStory"] * 6
+    others = [f"<body><h1>Head {k}</h1><p>Story {k}</p><h3>Follow us</h3></body>" for k in range(6)]
+    mixed = _texts(others + [page] * 60)
+    assert mixed == [f"Head {k}\n\nStory {k}" for k in range(6)] + ["Head\n\nStory"] * 60

@@ -79,6 +79,29 @@ NAMES: dict[str, str] = {
     "cc-by-nc-nd-4.0": r"(?:cc by nc nd|creative commons attribution non ?commercial no ?derivatives)(?: version)? 4 0",
     "proprietary": r"(?:proprietary|commercial)",
 }
+# a licence's own wording, without its name: keyword, pattern, label, weight; these go before the forms of notices
+BODIES = [
+    ("permission is hereby", r"permission is hereby granted free of charge to any person or organization(?: obtaining a copy(?: of the software)?)?", "bsl-1.0", 1.0),
+    ("permission is hereby", r"permission is hereby granted free of charge(?: to any person(?: obtaining a copy(?: of this software)?)?)?", "mit", 0.95),
+    ("above copyright notice", r"the above copyright notice and this permission notice shall be included(?: in all copies)?", "mit", 0.9),
+    ("permission to use", r"permission to use copy modify (?:and or|and|or) distribute this software(?: and its documentation)?(?: for any purpose(?: with or without fee)?)?", "isc", 0.9),
+    ("redistribution and use", r"redistribution and use in source and binary forms(?: with or without modification(?: are permitted)?)?", "bsd", 0.95),
+    ("redistributions", r"redistributions (?:of source code must retain|in binary form must reproduce) the above copyright notice", "bsd", 0.9),
+    ("neither the name", r"neither the names? of (?:[^ ]+ ){1,8}?nor the names of (?:its|their|any) contributors", "bsd-3-clause", 0.95),
+    ("all advertising materials", r"all advertising materials mentioning features or use of this software", "bsd-4-clause", 0.95),
+    ("express or implied warranty", r"this software is provided as is without any express or implied warranty", "zlib", 0.9),
+    ("origin of this software", r"the origin of this software must not be misrepresented", "zlib", 0.95),
+    ("in compliance with the license", r"you may not use this file except in compliance with the license", "apache", 0.9),
+    ("is free software", r"this (?:program|library|file|software) is free software you can redistribute it and or modify it", "gnu-notice", 0.9),
+    ("verbatim copies", r"everyone is permitted to copy and distribute verbatim copies of this license document", "gnu-notice", 0.95),
+    ("this source code form", r"this source code form is subject to the terms of the mozilla public license(?: v 2 0)?", "mpl-2.0", 1.0),
+    ("unencumbered", r"this is free and unencumbered software(?: released into the public domain)?", "unlicense", 1.0),
+    ("you want to", r"do what the fuck you want to public license", "wtfpl", 1.0),
+    ("as is", r"(?:the|this) software is provided (?:by (?:[^ ]+ ){1,8}?)?as is(?: without warranty of any kind)?", "warranty-disclaimer", 0.5),
+    ("implied warrant", r"(?:any )?express or implied warranties including but not limited to", "warranty-disclaimer", 0.5),
+    ("implied warranty", r"without any warranty without even the implied warranty of merchantability", "warranty-disclaimer", 0.5),
+    ("all rights reserved", r"all rights reserved", "all-rights-reserved", 0.3),
+]
 # form of a notice: keyword, pattern around the name, weight; the order is the priority
 FORMS = [
     ("spdx", r"spdx license identifier {name}(?: only| or later)?", 1.0),
@@ -89,7 +112,10 @@ FORMS = [
     ("licens", r"{name} licensed?", 0.6),
 ]
 GATES = ["licens", "spdx", "released under", "distributed under", "the terms of"]
+GATES += ["permission is hereby", "permission to use", "above copyright notice", "redistribution and use", "neither the name", "all advertising materials"]
+GATES += ["software is provided", "origin of this software", "is free software", "implied warrant", "unencumbered", "you want to public", "all rights reserved"]
 STARTS = ["spdx", "licensed", "released", "distributed", "subject", "under"]
+STARTS += "permission redistribution redistributions neither all this the you everyone do any express without".split()
 SPAN = 20  # words of the longest match
 _FIRST_WORDS = (
     "expat mit apache gnu general gpl lesser lgpl affero agpl free gfdl bsd 2 3 4 0bsd zero simplified freebsd new modified "
@@ -99,9 +125,10 @@ _FIRST_WORDS = (
 
 
 def rule_table() -> list[tuple[str, str, str, int, float]]:
-    """Every form with every name: keyword, anchored pattern, label, priority, weight."""
-    return [
-        (keyword, f"^{form.replace('{name}', name)}(?= )", label, rank * len(NAMES) + k, weight)
+    """The bodies, then every form with every name: keyword, anchored pattern, label, priority, weight."""
+    bodies = [(keyword, f"^{pattern}(?= )", label, k, weight) for k, (keyword, pattern, label, weight) in enumerate(BODIES)]
+    return bodies + [
+        (keyword, f"^{form.replace('{name}', name)}(?= )", label, len(BODIES) + rank * len(NAMES) + k, weight)
         for rank, (keyword, form, weight) in enumerate(FORMS)
         for k, (label, name) in enumerate(NAMES.items())
     ]

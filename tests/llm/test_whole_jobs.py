@@ -2,7 +2,7 @@
 
 import random
 
-from hitlens.llm import page_wrappers, toxicity_models
+from hitlens.llm import license_rules, page_wrappers, toxicity_models
 
 
 def _labelled(spark, n=240):
@@ -62,3 +62,20 @@ def test_copies_of_a_page_are_no_template():
     others = [f"<body><h1>Head {k}</h1><p>Story {k}</p><h3>Follow us</h3></body>" for k in range(6)]
     mixed = _texts(others + [page] * 60)
     assert mixed == [f"Head {k}\n\nStory {k}" for k in range(6)] + ["Head\n\nStory"] * 60
+
+
+def test_license_texts_without_a_name(spark):
+    texts = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose": "isc",
+        "Redistribution and use in source and binary forms, with or without modification": "bsd",
+        "Neither the name of the copyright holder nor the names of its contributors may": "bsd-3-clause",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND': "warranty-disclaimer",
+        'This software is provided by the authors "as is" and': "warranty-disclaimer",
+        "(c) 2020 Somebody. All rights reserved.": "all-rights-reserved",
+        "you may not use this file except in compliance with the License.": "apache",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [d.label for d in r.detections] for r in license_rules.scanned(df).collect()}
+    assert [got[k] for k in range(len(texts))] == [[label] for label in texts.values()]
+    assert all(len(pattern.split()) <= license_rules.SPAN for _, pattern, *_ in license_rules.BODIES)

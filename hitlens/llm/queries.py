@@ -3,6 +3,7 @@
 from hitlens.llm import (  # noqa: F401
     chunk_codec,
     edit_counts,
+    grid_codes,
     license_rules,
     page_wrappers,
     quality_ledger,

@@ -5,6 +5,7 @@ from hitlens.llm import (  # noqa: F401
     edit_counts,
     grid_codes,
     license_rules,
+    merkle_manifest,
     page_wrappers,
     quality_ledger,
     sequence_files,

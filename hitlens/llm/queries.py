@@ -8,6 +8,7 @@ from hitlens.llm import (  # noqa: F401
     merkle_manifest,
     page_wrappers,
     quality_ledger,
+    scaled_sketches,
     sequence_files,
     simhash_variants,
     suffix_decontamination,

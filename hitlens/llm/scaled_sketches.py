@@ -7,13 +7,13 @@ one text's shingles found in the other, also between a line and a book. A text w
 keeps its smallest one, which a union drops again as soon as another one is below. Two sketches compare by containment
 (``covered``: the share of the first found in the second) and by the share of both (``alike``).
 
-Plan of :func:`edited`: one range partitioning by doc_id puts neighbours into the same task; tasks carry a text over to the
-next row. Only the last text of a partition and the first of the next, one row each for a partition, are stored and
-joined by partition afterwards.
+Plan of :func:`edited`: one range partitioning by doc_id, of compressed texts, puts neighbours into the same task; tasks
+carry a text over to the next row and compare sketches at hand. What they find is stored, with the last text of a
+partition and the first of the next, one row each for a partition, which are joined by partition afterwards.
 
 Defined results: a null text counts as empty; an empty text (no words) has an empty sketch, which covers and is like
 another empty one only (1, else 0); fewer words than WIDTH are one shingle; repeated shingles count once; equal doc_ids
-are ordered by their texts, a null one comes first; the document after the last is the first, a lone one follows
+are ordered by a hash of their texts, a null one comes first; the document after the last is the first, a lone one follows
 itself; repeated rows are documents of their own; an empty table gives an empty result; extra columns pass, a
 clashing one is replaced.
 """
@@ -25,13 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from hitlens.llm.common import held, mapped, others, quoted, register, slices, stored, table
+from hitlens.llm.common import held, mapped, others, quoted, register, slices, stored, table, texts_of
 
 WIDTH = 5
 SHARE = 8  # one hash of so many is kept
@@ -39,7 +39,10 @@ THRESHOLD = np.uint64(2**64 // SHARE)
 SEED = 42
 WORDS = 150_000  # distinct short words whose hashes a worker keeps
 LONG = 64  # bytes; longer words are hashed each time
-MADE = [("n_chars", T.LongType()), ("edited_sha256", T.StringType()), ("sketch", T.BinaryType()), ("edited_sketch", T.BinaryType()), ("next_sketch", T.BinaryType())]
+MADE = [
+    ("n_chars", T.LongType()), ("edited_sha256", T.StringType()), ("fingerprint", T.BinaryType()), ("edited_fingerprint", T.BinaryType()),
+    *[(name, T.DoubleType()) for name in ("near_edited", "near_next", "alike_edited", "alike_next")],
+]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -89,13 +92,9 @@ def sketch(text: str, width: int = WIDTH) -> bytes:
     return kept(shingle_hashes(text, width)).astype(">u8").tobytes()
 
 
-def hashes_of(packed: Column) -> Column:
-    """A packed sketch as an array of 16-digit lower-case hex numbers, ascending."""
-    digits = F.lower(F.hex(packed))
-    count = F.floor(F.octet_length(packed) / 8).cast("int")
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda k: F.substring(digits, k * 16 - 15, F.lit(16)))).otherwise(
-        F.array().cast("array<string>")
-    )
+def hashes_of(fingerprint: Column) -> Column:
+    """A sketch in hex as an array of 16-digit numbers, ascending."""
+    return F.regexp_extract_all(fingerprint, F.lit("[0-9a-f]{16}"), F.lit(0))
 
 
 def merged(a: Column, b: Column) -> Column:
@@ -128,86 +127,103 @@ def sketched(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFra
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], schema.names)
 
     packed = mapped(source, run, schema)
-    return packed.select(*quoted(packed.columns[:-1]), hashes_of(F.col("sketch")).alias("sketch"))
+    return packed.select(*quoted(packed.columns[:-1]), hashes_of(F.lower(F.hex("sketch"))).alias("sketch"))
 
 
-def _compared(text: str, after: str, width: int) -> tuple[int, str, bytes]:
-    """Code points, hash of the edited text and its sketch: its last half is the start of the document after it."""
-    half = len(text) // 2
-    changed = text[: len(text) - half] + after[:half]
-    return len(text), hashlib.sha256(changed.encode()).hexdigest(), sketch(changed, width)
+def compared(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
+    """:func:`covered` and :func:`alike` of two sketches at hand."""
+    if not len(a) or not len(b):
+        return (1.0, 1.0) if len(a) == len(b) else (0.0, 0.0)
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / len(a), common / (len(a) + len(b) - common)
+
+
+class Text:
+    """A document on its way through a task: its compressed text, unpacked, and its sketch."""
+
+    def __init__(self, packed: bytes, width: int) -> None:
+        self.packed, self.width = packed, width
+        self.text = zstandard.ZstdDecompressor().decompress(packed).decode()
+        self.sketch = kept(shingle_hashes(self.text, width))
+
+    def row(self, after: Text) -> tuple:
+        """The columns of MADE: the edited text's last half is the start of the document after this one."""
+        half = len(self.text) // 2
+        changed = self.text[: len(self.text) - half] + after.text[:half]
+        edited = kept(shingle_hashes(changed, self.width))
+        (near, alike), (near_next, alike_next) = compared(self.sketch, edited), compared(self.sketch, after.sketch)
+        digest = hashlib.sha256(changed.encode()).hexdigest()
+        return len(self.text), digest, *[x.astype(">u8").tobytes() for x in (self.sketch, edited)], near, near_next, alike, alike_next
+
+
+def packed_texts(docs: DataFrame, carried: list[Column], text: str) -> DataFrame:
+    """``doc`` (the other columns), ``id``, a hash of the text, and the compressed text; half of the bytes to shuffle or less."""
+    source = docs.select(F.struct(*carried).alias("doc"), docs["doc_id"].alias("id"), F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).alias("packed"))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("tie", T.LongType()), T.StructField("packed", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for part in slices(batches, "packed"):
+            texts = texts_of(part.column("packed"))
+            ties = np.array([xxh64_intdigest(t, SEED) for t in texts], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(ties), pa.array([packer.compress(t) for t in texts], pa.binary())], schema.names)
+
+    return mapped(source, run, schema)
 
 
 def edited(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
-    """The other columns of ``docs`` with the sketches of a text, of its edited text, and of the text after it."""
+    """The other columns of ``docs`` with fingerprints (hex) of a text and its edited text, and how near that and the next are."""
     produced = [name for name, _ in MADE]
-    rest = F.struct(*others(docs, [*produced, text])).alias("doc")
-    source = docs.select(rest, docs["doc_id"].alias("id"), F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).alias("text"))
-    ordered = source.repartitionByRange("id").sortWithinPartitions("id", "text")
-    ordered = ordered.select("doc", F.spark_partition_id().alias("part"), "text")
-    schema = T.StructType(
-        [*ordered.schema.fields[:-1], *[T.StructField(n, t) for n, t in MADE], T.StructField("own", T.StringType()), T.StructField("head", T.StringType())]
-    )
+    ordered = packed_texts(docs, others(docs, [*produced, text]), text).repartitionByRange("id").sortWithinPartitions("id", "tie", "packed")
+    ordered = ordered.select("doc", F.spark_partition_id().alias("part"), "packed")
+    made = [T.StructField(n, t) for n, t in MADE]
+    schema = T.StructType([*ordered.schema.fields[:-1], *made, T.StructField("own", T.BinaryType()), T.StructField("head", T.BinaryType())])
+
+    def columns(rows: list[tuple]) -> list[pa.Array]:
+        kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), *[pa.float64()] * 4]
+        return [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows are finished by the row after them; the last one keeps its text, the first one's text goes with it."""
-        kept_row, kept_text, kept_sketch, head = None, "", b"", None
-        for part in slices(batches, "text"):
-            texts = part.column("text").to_pylist()
-            sketches = [sketch(t, width) for t in texts]
-            if head is None:
-                head = texts[0]
+        """Rows are finished by the row after them; the last one keeps its text, and the first one's text goes with it."""
+        last_row, last, head = None, None, b""
+        for part in slices(batches, "packed", 1 << 20):
+            texts = [Text(p, width) for p in part.column("packed").to_pylist()]
             carried = pa.Table.from_batches([part.select([0, 1])])
-            if kept_row is not None:
-                carried = pa.concat_tables([kept_row, carried])
-                texts, sketches = [kept_text, *texts], [kept_sketch, *sketches]
-            made = [_compared(a, b, width) for a, b in zip(texts, texts[1:], strict=False)]
-            kept_row, kept_text, kept_sketch = carried.slice(len(texts) - 1), texts[-1], sketches[-1]
-            if made:
-                whole = carried.slice(0, len(made)).combine_chunks().to_batches()[0]
-                n, digest, changed = zip(*made, strict=True)
-                columns = [pa.array(n, pa.int64()), pa.array(digest), pa.array(sketches[:-1], pa.binary()), pa.array(changed, pa.binary()), pa.array(sketches[1:], pa.binary())]
-                none = pa.nulls(len(made), pa.string())
-                yield pa.RecordBatch.from_arrays([*whole.columns, *columns, none, none], schema.names)
-        if kept_row is not None:
-            (last,) = kept_row.combine_chunks().to_batches()
-            open_ = [pa.nulls(1, t) for t in (pa.int64(), pa.string())], [pa.nulls(1, pa.binary())] * 2
-            columns = [*last.columns, *open_[0], pa.array([kept_sketch], pa.binary()), *open_[1], pa.array([kept_text]), pa.array([head])]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    found = stored(mapped(ordered, run, schema), "sketches")
+            if last is None:
+                head = texts[0].packed
+            else:
+                carried, texts = pa.concat_tables([last_row, carried]), [last, *texts]
+            rows = [a.row(b) for a, b in zip(texts, texts[1:], strict=False)]
+            last_row, last = carried.slice(len(texts) - 1), texts[-1]
+            if rows:
+                (whole,) = carried.slice(0, len(rows)).combine_chunks().to_batches()
+                yield pa.RecordBatch.from_arrays([*whole.columns, *columns(rows), *[pa.nulls(len(rows), pa.binary())] * 2], schema.names)
+        if last is not None:
+            (row,) = last_row.combine_chunks().to_batches()
+            none = columns([(None,) * len(MADE)])
+            yield pa.RecordBatch.from_arrays([*row.columns, *none, pa.array([last.packed], pa.binary()), pa.array([head], pa.binary())], schema.names)
+
+    found = stored(mapped(ordered, run, schema), "fingerprints")
     ends = found.filter("own is not null")  # a row for each partition
     order = Window.orderBy("part")
     after = ends.select("part", F.lead("part").over(order).alias("next"), F.min("part").over(Window.partitionBy()).alias("first"))
     after = after.select(F.col("part").alias("at"), F.coalesce("next", "first").alias("next"))
     heads = ends.select(F.col("part").alias("of"), F.col("head").alias("after"))
-    pairs = ends.drop("head").join(after, F.col("part") == F.col("at")).join(heads, F.col("next") == F.col("of"))
-    pairs = pairs.select("doc", "part", "sketch", F.col("own").alias("text"), "after")
-    ended = T.StructType(schema.fields[:-2])
+    pairs = ends.join(after, F.col("part") == F.col("at")).join(heads, F.col("next") == F.col("of")).select("doc", "own", "after")
+    ended = T.StructType([schema["doc"], *made])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            for k in range(part.num_rows):
-                row = part.slice(k, 1)
-                own, after = row.column("text")[0].as_py(), row.column("after")[0].as_py()
-                n, digest, changed = _compared(own, after, width)
-                values = [pa.array([n], pa.int64()), pa.array([digest]), row.column("sketch"), pa.array([changed], pa.binary()), pa.array([sketch(after, width)], pa.binary())]
-                yield pa.RecordBatch.from_arrays([row.column("doc"), row.column("part"), *values], ended.names)
-
-    whole = found.filter("own is null").drop("own", "head").unionByName(mapped(pairs, finish, ended))
+        for part in slices(batches, "own", 1):
+            own, after = (Text(part.column(c)[0].as_py(), width) for c in ("own", "after"))
+            yield pa.RecordBatch.from_arrays([part.column("doc"), *columns([own.row(after)])], ended.names)
+
+    whole = found.filter("own is null").select(*ended.names).unionByName(mapped(pairs, finish, ended))
     names = [c for c in docs.columns if c.lower() not in {*produced, text.lower()}]
-    passed = [F.col("doc").getField(c).alias(c) for c in names]
-    packed = {"sketch", "edited_sketch", "next_sketch"}
-    return whole.select(*passed, *[hashes_of(F.col(c)).alias(c) if c in packed else F.col(c) for c in produced])
+    hexed = {"fingerprint", "edited_fingerprint"}
+    return whole.select(*[F.col("doc").getField(c).alias(c) for c in names], *[F.lower(F.hex(c)).alias(c) if c in hexed else F.col(c) for c in produced])
 
 
 @register("op13_document_fingerprints")
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    own = F.col("sketch")
-    return rows.select(
-        "doc_id", "n_chars", "edited_sha256",
-        F.array_join("sketch", "").alias("fingerprint"), F.array_join("edited_sketch", "").alias("edited_fingerprint"),
-        covered(own, F.col("edited_sketch")).alias("near_edited"), covered(own, F.col("next_sketch")).alias("near_next"),
-        alike(own, F.col("edited_sketch")).alias("alike_edited"), alike(own, F.col("next_sketch")).alias("alike_next"),
-    )
+    return rows.select("doc_id", *[name for name, _ in MADE])

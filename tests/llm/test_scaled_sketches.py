@@ -50,9 +50,14 @@ def covered(a, b):
     return len(a & b) / len(a) if a else float(not b)
 
 
+def tie(text):
+    value = xxh64_intdigest(text.encode(), 42)
+    return value - FULL if value >> 63 else value
+
+
 def plain(rows):
     """What the query returns for (doc_id, text) rows."""
-    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])))
     out = []
     for k, (i, text) in enumerate(rows):
         after = rows[(k + 1) % len(rows)][1]

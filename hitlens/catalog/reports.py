@@ -388,10 +388,12 @@ _TREND = """, tr AS (SELECT *, {} FROM rep)""".format(
 )
 
 
-@register("w05_trend", bucket_sql("hour") + _TREND + " SELECT bucket, qps_change, p50_change, error_rate_change FROM tr")
-def _(spark, sf):
-    out = timeline.trend(timeline.buckets(hits(spark, sf), "hour"))
-    return out.select("bucket", "qps_change", "p50_change", "error_rate_change")
+for _grain, _suffix in (("hour", ""), ("second", "_second")):
+
+    @register("w05_trend" + _suffix, bucket_sql(_grain) + _TREND + " SELECT bucket, qps_change, p50_change, error_rate_change FROM tr")
+    def _(spark, sf, grain=_grain):
+        out = timeline.trend(timeline.buckets(hits(spark, sf), grain))
+        return out.select("bucket", "qps_change", "p50_change", "error_rate_change")
 
 
 _ANOM = (
@@ -428,13 +430,15 @@ def _(spark, sf):
     return out.select("bucket", "efficiency_index", "efficiency_level")
 
 
-@register(
-    "w02_rolling",
-    bucket_sql("hour")
-    + " SELECT bucket, max(requests) OVER (ORDER BY bucket ROWS 6 PRECEDING) AS rolling_peak, avg(requests) OVER (ORDER BY bucket ROWS 23 PRECEDING) AS rolling_mean FROM rep",
-)
-def _(spark, sf):
-    return timeline.rolling(timeline.buckets(hits(spark, sf), "hour"), "requests").select("bucket", "rolling_peak", "rolling_mean")
+for _grain, _suffix in (("hour", ""), ("second", "_second")):
+
+    @register(
+        "w02_rolling" + _suffix,
+        bucket_sql(_grain)
+        + " SELECT bucket, max(requests) OVER (ORDER BY bucket ROWS 6 PRECEDING) AS rolling_peak, avg(requests) OVER (ORDER BY bucket ROWS 23 PRECEDING) AS rolling_mean FROM rep",
+    )
+    def _(spark, sf, grain=_grain):
+        return timeline.rolling(timeline.buckets(hits(spark, sf), grain), "requests").select("bucket", "rolling_peak", "rolling_mean")
 
 
 _TM = ["requests", "p50", "error_rate"]
@@ -444,30 +448,31 @@ def _long_sql(source: str) -> str:
     return ", l AS (" + " UNION ALL ".join(f"SELECT bucket, '{m}' AS metric, {m}::DOUBLE AS v FROM {source}" for m in _TM) + ")"
 
 
-@register(
-    "w08_ends_trend",
-    bucket_sql("day")
-    + _long_sql("rep")
-    + """, k AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY bucket) AS a, row_number() OVER (PARTITION BY metric ORDER BY bucket DESC) AS z FROM l),
+for _grain, _suffix in (("day", ""), ("second", "_second")):
+
+    @register(
+        "w08_ends_trend" + _suffix,
+        bucket_sql(_grain)
+        + _long_sql("rep")
+        + """, k AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY bucket) AS a, row_number() OVER (PARTITION BY metric ORDER BY bucket DESC) AS z FROM l),
     g AS (SELECT metric, count(*) AS points, avg(v) FILTER (WHERE a <= 3) AS e, avg(v) FILTER (WHERE z <= 3) AS r, stddev_pop(v) AS s FROM k GROUP BY metric),
     h AS (SELECT *, CASE WHEN e > 0 THEN (r - e) / e * 100 ELSE 0 END AS ch FROM g)
     SELECT metric, points, round(e, 6) AS early, round(r, 6) AS recent, round(s, 6) AS volatility, round(ch, 6) AS change, CASE WHEN abs(ch) < 5 THEN 'stable' WHEN ch > 0 THEN 'rising' ELSE 'falling' END AS direction FROM h""",
-)
-def _(spark, sf):
-    return timeline.ends_trend(timeline.buckets(hits(spark, sf), "day"), _TM)
-
+    )
+    def _(spark, sf, grain=_grain):
+        return timeline.ends_trend(timeline.buckets(hits(spark, sf), grain), _TM)
 
-@register(
-    "w09_halves_trend",
-    bucket_sql("day")
-    + _long_sql("rep")
-    + """, k AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY bucket) <= count(*) OVER (PARTITION BY metric) // 2 AS early FROM l),
+    @register(
+        "w09_halves_trend" + _suffix,
+        bucket_sql(_grain)
+        + _long_sql("rep")
+        + """, k AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY bucket) <= count(*) OVER (PARTITION BY metric) // 2 AS early FROM l),
     g AS (SELECT metric, avg(v) FILTER (WHERE early) AS a, avg(v) FILTER (WHERE NOT early) AS b FROM k GROUP BY metric)
     SELECT metric, round(a, 6) AS first_half, round(b, 6) AS second_half, round((b - a) / a * 100, 6) AS change,
     CASE WHEN (b - a) / a * 100 > 5 THEN 'rising' WHEN (b - a) / a * 100 < -5 THEN 'falling' ELSE 'stable' END AS direction FROM g WHERE a <> 0""",
-)
-def _(spark, sf):
-    return timeline.halves_trend(timeline.buckets(hits(spark, sf), "day"), _TM)
+    )
+    def _(spark, sf, grain=_grain):
+        return timeline.halves_trend(timeline.buckets(hits(spark, sf), grain), _TM)
 
 
 @register(

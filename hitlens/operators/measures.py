@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitlens.operators.ordered import pinned
+
 By = Sequence[str] | Mapping[str, Column]
 Quantiles = Sequence[tuple[Column, Mapping[str, float]]]
 
@@ -36,6 +38,7 @@ def summarise(
     maxs: Mapping[str, Column] | None = None,
     quantiles: Quantiles = (),
     unbounded: Quantiles = (),
+    nearest: Quantiles = (),
     distinct: Mapping[str, Column] | None = None,
     modes: Mapping[str, Column] | None = None,
     exact: bool = True,
@@ -43,20 +46,16 @@ def summarise(
 ) -> DataFrame:
     """Grouped measures; ``exact=False`` uses bounded sketches for quantiles and distinct counts.
 
-    Quantiles interpolate linearly and are rounded to 6 digits. Exact quantiles suit measures with a
-    bounded domain, such as whole milliseconds; those of ``unbounded`` measures (sizes, prices) come from
-    :func:`wide_quantiles`, which reads the input once more and gives no task all values of a group. A mode is the most frequent value, ties to the smallest.
+    Quantiles interpolate linearly and are rounded to 6 digits; ``nearest`` ones are the value at place
+    ``floor(n * p)`` of the sorted values. Exact quantiles suit measures with a bounded domain, such as
+    whole milliseconds; those of ``unbounded`` measures (sizes, prices) are found by slices in the same
+    pass, so that no task gets all values of a group (:func:`_placed`). A mode is the most frequent
+    value, ties to the smallest.
     """
     keys = keys_of(by)
     sums, mins, maxs = dict(sums or {}), dict(mins or {}), dict(maxs or {})
     distinct, modes = dict(distinct or {}), dict(modes or {})
-    if unbounded and exact:
-        rest = summarise(df, by, sums=sums, mins=mins, maxs=maxs, quantiles=quantiles, distinct=distinct, modes=modes)
-        found = wide_quantiles(df, by, {f"q{i}": part for i, part in enumerate(unbounded)})
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.lit(True))
-        found = found.select(*[F.col(c).alias(f"_of_{c}" if c in keys else c) for c in found.columns])
-        return rest.join(found, same, "left").drop(*[f"_of_{k}" for k in keys])
-    quantiles = [*quantiles, *unbounded]
+    bounded, quantiles = len(quantiles), [*quantiles, *unbounded, *nearest]
     if not exact:
         return _sketched(df, keys, sums, mins, maxs, quantiles, distinct, modes, accuracy)
     inputs = {**sums, **mins, **maxs}
@@ -79,7 +78,16 @@ def summarise(
     )
     wide = _direct(sums, mins, maxs)
     lists: list[tuple[str, Sequence[str]]] = []
-    for i, (_, wanted) in enumerate(quantiles):
+    picked: dict[str, Column] = {}
+    if len(quantiles) > bounded:
+        fine = _placed(fine, list(keys), bounded, len(quantiles))
+    for i, (measure, wanted) in enumerate(quantiles[bounded:], bounded):
+        whole = i >= len(quantiles) - len(nearest)
+        for name, p in wanted.items():
+            aggregates, found = _pick(i, name, float(p), nearest=whole)
+            picked[name] = found.cast(df.select(measure.alias("m")).schema["m"].dataType) if whole else found
+            wide += aggregates
+    for i, (_, wanted) in enumerate(quantiles[:bounded]):
         value = F.when(F.col("_slot")["slot"] == i, F.col("_slot")["num"])
         points = F.array(*[F.lit(float(p)) for p in wanted.values()])
         wide.append(F.percentile(value, points, F.col("_n")).alias(f"_q{i}"))
@@ -95,61 +103,59 @@ def summarise(
     points = [
         F.round(F.get(F.col(c), F.lit(j)), 6).alias(name) for c, names in lists for j, name in enumerate(names)
     ]
-    return out.select(*plain, *points)
+    return out.select(*plain, *points, *[value.alias(name) for name, value in picked.items()])
 
 
 def wide_quantiles(df: DataFrame, by: By, quantiles: Mapping[str, tuple[Column, Mapping[str, float]]]) -> DataFrame:
-    """Exact quantiles of measures with unbounded domains, such as speeds, one row per group.
+    """Exact quantiles of measures with unbounded domains, such as speeds, one row per group."""
+    return summarise(df, by, unbounded=list(quantiles.values()))
+
 
-    :func:`summarise` hands all distinct values of a group to one task; here no task sees more than
-    one slice of them. Values are counted, cut into logarithmic slices (a fixed, order-keeping
-    function of the value), ranked inside their slice and lifted by the counts of lower slices.
+def _placed(fine: DataFrame, keys: Sequence[str], start: int, stop: int) -> DataFrame:
+    """Counted values with their place in the group: ``_cum`` values up to here, of ``_all``; slots ``start`` to ``stop``.
+
+    Values are cut into logarithmic slices (a fixed, order-keeping function of the value), ranked
+    inside their slice and lifted by the counts of lower slices, one row per slice. The slice totals are
+    the last rows of the ranking, so they come from the same shuffle. The values of other slots need no place;
+    they are spread by hash.
     """
-    keys = keys_of(by)
-    entries = F.array(
-        *[F.struct(F.lit(name).alias("m"), value.cast("double").alias("v")) for name, (value, _) in quantiles.items()]
-    )
-    rows = df.select(*[k.alias(n) for n, k in keys.items()], F.explode(entries).alias("_e"))
-    group = [*keys, "_m"]
-    counts = (
-        rows.select(*keys, F.col("_e.m").alias("_m"), F.col("_e.v").alias("_v"))
-        .filter("_v is not null")
-        .groupBy(*group, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_slice", _slice(F.col("_v")))
-    )
-    upto = Window.unboundedPreceding
-    inner = Window.partitionBy(*group, "_slice").orderBy("_v").rowsBetween(upto, Window.currentRow)
-    ranked = counts.withColumn("_in", F.sum("_n").over(inner))
-    lower = Window.partitionBy(*group).orderBy("_slice").rowsBetween(upto, -1)
-    slices = counts.groupBy(*group, "_slice").agg(F.sum("_n").alias("_s"))
-    slices = slices.select(
-        *[F.col(g).alias(f"{g}_r") for g in group],
-        F.col("_slice").alias("_slice_r"),
-        F.coalesce(F.sum("_s").over(lower), F.lit(0)).alias("_base"),
-        F.sum("_s").over(Window.partitionBy(*group)).alias("_all"),
-    )
-    same = F.col("_slice") == F.col("_slice_r")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"{g}_r"))
-    joined = ranked.join(slices, same).withColumn("_cum", F.col("_base") + F.col("_in"))
-    picks, out = [], []
-    for m, (_, wanted) in quantiles.items():
-        for name, p in wanted.items():
-            at = (F.col("_all") - 1) * F.lit(float(p))
-            mine = F.col("_m") == m
-
-            def value_at(rank: Column) -> Column:
-                return F.max(F.when(mine & (rank >= F.col("_cum") - F.col("_n")) & (rank < F.col("_cum")), F.col("_v")))
-
-            picks += [
-                value_at(F.floor(at)).alias(f"_lo_{name}"),
-                value_at(F.ceil(at)).alias(f"_hi_{name}"),
-                F.max(F.when(mine, at - F.floor(at))).alias(f"_f_{name}"),
-            ]
-            lo, hi, part = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_f_{name}")
-            out.append(F.round(lo + (hi - lo) * part, 6).alias(name))
-    return joined.groupBy(*keys).agg(*picks).select(*keys, *out)
+    slot, value = F.col("_slot")["slot"], F.col("_slot")["num"]
+    wide = (slot >= start) & (slot < stop) & value.isNotNull()
+    part = F.when(wide, _slice(value)).otherwise(F.pmod(F.xxhash64("_slot"), F.lit(1024)))
+    cut = fine.withColumn("_in", F.struct(slot.alias("slot"), part.alias("part")))
+    inner = Window.partitionBy(*keys, "_in").orderBy(value)
+    running = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = cut.withColumns({"_upto": F.sum("_n").over(running), "_more": F.lead(F.lit(1)).over(inner), "_wide": F.max(wide).over(running)})
+    rows = pinned(rows)
+    slices = rows.filter("_more is null and _wide")  # both come from the window: neither is asked below its shuffle
+    slices = slices.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_in").alias("_of_in"), F.col("_upto").alias("_size"))
+    group = Window.partitionBy(*[f"_of_{k}" for k in keys], F.col("_of_in")["slot"])
+    lower = group.orderBy(F.col("_of_in")["part"]).rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumns({"_base": F.coalesce(F.sum("_size").over(lower), F.lit(0)), "_all": F.sum("_size").over(group)})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_in") == F.col("_of_in"))
+    joined = rows.join(slices, same, "left")
+    return joined.select(*fine.columns, (F.col("_base") + F.col("_upto")).alias("_cum"), "_all")
+
+
+def _pick(slot: int, name: str, p: float, *, nearest: bool) -> tuple[list[Column], Column]:
+    """Aggregates over placed values, and the quantile from them."""
+    mine = F.col("_slot")["slot"] == slot
+
+    def value_at(rank: Column) -> Column:
+        here = mine & (rank >= F.col("_cum") - F.col("_n")) & (rank < F.col("_cum"))
+        return F.max(F.when(here, F.col("_slot")["num"]))
+
+    if nearest:
+        rank = F.least(F.floor(F.col("_all") * F.lit(p)), F.col("_all") - 1)
+        return [value_at(rank).alias(f"_lo_{name}")], F.col(f"_lo_{name}")
+    at = (F.col("_all") - 1) * F.lit(p)
+    lo, hi, part = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_f_{name}")
+    aggregates = [
+        value_at(F.floor(at)).alias(f"_lo_{name}"),
+        value_at(F.ceil(at)).alias(f"_hi_{name}"),
+        F.max(F.when(mine, at - F.floor(at))).alias(f"_f_{name}"),
+    ]
+    return aggregates, F.round(lo + (hi - lo) * part, 6)
 
 
 def _slice(value: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitlens.operators.measures import summarise
 from hitlens.operators.sequence import prefix_sums
 
 CHUNK = 4096
@@ -126,15 +127,5 @@ def concurrency(df: DataFrame, arrive: str, leave: str, grain: str = "minute") -
 
 
 def nearest_rank(df: DataFrame, by: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Percentile as the element at index ``floor(n * p)`` of the sorted values.
-
-    Values are counted first, so the window runs over the distinct values of a group only.
-    """
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    part = Window.partitionBy(*by)
-    upto = part.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(part)})
-    index = {name: F.least(F.floor(F.col("_all") * p), F.col("_all") - 1) for name, p in points.items()}
-    return ranked.groupBy(*by).agg(
-        *[F.min(F.when(F.col("_upto") > i, F.col(value))).alias(name) for name, i in index.items()]
-    )
+    """Percentile as the element at index ``floor(n * p)`` of the sorted values."""
+    return summarise(df, by, nearest=[(F.col(value), points)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,16 +43,30 @@ def share_of_total(df: DataFrame, value: str, name: str = "share", *, source: Da
     return df.withColumn(name, F.col(value) * F.lit(100.0) / total)
 
 
-def share_in_group(df: DataFrame, by: Sequence[str], value: str, name: str = "share") -> DataFrame:
-    """Percentage of the group's total over already aggregated rows.
+def with_totals(df: DataFrame, by: Sequence[str], totals: Mapping[str, str], *, spread: int | None = None) -> DataFrame:
+    """Add the group's total of columns (``{new name: column}``) to already aggregated rows, without a second run of the report.
 
-    The totals are joined back instead of a window over the group: a window would hold all rows of
-    a hot group in one task. Spark broadcasts the totals when it has seen that they are small.
+    Subtotal rows travel with the rows: one aggregation by the whole row and by the group alone gives
+    both, and the subtotal is handed to ``spread`` slices of its group, each of which is a window of its own. A
+    hot group thus takes ``spread`` tasks, and nothing is joined. Equal rows are kept as often as they come.
     """
-    totals = df.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(F.sum(value).alias("_total"))
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(totals[f"_{k}"]) for k in by])
-    share = df[value] * F.lit(100.0) / totals["_total"]
-    return df.join(totals, same).select(*[df[n] for n in df.columns], share.alias(name))
+    spread = spread or (16 if by else 256)
+    rest = [c for c in df.columns if c not in by]
+    rows, names = df.select(*by, F.struct(*rest).alias("_row"), *[F.col(c).alias(f"_v{k}") for k, c in enumerate(totals.values())]), list(totals)
+    sums = [F.sum(f"_v{k}").alias(f"_t{k}") for k in range(len(names))]
+    both = rows.groupingSets([[*by, "_row"], [*by]], *by, "_row").agg(F.grouping("_row").alias("_sub"), F.count(F.lit(1)).alias("_times"), *sums)
+    sub = F.col("_sub") == 1
+    slices = F.when(sub, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.pmod(F.xxhash64("_row"), F.lit(spread)).cast("int")))
+    part = Window.partitionBy(*by, "_part")
+    found = both.withColumn("_part", F.explode(slices)).withColumns({f"_t{k}": F.max(F.when(sub, F.col(f"_t{k}"))).over(part) for k in range(len(names))})
+    found = found.filter(~sub).withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return found.select(*[F.col(c) if c in by else F.col("_row")[c].alias(c) for c in df.columns], *[F.col(f"_t{k}").alias(n) for k, n in enumerate(names)])
+
+
+def share_in_group(df: DataFrame, by: Sequence[str], value: str, name: str = "share") -> DataFrame:
+    """Percentage of the group's total over already aggregated rows, in one run of the report."""
+    out = with_totals(df, by, {"_total": value})
+    return out.select(*df.columns, (F.col(value) * F.lit(100.0) / F.col("_total")).alias(name))
 
 
 def stack_up(frames: Sequence[DataFrame]) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.functions import timing
-from hitlens.operators.measures import flag, mean, rate, summarise, wide_quantiles
-from hitlens.operators.ranking import top_per_group
+from hitlens.operators.measures import flag, mean, rate, summarise
+from hitlens.operators.ranking import top_per_group, with_totals
 from hitlens.rules import descend
 from hitlens.schema import DEFAULTS, Thresholds
 
@@ -17,8 +17,8 @@ PHASES = ["connect_ms", "process_ms", "backend_transfer_ms", "front_ms"]
 def api_performance(df: DataFrame, limits: Thresholds = DEFAULTS, *, exact: bool = True) -> DataFrame:
     """Totals over all requests, latency, phase and size statistics over the successful ones.
 
-    APIs without a success are left out. Shares of all slow and all successful requests come from
-    one-value subqueries.
+    APIs without a success are left out. Totals for the shares of all slow and all successful requests
+    travel with the rows.
     """
     ok = F.col("is_success")
     slow = ok & (F.col("duration_ms") > limits.slow_ms)
@@ -44,22 +44,21 @@ def api_performance(df: DataFrame, limits: Thresholds = DEFAULTS, *, exact: bool
         unbounded=[(on_success("body_bytes"), {"body_p50": 0.5, "body_p95": 0.95})],
         exact=exact,
     ).filter("successes > 0")
-    all_slow = df.agg(F.count_if(slow)).scalar()
-    all_ok = df.agg(F.count_if(ok)).scalar()
+    out = with_totals(out, [], {"all_slow": "slow", "all_ok": "successes"})
     phase_sum = sum((F.col(f"sum_{p}") for p in PHASES), F.lit(0))
     out = out.withColumns(
         {
             "success_rate": rate(F.col("successes"), F.col("requests")),
             "slow_rate": rate(F.col("slow"), F.col("successes")),
-            "share_of_slow": rate(F.col("slow"), all_slow),
-            "share_of_success": rate(F.col("successes"), all_ok),
+            "share_of_slow": rate(F.col("slow"), F.col("all_slow")),
+            "share_of_success": rate(F.col("successes"), F.col("all_ok")),
             "avg_ms": mean(F.col("sum_ms"), F.col("successes")),
             "avg_body": mean(F.col("sum_body"), F.col("successes")),
             **{f"share_{p}": rate(F.col(f"sum_{p}"), phase_sum) for p in PHASES},
         }
     )
     slow_api = (F.col("avg_ms") > limits.slow_ms) | (F.col("slow_rate") > limits.slow_share)
-    return out.withColumn("is_slow_api", slow_api).drop("sum_ms", "sum_body", *[f"sum_{p}" for p in PHASES])
+    return out.withColumn("is_slow_api", slow_api).drop("all_slow", "all_ok", "sum_ms", "sum_body", *[f"sum_{p}" for p in PHASES])
 
 
 def api_transfer(df: DataFrame, *, exact: bool = True) -> DataFrame:
@@ -73,12 +72,9 @@ def api_transfer(df: DataFrame, *, exact: bool = True) -> DataFrame:
         (m["backend_efficiency"] / 100).alias("efficiency"),
     )
     names = ["response_speed", "total_speed", "connection_cost", "efficiency"]
-    points = {n: (F.col(n), {f"p10_{n}": 0.1, f"p90_{n}": 0.9}) for n in names}
+    points = [(F.col(n), {f"p10_{n}": 0.1, f"p90_{n}": 0.9}) for n in names]
     sums = {"requests": F.lit(1), **{f"sum_{n}": F.col(n) for n in names}}
-    if exact:
-        out = summarise(rows, ["uri"], sums=sums).join(wide_quantiles(rows, ["uri"], points), "uri")
-    else:
-        out = summarise(rows, ["uri"], sums=sums, quantiles=list(points.values()), exact=False)
+    out = summarise(rows, ["uri"], sums=sums, unbounded=points, exact=exact)
     out = out.withColumns({f"avg_{n}": F.round(F.col(f"sum_{n}") / F.col("requests"), 6) for n in names})
     grade = descend(
         F.col("avg_efficiency"), [(0.8, "优秀"), (0.6, "良好"), (0.4, "一般"), (0.2, "较差")], "很差", strict=False

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.functions import agent
-from hitlens.operators.measures import flag
-from hitlens.operators.occupancy import nearest_rank
+from hitlens.operators.measures import flag, summarise
 from hitlens.plans.timeline import SECONDS
 
 
@@ -18,16 +17,18 @@ def buckets(df: DataFrame, grain: str, *, slow_ms: int = 5000) -> DataFrame:
         F.col("status").try_cast("int").between(200, 399).alias("ok"),
         "duration_ms",
     )
-    base = rows.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.sum(flag(F.col("ok"))).alias("successes"),
-        F.sum(flag(F.col("duration_ms") > slow_ms)).alias("slow"),
-        (F.sum("duration_ms") / F.count(F.lit(1))).alias("avg_ms"),
-        F.max("duration_ms").alias("max_ms"),
-        F.min("duration_ms").alias("min_ms"),
+    ms = F.col("duration_ms")
+    out = summarise(
+        rows,
+        ["bucket"],
+        sums={"requests": F.lit(1), "successes": flag(F.col("ok")), "slow": flag(ms > slow_ms), "ms": ms},
+        maxs={"max_ms": ms},
+        mins={"min_ms": ms},
+        nearest=[(ms, {"p95_ms": 0.95, "p99_ms": 0.99})],
     )
-    ranks = nearest_rank(rows, ["bucket"], "duration_ms", {"p95_ms": 0.95, "p99_ms": 0.99})
-    return base.join(ranks, "bucket").withColumn("qps", F.col("successes") / F.lit(float(SECONDS[grain])))
+    return out.withColumns(
+        {"avg_ms": F.col("ms") / F.col("requests"), "qps": F.col("successes") / F.lit(float(SECONDS[grain]))}
+    ).drop("ms")
 
 
 def tallies(df: DataFrame) -> DataFrame:

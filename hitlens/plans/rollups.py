@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.operators.measures import apdex, deviation, flag, rate, summarise
-from hitlens.operators.ranking import share_in_group
+from hitlens.operators.ordered import framed, spans
+from hitlens.operators.ranking import share_in_group, with_totals
 from hitlens.rules import descend
 from hitlens.schema import DEFAULTS, Thresholds
 
@@ -210,7 +211,6 @@ def status_codes(df: DataFrame) -> DataFrame:
 
 def time_dimension(df: DataFrame) -> DataFrame:
     """Hourly totals with peak class and rolling peak and mean over complete hours."""
-    from pyspark.sql import Window
 
     hour, workday = c("hour"), c("weekday") <= 5
     peak = (
@@ -227,7 +227,11 @@ def time_dimension(df: DataFrame) -> DataFrame:
         quantiles=[(_ms(), {"p50": 0.5, "p95": 0.95})],
         distinct={"clients": c("client_ip")},
     )
-    w = Window.orderBy(HOUR)
+    frames = {
+        "peak_7h": lambda w: F.max("requests").over(w.rowsBetween(-6, 0)),
+        "mean_24h": lambda w: F.avg("requests").over(w.rowsBetween(-23, 0)),
+    }
+    out = framed(out, [HOUR, "peak_period", "business_hours"], spans(c(HOUR)), frames, before=23)
     return out.withColumns(
         {
             "qps": c("requests") / F.lit(3600.0),
@@ -235,8 +239,6 @@ def time_dimension(df: DataFrame) -> DataFrame:
             "success_rate": _share("successes"),
             "error_rate": _share("errors"),
             "slow_rate": _share("slow"),
-            "peak_7h": F.max("requests").over(w.rowsBetween(-6, 0)),
-            "mean_24h": F.avg("requests").over(w.rowsBetween(-23, 0)),
         }
     ).drop("ms", "successes", "errors", "slow")
 
@@ -296,10 +298,15 @@ def request_headers(df: DataFrame) -> DataFrame:
 
 
 def api_errors(df: DataFrame) -> DataFrame:
-    """Errors per API with their share of all requests of the hour (equi join on the hour totals)."""
+    """Errors per API with their share of all requests of the hour.
+
+    Successes are folded into one row per hour, so that errors and hour totals come from one pass.
+    """
+    bad = ~_ok()
+    keys = {HOUR: c(HOUR), "_bad": bad, **{k: F.when(bad, c(k)) for k in ("platform", "uri", "module", "status")}}
     out = summarise(
-        df.filter(~_ok()),
-        [HOUR, "platform", "uri", "module", "status"],
+        df,
+        keys,
         sums={
             "requests": F.lit(1),
             "client_errors": flag(c("status").startswith("4")),
@@ -311,17 +318,16 @@ def api_errors(df: DataFrame) -> DataFrame:
         },
         mins={"first_error": c("log_time")},
         maxs={"last_error": c("log_time"), "max_ms": _ms()},
-        distinct={"clients": c("client_ip")},
+        distinct={"clients": F.when(bad, c("client_ip"))},
     )
-    hours = df.groupBy(HOUR).agg(F.count(F.lit(1)).alias("hour_requests"))
-    joined = out.join(hours, HOUR)
-    return joined.withColumns(
+    found = with_totals(out, [HOUR], {"hour_requests": "requests"}).filter("_bad")
+    return found.withColumns(
         {
             "avg_ms": _avg(),
             "avg_upstream_ms": _avg("upstream"),
             "share_of_hour": c("requests") * 100.0 / c("hour_requests"),
         }
-    ).drop("ms", "upstream", "hour_requests")
+    ).drop("ms", "upstream", "hour_requests", "_bad")
 
 
 def ip_source(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.functions import timing
-from hitlens.operators.measures import flag, summarise, wide_quantiles
+from hitlens.operators.measures import flag, summarise
 from hitlens.rules import descend, lookup
 from hitlens.schema import DEFAULTS, Thresholds
 
@@ -160,12 +160,12 @@ def transfer(df: DataFrame) -> DataFrame:
     m = timing.lifecycle(*[c(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")], rounded=False)
     keys = ["stat_hour", "service"]
     speeds = df.select(*keys, *[m[n].alias(n) for n in ("response_speed", "total_speed", "front_speed")])
-    points = {
-        "response": (c("response_speed"), {"response_p50": 0.5, "response_p5": 0.05}),
-        "total": (c("total_speed"), {"total_p50": 0.5, "total_p5": 0.05}),
-        "front": (c("front_speed"), {"front_p50": 0.5}),
-    }
-    out = summarise(speeds, keys, sums={"requests": F.lit(1)}).join(wide_quantiles(speeds, keys, points), keys)
+    points = [
+        (c("response_speed"), {"response_p50": 0.5, "response_p5": 0.05}),
+        (c("total_speed"), {"total_p50": 0.5, "total_p5": 0.05}),
+        (c("front_speed"), {"front_p50": 0.5}),
+    ]
+    out = summarise(speeds, keys, sums={"requests": F.lit(1)}, unbounded=points)
     state = (
         F.when(c("total_p50") < 1000, F.lit("传输速度慢"))
         .when(c("front_p50") < c("response_p50") * 0.8, F.lit("前端传输瓶颈"))

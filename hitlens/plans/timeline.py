@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.operators.measures import flag, rate, summarise
+from hitlens.operators.ordered import framed, lagged, numbered, spans
 from hitlens.rules import descend
 from hitlens.schema import DEFAULTS, Thresholds
 
@@ -59,14 +60,10 @@ def change(now: Column, before: Column) -> Column:
 
 
 def trend(report: DataFrame) -> DataFrame:
-    """Change of QPS, median and error rate against the previous bucket.
-
-    The window runs over bucket rows, whose number depends on the time span only.
-    """
-    spec = Window.orderBy("bucket")
-    return report.withColumns(
-        {f"{m}_change": change(F.col(m), F.lag(m).over(spec)) for m in ("qps", "p50", "error_rate")}
-    )
+    """Change of QPS, median and error rate against the previous bucket."""
+    metrics = ("qps", "p50", "error_rate")
+    rows = lagged(report, ["bucket"], spans(F.col("bucket")), {f"_was_{m}": m for m in metrics})
+    return rows.withColumns({f"{m}_change": change(F.col(m), F.col(f"_was_{m}")) for m in metrics}).drop(*[f"_was_{m}" for m in metrics])
 
 
 def anomaly(report: DataFrame) -> DataFrame:
@@ -120,13 +117,11 @@ def efficiency(scored: DataFrame) -> DataFrame:
 
 def rolling(report: DataFrame, value: str, *, peak_rows: int = 7, mean_rows: int = 24) -> DataFrame:
     """Rolling maximum over 7 and mean over 24 bucket rows."""
-    w = Window.orderBy("bucket")
-    return report.withColumns(
-        {
-            "rolling_peak": F.max(value).over(w.rowsBetween(1 - peak_rows, 0)),
-            "rolling_mean": F.avg(value).over(w.rowsBetween(1 - mean_rows, 0)),
-        }
-    )
+    frames = {
+        "rolling_peak": lambda w: F.max(value).over(w.rowsBetween(1 - peak_rows, 0)),
+        "rolling_mean": lambda w: F.avg(value).over(w.rowsBetween(1 - mean_rows, 0)),
+    }
+    return framed(report, ["bucket"], spans(F.col("bucket")), frames, before=max(peak_rows, mean_rows) - 1)
 
 
 def _direction(change_: Column, band: float = 5.0) -> Column:
@@ -139,8 +134,8 @@ def _direction(change_: Column, band: float = 5.0) -> Column:
 
 def ends_trend(report: DataFrame, metrics: list[str], *, width: int = 3) -> DataFrame:
     """Mean of the last three buckets against the first three, per metric."""
-    first, last = Window.orderBy("bucket"), Window.orderBy(F.desc("bucket"))
-    ranked = report.withColumns({"_a": F.row_number().over(first), "_z": F.row_number().over(last)})
+    ranked = numbered(report, ["bucket"], spans(F.col("bucket")), "_a", total="_n")
+    ranked = ranked.withColumn("_z", F.col("_n") - F.col("_a") + 1)
     long = ranked.select(
         "_a", "_z", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])).alias("m")
     ).select("_a", "_z", "m.metric", "m.v")
@@ -160,9 +155,7 @@ def ends_trend(report: DataFrame, metrics: list[str], *, width: int = 3) -> Data
 
 def halves_trend(report: DataFrame, metrics: list[str]) -> DataFrame:
     """Mean of the second half of the buckets against the first half, per metric."""
-    w = Window.orderBy("bucket")
-    total = report.agg(F.count(F.lit(1))).scalar()
-    ranked = report.withColumns({"_a": F.row_number().over(w), "_n": total})
+    ranked = numbered(report, ["bucket"], spans(F.col("bucket")), "_a", total="_n")
     early = F.col("_a") <= F.floor(F.col("_n") / 2)
     long = ranked.select(
         early.alias("early"),

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hitlens.operators.ordered import lagged, spans
 from hitlens.operators.ranking import latest
 from hitlens.schema import METRIC_SCHEMA, canonical, coerce
 
@@ -79,8 +80,7 @@ def continuity(files: DataFrame, name: str = "file") -> DataFrame:
     """Gaps in a set of file ranges: a file ends before the next one starts. One row per file."""
     start, end = name_range(F.col(name))
     ranged = files.select(name, start.alias("range_start"), end.alias("range_end")).filter("range_start is not null")
-    following = F.lead("range_start").over(Window.orderBy("range_start", name))
-    out = ranged.withColumn("next_start", following)
+    out = lagged(ranged, ["range_start", name], spans(F.col("range_start")), {"next_start": "range_start"}, -1)
     gap = F.unix_timestamp("next_start") - F.unix_timestamp("range_end")
     return out.withColumn("gap_seconds", F.when(gap > 0, gap).otherwise(F.lit(0)))
 

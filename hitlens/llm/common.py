@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame) -> None:
+    """Delete a table that :func:`stored` wrote, once everything that reads it is stored itself."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a shared folder named by URI or by plain path."""
+    return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, UPPER.lower())
@@ -121,6 +135,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 21)
             start = stop
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective mix of 64-bit numbers that spreads them evenly."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def texts_of(array: pa.Array) -> list[bytes]:
     """UTF-8 bytes per row, null as empty."""
     return pc.fill_null(array.cast(pa.binary()), b"").to_pylist()

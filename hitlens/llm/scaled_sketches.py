@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from hitlens.llm.common import held, mapped, others, quoted, register, slices, stored, table, texts_of
+from hitlens.llm.common import held, mapped, mixed, others, quoted, register, slices, stored, table, texts_of
 
 WIDTH = 5
 SHARE = 8  # one hash of so many is kept
@@ -45,13 +45,6 @@ MADE = [
 ]
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective mix of 64-bit numbers that spreads them evenly."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     known: dict[bytes, int] = held(("words", SEED), dict)
     if len(known) > WORDS:

@@ -197,6 +197,22 @@ def _(spark, sf):
     return sampling.frequency_sketch(table(spark, sf, "events"), "user_id").select(F.length("sketch").alias("bytes"))
 
 
+@register("k03_heavy_hitters", "SELECT user_id, count(*) AS n, true AS within FROM events GROUP BY 1 HAVING count(*) >= 0.0015e0 * (SELECT count(user_id) FROM events)", raw=True)
+def _(spark, sf):
+    out = sampling.heavy_hitters(table(spark, sf, "events").select("user_id"), "user_id", 0.0015)
+    return out.select("user_id", "n", c("n").between(c("at_least"), c("at_most")).alias("within"))
+
+
+@register("k03_merged_counters", "WITH g AS (SELECT o_orderpriority AS item, count(*) AS n FROM orders GROUP BY 1) SELECT item, true AS within, n >= 0.1e0 * sum(n) OVER () AS frequent FROM g", raw=True)
+def _(spark, sf):
+    """Counters per day, merged over all days, read back with their bounds."""
+    orders = table(spark, sf, "orders")
+    found = sampling.frequent_values(sampling.frequent_state(orders, ["o_orderdate"], "o_orderpriority", 0.01), [], 0.01)
+    exact = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    both = exact.join(found, c("o_orderpriority") == c("item"))
+    return both.select("item", c("n").between(c("at_least"), c("at_most")).alias("within"), (c("at_least") >= c("total") * 0.1).alias("frequent"))
+
+
 @register("k04_approx_distinct", "SELECT event_type, true AS close FROM events GROUP BY 1", raw=True)
 def _(spark, sf):
     e = table(spark, sf, "events").withColumn("part", c("event_id") % 4)
@@ -223,6 +239,18 @@ def _(spark, sf):
     return sampling.adaptive_sizes(e, "event_type", "d", "value")
 
 
+@register(
+    "k06_adaptive_sample",
+    f"""WITH s AS (SELECT event_type, CAST(ts AS DATE) AS d, stddev_pop(value) AS sd FROM events GROUP BY 1, 2), g AS (SELECT event_type, CASE WHEN sd > lag(sd) OVER (PARTITION BY event_type ORDER BY d) * 1.2e0 THEN 1 ELSE 0 END AS grew FROM s),
+    z AS (SELECT event_type, least(500, 20 * pow(2, sum(grew))) AS size FROM g GROUP BY 1), r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY {_U}, event_id) AS k FROM events)
+    SELECT event_id, event_type FROM r JOIN z USING (event_type) WHERE k <= size""",
+    raw=True,
+)
+def _(spark, sf):
+    e = table(spark, sf, "events").withColumn("d", F.to_date("ts"))
+    return sampling.adaptive_sample(e, "event_type", "d", "value", "event_id", start=20, cap=500).select("event_id", "event_type")
+
+
 @register("k07_weighted", f"SELECT event_id FROM (SELECT event_id, -ln({_U}) / CASE event_type WHEN 'error' THEN 4e0 WHEN 'purchase' THEN 2e0 ELSE 1e0 END AS w FROM events) ORDER BY w, event_id LIMIT 200", raw=True)
 def _(spark, sf):
     weight = lookup(c("event_type"), {"error": 4.0, "purchase": 2.0}, 1.0)

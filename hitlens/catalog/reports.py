@@ -208,6 +208,25 @@ def _(spark, sf):
     return slow.with_frequency(slow.diagnose(df), df).select("event_id", "api_requests", "frequency")
 
 
+_STATS = [*slow.STATISTICS, *slow.WIDE_STATISTICS]
+
+
+@register(
+    "a12_slow_statistics",
+    f""", s AS (SELECT uri, is_slow, {", ".join(n for n in _STATS if n not in timeline.RATIOS)}, duration_ms / 1000::DOUBLE AS t, connect_ms / 1000::DOUBLE AS a, header_ms / 1000::DOUBLE AS h, response_ms / 1000::DOUBLE AS r FROM hits),
+    p AS (SELECT *, greatest(0::DOUBLE, h - a) AS pr, greatest(0::DOUBLE, r - h) AS bt, greatest(0::DOUBLE, t - r) AS ft FROM s),
+    l AS (SELECT *, CASE WHEN r > 0 THEN pr / r * 100 ELSE 0 END AS backend_efficiency, CASE WHEN t > 0 THEN (a + ft) / t * 100 ELSE 0 END AS network_overhead,
+      CASE WHEN t > 0 THEN (bt + ft) / t * 100 ELSE 0 END AS transfer_ratio, CASE WHEN r > 0 THEN a / r * 100 ELSE 0 END AS connection_cost FROM p)
+    SELECT uri, count(*) AS requests, {n_if('is_slow')} AS slow, {n_if('is_slow')} * 1e2 / count(*) AS share_in_api, {n_if('is_slow')} * 1e2 / (SELECT count(*) FROM hits WHERE is_slow) AS share_of_slow,
+    {", ".join(f"min({m}) FILTER (WHERE is_slow) AS min_{m}, max({m}) FILTER (WHERE is_slow) AS max_{m}, round(avg({m}) FILTER (WHERE is_slow), 6) AS avg_{m}" for m in _STATS)},
+    {", ".join(pct(m, p, f"p{int(p * 100)}_{m}", "is_slow") for m in _STATS for p in (.5, .9, .95, .99))}
+    FROM l GROUP BY uri HAVING {n_if('is_slow')} > 0""",
+)
+def _(spark, sf):
+    out = slow.api_statistics(hits(spark, sf))
+    return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 6) for m in _STATS})
+
+
 @register(
     "a12_slow_by_api",
     f"""SELECT uri, count(*) AS requests, {n_if('is_slow')} AS slow, min(duration_ms) FILTER (WHERE is_slow) AS min_ms, max(duration_ms) FILTER (WHERE is_slow) AS max_ms,
@@ -380,6 +399,38 @@ def _(spark, sf):
     return timeline.buckets(hits(spark, sf), "hour", ts=clock.arrival(c("log_time"), c("duration_ms")))
 
 
+_FULL = [*timeline.TIMES, *timeline.RATIOS, *timeline.SIZES, *timeline.SPEEDS]
+
+
+def full_sql(grain: str) -> str:
+    """All columns of the full report over one bucket width; occupancy by a range join."""
+    sec = timeline.SECONDS[grain]
+    medians = ", ".join(pct(m, 0.5, f"{m}_p50") for m in _FULL)
+    tails = ", ".join(f"{pct(t, .95, t + '_p95')}, {pct(t, .99, t + '_p99')}" for t in timeline.TAILS)
+    return f""", s AS (SELECT *, duration_ms / 1000::DOUBLE AS t, connect_ms / 1000::DOUBLE AS a, header_ms / 1000::DOUBLE AS h, response_ms / 1000::DOUBLE AS r,
+      body_bytes / 1024::DOUBLE AS body_kb, sent_bytes / 1024::DOUBLE AS sent_kb, date_trunc('{grain}', log_time) AS bucket FROM hits),
+    p AS (SELECT *, greatest(0::DOUBLE, h - a) AS pr, greatest(0::DOUBLE, r - h) AS bt, greatest(0::DOUBLE, t - r) AS ft FROM s),
+    l AS (SELECT *, CASE WHEN r > 0 THEN pr / r * 100 ELSE 0 END AS backend_efficiency, CASE WHEN t > 0 THEN (a + ft) / t * 100 ELSE 0 END AS network_overhead,
+      CASE WHEN t > 0 THEN (bt + ft) / t * 100 ELSE 0 END AS transfer_ratio, CASE WHEN r > 0 THEN a / r * 100 ELSE 0 END AS connection_cost,
+      CASE WHEN bt > 0 THEN body_kb / bt ELSE 0 END AS response_speed, CASE WHEN bt + ft > 0 THEN sent_kb / (bt + ft) ELSE 0 END AS total_speed, CASE WHEN ft > 0 THEN sent_kb / ft ELSE 0 END AS front_speed FROM p),
+    b AS (SELECT bucket, count(*) AS requests, {n_if(OKW)} AS successes, {n_if('is_slow')} AS slow, {n_if("status LIKE '4%'")} AS client_errors, {n_if("status LIKE '5%'")} AS server_errors,
+      count(DISTINCT client_ip) AS clients, {medians}, {tails} FROM l GROUP BY 1),
+    x AS (SELECT epoch_us(log_time - to_milliseconds(duration_ms)) AS u, epoch_us(log_time) AS v FROM access),
+    ni AS (SELECT make_timestamp(u // {sec}000000 * {sec}000000) AS at, count(*) AS new_requests FROM x GROUP BY 1),
+    o AS (SELECT bucket, count(*) FILTER (WHERE u < e AND v >= e) AS concurrent, count(*) FILTER (WHERE u <= e AND v >= e - {sec}000000) AS active
+      FROM (SELECT bucket, epoch_us(bucket) + {sec}000000 AS e FROM b) JOIN x ON u <= e AND v >= e - {sec}000000 GROUP BY 1),
+    rep AS (SELECT b.*, connect_ms_p50 AS connect_phase_p50, response_ms_p50 AS backend_total_p50, process_ms_p50 AS processing_p50, {srate('successes', 'requests')} AS success_rate, {srate('slow', 'requests')} AS slow_rate,
+      {srate('client_errors', 'requests')} AS client_error_rate, {srate('server_errors', 'requests')} AS server_error_rate, {srate('(client_errors + server_errors)', 'requests')} AS error_rate, successes / {sec}e0 AS qps,
+      coalesce(new_requests, 0) AS new_requests, concurrent, active FROM b LEFT JOIN ni ON ni.at = b.bucket LEFT JOIN o USING (bucket))"""
+
+
+for _grain in ("day", "hour"):
+
+    @register(f"a22_full_{_grain}", full_sql(_grain) + " SELECT * FROM rep")
+    def _(spark, sf, grain=_grain):
+        return timeline.full_report(hits(spark, sf), grain)
+
+
 _TREND = """, tr AS (SELECT *, {} FROM rep)""".format(
     ", ".join(
         f"CASE WHEN lag({m}) OVER (ORDER BY bucket) > 0 THEN ({m} - lag({m}) OVER (ORDER BY bucket)) / lag({m}) OVER (ORDER BY bucket) * 100 ELSE 0 END AS {m}_change"
@@ -475,6 +526,43 @@ for _grain, _suffix in (("day", ""), ("second", "_second")):
         return timeline.halves_trend(timeline.buckets(hits(spark, sf), grain), _TM)
 
 
+_SCORES = {
+    "throughput_score": "qps / mq * 100",
+    "response_score": "greatest(0e0, 100 - p50 / mp * 100)",
+    "reliability_score": "CASE WHEN me > 1 THEN greatest(0e0, 100 - error_rate / me * 100) ELSE greatest(0e0, 100 - error_rate * 10) END",
+    "stability_score": "CASE WHEN ms > 1 THEN greatest(0e0, 100 - slow_rate / ms * 100) ELSE greatest(0e0, 100 - slow_rate * 5) END",
+    "health_score": "greatest(0e0, 100 - anomaly_score)",
+}
+
+
+@register(
+    "w07_efficiency_scores",
+    bucket_sql("hour")
+    + _ANOM
+    + """, mx AS (SELECT CASE WHEN max(qps) > 0 THEN max(qps) ELSE 1 END AS mq, CASE WHEN max(p50) > 0 THEN max(p50) ELSE 1 END AS mp,
+      CASE WHEN max(error_rate) > 0 THEN max(error_rate) ELSE 1 END AS me, CASE WHEN max(slow_rate) > 0 THEN max(slow_rate) ELSE 1 END AS ms FROM an)"""
+    + f" SELECT bucket, {', '.join(f'round({v}, 4) AS {k}' for k, v in _SCORES.items())} FROM an, mx",
+)
+def _(spark, sf):
+    out = timeline.efficiency(timeline.anomaly(timeline.buckets(hits(spark, sf), "hour")), scores=True)
+    return out.select("bucket", *_SCORES)
+
+
+@register(
+    "a54_peak_summary",
+    """, x AS (SELECT log_time - to_milliseconds(duration_ms) AS arrived, log_time AS done FROM access),
+    ev AS (SELECT arrived AS t0, 1 AS step FROM x UNION ALL SELECT done, -1 FROM x),
+    lv AS (SELECT t0, sum(step) OVER (ORDER BY t0, step DESC ROWS UNBOUNDED PRECEDING) AS level FROM ev),
+    h AS (SELECT date_trunc('hour', log_time) AS bucket, avg(duration_ms) AS m, count(*) FILTER (WHERE status LIKE '5%') * 1e2 / count(*) AS e FROM hits GROUP BY 1),
+    l AS (SELECT bucket, 'latency' AS peak, m AS value FROM h UNION ALL SELECT bucket, 'server_errors', e FROM h WHERE e > 1
+      UNION ALL SELECT date_trunc('minute', t0), 'concurrency', max(level)::DOUBLE FROM lv GROUP BY 1),
+    k AS (SELECT bucket, peak, value, CAST(row_number() OVER (PARTITION BY peak ORDER BY value DESC, bucket) AS INT) AS rank FROM l) SELECT * FROM k WHERE rank <= 3""",
+)
+def _(spark, sf):
+    df = access(spark, sf).withColumn("arrived", clock.arrival(c("log_time"), c("duration_ms")))
+    return timeline.peak_summary(timeline.hourly(hits(spark, sf)), occupancy.concurrency(df, "arrived", "log_time"))
+
+
 @register(
     "a54_peaks",
     bucket_sql("hour")

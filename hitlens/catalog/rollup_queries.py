@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from hitlens.catalog.base import hits, pct, register
+from hitlens import lookups as K
+from hitlens.catalog.base import hits, pct, register, sql_case
 from hitlens.catalog.reports import isum, n_if
 from hitlens.plans import rollups
 
@@ -21,6 +22,34 @@ P3 = ", ".join(pct("duration_ms", p, f"p{int(p * 100)}") for p in (0.5, 0.95, 0.
 FLAGS = {"attention": 500, "warning": 1000, "slow": 3000, "very_slow": 10000, "timeout": 30000}
 
 
+# drill-down keys that come from functions of the enriched columns
+TEAM = (
+    "CASE WHEN contains(server_name, '.gov.cn') OR contains(business_domain, 'government') THEN "
+    + sql_case("server_name", K.TEAM, "central_gov")
+    + " ELSE 'default' END AS team"
+)
+CATEGORY = (
+    "CASE WHEN (contains(ua, 'alipayclient') AND regexp_matches(ua, 'miniprogram|ariver')) OR (contains(ua, 'micromessenger') AND contains(ua, 'miniprogram')) THEN 'miniprogram' "
+    "WHEN contains(ua, 'android') OR contains(ua, 'iphone') THEN 'mobile' WHEN contains(ua, 'ipad') THEN 'tablet' WHEN is_bot THEN 'bot' ELSE 'desktop' END AS platform_category"
+)
+VERSION = "CASE WHEN regexp_matches(request_uri, '(?i)/v(\\d+(?:\\.\\d+)?)') THEN 'v' || regexp_extract(request_uri, '(?i)/v(\\d+(?:\\.\\d+)?)', 1) ELSE '' END AS api_version"
+TIER = "CASE WHEN is_static THEN 'web' WHEN contains(application, 'gateway') THEN 'api' WHEN contains(service, 'service') THEN 'service' ELSE 'data' END AS service_tier"
+IMPORTANCE = (
+    "CASE WHEN regexp_matches(service, 'gxrz-rest|alipay|payment') THEN 'critical' WHEN regexp_matches(lower(module), 'user|auth|order') THEN 'important' "
+    "WHEN is_static THEN 'optional' ELSE 'normal' END AS api_importance"
+)
+PLATFORM_VERSION = (
+    "CASE platform WHEN 'iOS_SDK' THEN regexp_extract(user_agent, 'zgt-ios/([0-9.]+)', 1) WHEN 'iOS' THEN replace(regexp_extract(user_agent, 'iOS ([0-9_.]+)', 1), '_', '.') "
+    "WHEN 'Android' THEN regexp_extract(user_agent, 'Android ([0-9.]+)', 1) ELSE '' END AS platform_version"
+)
+OS_VERSION = (
+    "CASE WHEN contains(ua, 'android') THEN regexp_extract(ua, 'android\\s+([0-9.]+)', 1) WHEN contains(ua, 'iphone') OR contains(ua, 'ipad') "
+    "THEN replace(regexp_extract(ua, 'os\\s+([0-9_]+)', 1), '_', '.') ELSE '' END AS os_version"
+)
+SDK_VERSION = "regexp_extract(user_agent, '(?i)WST-SDK-(?:iOS|Android)/([0-9.]+)', 1) AS sdk_version"
+APP_VERSION = "regexp_extract(user_agent, '(?i)zgt-(?:ios|android)[/\\s]?([0-9.]+)', 1) AS app_version"
+
+
 def roll(name: str, keys: list[str], cols: list[str], where: str = "", pre: str = ""):
     """Register a rollup whose oracle is one GROUP BY; keys may be ``expr AS name``."""
     names = [k.rsplit(" AS ", 1)[-1] for k in keys]
@@ -35,7 +64,7 @@ def roll(name: str, keys: list[str], cols: list[str], where: str = "", pre: str
 
 @roll(
     "r01_api_performance",
-    ["stat_hour", "tenant", "environment", "platform", "access_type", "entry_point", "channel", "client_type", "uri", "api_category", "module", "business_domain", "operation"],
+    ["stat_hour", "tenant", "environment", "platform", "access_type", "entry_point", "channel", "client_type", "uri", "api_category", "module", "business_domain", "operation", TEAM, CATEGORY, VERSION],
     [
         f"{N} AS requests", f"{OK} AS successes", f"{BAD} AS errors", "count(DISTINCT client_ip) AS clients", "max(duration_ms) AS max_ms",
         *[f"{n_if(f'duration_ms > {v}')} AS {k}" for k, v in FLAGS.items()],
@@ -52,7 +81,7 @@ def _(spark, sf):
 
 @roll(
     "r02_service_level",
-    ["stat_hour", "tenant", "environment", "platform", "access_type", "service", "upstream_addr"],
+    ["stat_hour", "tenant", "environment", "platform", "access_type", "service", "upstream_addr", TEAM, TIER, "split_part(upstream_addr, ':', 1) AS node"],
     [
         f"{N} AS requests", "count(DISTINCT client_ip) AS clients", pct("duration_ms", 0.95, "p95"), pct("duration_ms", 0.99, "p99"), f"{n_if('has_anomaly')} AS anomalies",
         f"{N} / 3600e0 AS qps", f"{r(OK)} AS availability", f"{r(n_if('CAST(status AS INT) < 400'))} AS below_400_rate", "avg(duration_ms) AS avg_ms",
@@ -74,7 +103,7 @@ AGENT = "CASE WHEN is_bot THEN 'bot' WHEN device = '手机' THEN 'mobile' ELSE '
         "stat_hour", "platform", "access_type", "uri", "upstream_addr",
         "CASE WHEN response_ms > 5000 THEN 'database_slow' WHEN connect_ms > 1000 THEN 'connection_slow' WHEN process_ms > 3000 THEN 'processing_slow' ELSE 'network_slow' END AS reason",
         "CASE WHEN response_ms::DOUBLE / duration_ms > 0.8 THEN 'backend_bottleneck' WHEN network_ms::DOUBLE / duration_ms > 0.3 THEN 'network_bottleneck' ELSE 'application_bottleneck' END AS bottleneck",
-        SIZE, AGENT,
+        "'low_concurrency' AS connection_class", SIZE, AGENT,
     ],
     [
         f"{N} AS requests", "count(DISTINCT client_ip) AS clients", f"{n_if('duration_ms > 10000')} AS very_slow", f"{n_if('duration_ms > 30000')} AS timeout", "max(duration_ms) AS max_ms",
@@ -117,7 +146,8 @@ def _(spark, sf):
         "CASE WHEN status IN ('502', '503', '504') THEN 'gateway' WHEN upstream_addr <> '' THEN 'service' ELSE 'application' END AS location",
         "CASE WHEN regexp_matches(request_uri, 'login|auth') THEN 'login' WHEN regexp_matches(request_uri, 'pay|order') THEN 'payment' ELSE 'other' END AS operation_class",
         "CASE WHEN regexp_matches(request_uri, 'login|pay') THEN 'critical' ELSE 'normal' END AS importance",
-        "CASE WHEN is_internal THEN 'internal' ELSE 'external' END AS address", AGENT,
+        "CASE WHEN is_internal THEN 'internal' ELSE 'external' END AS address", AGENT, "journey_stage", "user_type", IMPORTANCE,
+        "CASE left(status, 1) WHEN '4' THEN 'client_error' ELSE 'server_error' END AS http_class",
         "CASE WHEN hour BETWEEN 9 AND 17 THEN 'business_hours' ELSE 'off_hours' END AS time_pattern",
     ],
     [f"{N} AS errors", "count(DISTINCT client_ip) AS clients", "count(DISTINCT session_id) AS sessions"],
@@ -132,8 +162,8 @@ REF = "CASE WHEN regexp_matches(referer_domain, 'google\\.|baidu\\.|bing\\.') TH
 
 @register(
     "r07_request_headers",
-    f""", g AS (SELECT stat_hour, platform, browser, os, device, sdk_type, referer_domain, search_engine, {REF}, count(*) AS requests, count(DISTINCT client_ip) AS clients, avg(duration_ms) AS avg_ms,
-      {r(n_if('is_error'))} AS error_rate, {r(n_if('is_slow'))} AS slow_rate FROM hits GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9)
+    f""", g AS (SELECT stat_hour, platform, browser, os, device, sdk_type, referer_domain, search_engine, {REF}, {PLATFORM_VERSION}, {OS_VERSION}, {SDK_VERSION}, {APP_VERSION}, count(*) AS requests, count(DISTINCT client_ip) AS clients, avg(duration_ms) AS avg_ms,
+      {r(n_if('is_error'))} AS error_rate, {r(n_if('is_slow'))} AS slow_rate FROM hits GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13)
     SELECT *, requests * 1e2 / sum(requests) OVER (PARTITION BY stat_hour, platform)::DOUBLE AS market_share FROM g""",
 )
 def _(spark, sf):
@@ -182,7 +212,7 @@ def _(spark, sf):
 
 @roll(
     "r11_header_performance",
-    ["stat_hour", "browser", "os", "device", "referer_domain", REF],
+    ["stat_hour", "browser", "os", "device", "referer_domain", REF, PLATFORM_VERSION, OS_VERSION],
     [
         f"{N} AS requests", f"{OK} AS successes", f"{BAD} AS errors", f"{n_if('is_slow')} AS slow", f"{n_if("status LIKE '4%'")} AS client_errors", f"{n_if("status LIKE '5%'")} AS server_errors",
         f"{n_if("regexp_matches(user_agent, 'bot|Bot|spider')")} AS bots", f"{n_if("regexp_matches(user_agent, 'mobile|Mobile')")} AS mobile", "max(duration_ms) AS max_ms", P3, "avg(duration_ms) AS avg_ms",

@@ -404,6 +404,29 @@ def _(spark, sf):
     return network.locate(access(spark, sf).select("event_id", "client_ip"), "client_ip", ranges, ["isp", "region"])
 
 
+_V6 = ["2001:db8::/32", "2001:db8:3::/48", "fd00::/8", "fd00:0:0:5::/64"]
+_ADDRESS = "CASE event_id % 4 WHEN 1 THEN '2001:db8:' || (event_id % 7) || '::' || (event_id % 1000) WHEN 2 THEN '::ffff:' || client_ip WHEN 3 THEN 'FD00:0:0:' || (event_id % 9) || ':1:2:3:4' ELSE client_ip END"
+
+
+@register(
+    "j03_networks",
+    _LOCATE
+    + f""", w AS (SELECT event_id, arg_min(isp, (hi - lo) * 1000 + position) AS isp FROM access JOIN nets ON {_IP} BETWEEN lo AND hi GROUP BY event_id)
+    SELECT a.event_id, {_ADDRESS} AS address,
+    CASE event_id % 4 WHEN 1 THEN '{_V6[0]}' WHEN 3 THEN '{_V6[2]}' ELSE m.isp END AS first,
+    CASE WHEN event_id % 4 = 1 AND event_id % 7 = 3 THEN '{_V6[1]}' WHEN event_id % 4 = 1 THEN '{_V6[0]}'
+      WHEN event_id % 4 = 3 AND event_id % 9 = 5 THEN '{_V6[3]}' WHEN event_id % 4 = 3 THEN '{_V6[2]}' ELSE w.isp END AS longest
+    FROM access a LEFT JOIN m USING (event_id) LEFT JOIN w USING (event_id)""",
+)
+def _(spark, sf):
+    """Addresses of both families, and IPv4 written as IPv6, against one list of networks."""
+    listed = [(i, cidr, isp) for i, (cidr, isp, _) in enumerate(K.CARRIER_NETWORKS)] + [(100 + i, cidr, cidr) for i, cidr in enumerate(_V6)]
+    networks = spark.createDataFrame(listed, "position int, cidr string, isp string")
+    rows = access(spark, sf).select("event_id", F.expr(_ADDRESS).alias("address"))
+    first = network.locate_networks(rows, "address", networks, ["isp"]).withColumnRenamed("isp", "first")
+    return network.locate_networks(first, "address", networks, ["isp"], longest=True).withColumnRenamed("isp", "longest")
+
+
 @register(
     "e32_tenant",
     """SELECT event_id, environment, tenant, CASE WHEN contains(application, 'gateway') THEN 'gateway' WHEN is_static THEN 'direct' ELSE 'mesh' END AS pattern FROM hits""",

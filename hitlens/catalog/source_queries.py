@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from hitlens.catalog.base import access, enrich, hits, register, requests_from, scratch, table
-from hitlens.operators import ranking
+from hitlens.operators import measures, ranking
 from hitlens.plans import quality
 from hitlens.schema import coerce
 from hitlens.sources import files, lines, sinks
@@ -125,6 +125,21 @@ def _(spark, sf):
     return lines.file_formats(head)
 
 
+@register("s06_files", "SELECT DISTINCT ['json', 'pairs', 'combined', 'cdn'][event_id % 4 + 1] AS written, ['json', 'pairs', 'combined', 'cdn'][event_id % 4 + 1] AS format, true AS all_files FROM access")
+def _(spark, sf):
+    """Files of all four formats, told apart by their first lines; one row per file, counted per format."""
+    folder = scratch(spark, "formats")
+    rows = access(spark, sf)
+    makers = [("json", lines.as_json), ("pairs", lines.as_pairs), ("combined", lines.as_combined), ("cdn", lines.as_cdn)]
+    for k, (form, make) in enumerate(makers):
+        make(rows.filter(c("event_id") % 4 == k)).select(F.lit(form).alias("written"), "value").write.mode("append").partitionBy("written").text(folder)
+    found = lines.file_formats(files.first_lines(files.read_lines(spark, folder)), every=True)
+    found = found.withColumn("written", F.regexp_extract("source_file", "written=([^/]*)", 1))
+    listed = files.list_files(spark, folder, glob="*.txt").groupBy(F.regexp_extract("file", "written=([^/]*)", 1).alias("of")).agg(F.count(F.lit(1)).alias("files"))
+    counted = found.groupBy("written", "format").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(listed, c("written") == c("of")).select("written", "format", (c("n") == c("files")).alias("all_files"))
+
+
 @register("s08_archive_date", "SELECT event_id, CAST(log_time AS DATE) - 1 AS log_date FROM access")
 def _(spark, sf):
     name = F.concat(F.date_format("log_time", "yyyyMMdd"), F.lit("093000.zip"))
@@ -313,6 +328,22 @@ def _(spark, sf):
     return state.report(state.merge(parts, _KEYS), _KEYS).drop("clients_estimate", "p95_estimate")
 
 
+@register(
+    "x03_days_from_hours",
+    """SELECT CAST(log_time AS DATE) AS day, count(*) AS requests, count(*) FILTER (WHERE is_error) AS errors, max(duration_ms) AS max_ms, avg(duration_ms) AS avg_ms,
+    true AS clients_close, true AS p95_close FROM hits GROUP BY 1""",
+)
+def _(spark, sf):
+    """Day report from the state of hours and platforms, its estimates held against the exact values."""
+    rows = hits(spark, sf)
+    days = state.report(state.coarser(state.partial(rows, _KEYS), {"day": F.to_date("stat_hour")}), ["day"])
+    ms = c("duration_ms")
+    exact = measures.summarise(rows, {"of": F.to_date("log_time")}, quantiles=[(ms, {"lo": 0.93, "hi": 0.97})], distinct={"users": c("client_ip")})
+    both = days.join(exact, c("day") == c("of"))
+    near = F.abs(c("clients_estimate") - c("users")) <= F.greatest(F.lit(2.0), c("users") * 0.06)
+    return both.select("day", "requests", "errors", "max_ms", "avg_ms", near.alias("clients_close"), c("p95_estimate").between(c("lo"), c("hi")).alias("p95_close"))
+
+
 @register("x02_stream_rollup", _STATE_SQL)
 def _(spark, sf):
     schema = table(spark, sf, "events").schema
@@ -357,6 +388,95 @@ def _(spark, sf):
     return jobs.read_rollup(spark, f"{folder}/state", _KEYS, f"{folder}/folded").drop("clients_estimate", "p95_estimate")
 
 
+_LATE = "event_id % 10 = 0 AND log_time < TIMESTAMP '2024-01-21'"
+_BATCH = f"CASE WHEN {_LATE} THEN 1 WHEN log_time < TIMESTAMP '2024-01-21' THEN 0 ELSE 2 END"
+
+
+def _in_three_runs(spark, sf, folder, start):
+    """Rows up to the 20th but a tenth of them, then that tenth, then the rest, each taken up by a run of its own."""
+    rows = table(spark, sf, "events")
+    first = c("ts") < F.lit("2024-01-21").cast("timestamp_ntz")
+    late = first & (c("event_id") % 10 == 0)
+    for part in (first & ~late, late, ~first):
+        rows.filter(part).write.mode("append").parquet(f"{folder}/events")
+        start(spark.readStream.schema(rows.schema).parquet(f"{folder}/events")).awaitTermination()
+
+
+@register(
+    "x08_append_windows",
+    f""", e AS (SELECT *, {_BATCH} AS b, make_timestamp(epoch_us(log_time) // 3600000000 * 3600000000 + 3600000000) AS window_end FROM hits),
+    m AS (SELECT max(log_time) FILTER (WHERE b = 0) - INTERVAL 1 DAY AS w0, max(log_time) - INTERVAL 1 DAY AS w2 FROM e)
+    SELECT window_end, count(*) AS requests, count(*) FILTER (WHERE is_error) * 1e2 / count(*) AS error_rate FROM e, m
+    WHERE NOT (b = 1 AND window_end <= w0) AND window_end <= w2 GROUP BY 1""",
+)
+def _(spark, sf):
+    """Hourly windows in append mode: late rows count while their window is open, and are left out after it."""
+    folder = scratch(spark, "append")
+
+    def start(events):
+        windows = jobs.windowed(enrich(requests_from(events)), "1 hour", late="1 day")
+        stream = windows.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/windows")
+        return stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+
+    _in_three_runs(spark, sf, folder, start)
+    return spark.read.parquet(f"{folder}/windows").select("window_end", "requests", "error_rate")
+
+
+@register(
+    "x08_late_apart",
+    f""", e AS (SELECT *, {_BATCH} AS b FROM hits), m AS (SELECT max(log_time) FILTER (WHERE b = 0) - INTERVAL 1 DAY AS w0 FROM e)
+    SELECT CASE WHEN b = 1 AND log_time < w0 THEN 'late' ELSE 'in_time' END AS kind, CAST(log_time AS DATE) AS day, count(*) AS requests FROM e, m GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    """Rows behind the watermark go to a table of their own, the others to the rollup; none is lost."""
+    folder = scratch(spark, "apart")
+
+    def start(events):
+        return jobs.start_event_time(enrich(requests_from(events)), _KEYS, folder, f"{folder}/checkpoint", late_seconds=86400)
+
+    _in_three_runs(spark, sf, folder, start)
+    rolled = jobs.read_rollup(spark, f"{folder}/state", _KEYS).groupBy(F.to_date("stat_hour").alias("day")).agg(F.sum("requests").alias("requests"))
+    late = spark.read.parquet(f"{folder}/late").groupBy(F.to_date("log_time").alias("day")).agg(F.count(F.lit(1)).alias("requests"))
+    return ranking.stack_up([rolled.withColumn("kind", F.lit("in_time")), late.withColumn("kind", F.lit("late"))]).select("kind", "day", "requests")
+
+
+@register("x04_stream_unique", "SELECT status, count(*) AS requests, CAST(sum(event_id) AS BIGINT) AS ids FROM access GROUP BY 1")
+def _(spark, sf):
+    """Every third row comes a second time in a later run; each counts once."""
+    folder = scratch(spark, "unique")
+    rows = table(spark, sf, "events")
+    for part in (rows, rows.filter(c("event_id") % 3 == 0)):
+        part.write.mode("append").parquet(f"{folder}/events")
+        events = requests_from(spark.readStream.schema(rows.schema).parquet(f"{folder}/events"))
+        stream = jobs.unique(events, ["event_id"], "60 days").select("event_id", "status").writeStream.format("parquet").option("path", f"{folder}/rows")
+        stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(f"{folder}/rows")
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("requests"), F.sum("event_id").alias("ids"))
+
+
+def _forget_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Take back the commit of a stopped job's last batch, as if it had crashed before: the next run does it again."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = log.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in fs.listStatus(log) if f.getPath().getName().isdigit()]
+    fs.delete(max(done, key=lambda p: int(p.getName())), False)
+
+
+@register("x09_replayed_batch", _STATE_SQL)
+def _(spark, sf):
+    """The last batch of a job runs again after a crash that lost its commit; the report stays the same."""
+    folder = scratch(spark, "replayed")
+    rows = table(spark, sf, "events")
+    for half in (0, 1):
+        rows.filter(c("event_id") % 2 == half).write.mode("append").parquet(f"{folder}/events")
+        events = spark.readStream.schema(rows.schema).parquet(f"{folder}/events")
+        start = enrich(requests_from(events))
+        jobs.start_rollup(start, _KEYS, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    _forget_commit(spark, f"{folder}/checkpoint")
+    jobs.start_rollup(start, _KEYS, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    return jobs.read_rollup(spark, f"{folder}/state", _KEYS).drop("clients_estimate", "p95_estimate")
+
+
 @register("x04_latest_version", "SELECT client_ip, arg_max(event_id, (log_time, event_id)) AS event_id, arg_max(status, (log_time, event_id)) AS status, max(log_time) AS log_time FROM access GROUP BY 1")
 def _(spark, sf):
     df = access(spark, sf).select("client_ip", "event_id", "status", "log_time", F.struct("log_time", "event_id").alias("version"))
@@ -389,6 +509,41 @@ def _(spark, sf):
     return jobs.alerts(jobs.windowed(hits(spark, sf), "1 hour"), error_rate=20, mean_ms=5000)
 
 
+_EPISODES = f""", w AS (SELECT platform, make_timestamp(epoch_us(log_time) // 3600000000 * 3600000000) AS window_start, make_timestamp(epoch_us(log_time) // 3600000000 * 3600000000 + 3600000000) AS window_end, {_WIN} FROM hits GROUP BY 1, 2, 3),
+    a AS (SELECT platform, window_start, window_end, 'error_rate' AS alert, error_rate AS v FROM w WHERE error_rate > 20 UNION ALL SELECT platform, window_start, window_end, 'response_time', avg_ms FROM w WHERE avg_ms > 5000),
+    g AS (SELECT *, window_start > lag(window_end) OVER (PARTITION BY platform, alert ORDER BY window_start) + INTERVAL 1 HOUR AS apart FROM a WHERE {{}}),
+    i AS (SELECT *, sum(CASE WHEN coalesce(apart, true) THEN 1 ELSE 0 END) OVER (PARTITION BY platform, alert ORDER BY window_start) AS k FROM g),
+    ep AS (SELECT platform, alert, min(window_start) AS raised, max(window_end) AS until, count(*) AS windows, max(v) AS worst FROM i GROUP BY platform, alert, k)"""
+
+
+@register("x10_episodes", _EPISODES.format("true") + " SELECT * FROM ep")
+def _(spark, sf):
+    parts = jobs.pieces(jobs.windowed(hits(spark, sf), "1 hour", by=["platform"]), ["platform"], error_rate=20, mean_ms=5000)
+    return jobs.joined_up(parts, ["platform"], hold_seconds=3600)
+
+
+@register(
+    "x10_stream_episodes",
+    """, t AS (SELECT max(log_time) - INTERVAL 2 HOUR AS w FROM access)"""
+    + _EPISODES.format("window_end <= (SELECT w FROM t)")
+    + """, k AS (SELECT max(window_end) AS clock FROM w WHERE window_end <= (SELECT w FROM t))
+    SELECT ep.*, CASE WHEN until + INTERVAL 2 HOUR <= clock THEN 'cleared' ELSE 'open' END AS state FROM ep, k""",
+)
+def _(spark, sf):
+    """The same episodes from a stream of closed windows, in two runs: one row when an alert is cleared, the rest still open."""
+    folder = scratch(spark, "episodes")
+    rows = table(spark, sf, "events")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (c("ts") < cut, c("ts") >= cut):
+        rows.filter(part).write.mode("append").parquet(f"{folder}/events")
+        events = enrich(requests_from(spark.readStream.schema(rows.schema).parquet(f"{folder}/events")))
+        windows = jobs.windowed(events, "1 hour", late="2 hours", by=["platform"])
+        jobs.start_episodes(
+            windows, ["platform"], folder, f"{folder}/checkpoint", width_seconds=3600, hold_seconds=3600, error_rate=20, mean_ms=5000
+        ).awaitTermination()
+    return jobs.read_episodes(spark, folder)
+
+
 # ---------------------------------------------------------------- table quality
 
 

@@ -67,6 +67,27 @@ def platform_version(agent: Column, platform_: Column) -> Column:
     return F.when(found != "", found)
 
 
+def os_version(agent: Column) -> Column:
+    """Version of the mobile system as the agent states it, empty if none."""
+    android = F.regexp_extract(agent, r"(?i)android\s+([0-9.]+)", 1)
+    ios = F.translate(F.regexp_extract(agent, r"(?i)os\s+([0-9_]+)", 1), "_", ".")
+    low = F.lower(agent)
+    return F.when(low.contains("android"), android).when(low.contains("iphone") | low.contains("ipad"), ios).otherwise(F.lit(""))
+
+
+def platform_category(agent: Column) -> Column:
+    """miniprogram, mobile, tablet, bot or desktop."""
+    low = F.lower(agent)
+    mini = low.contains("alipayclient") & low.rlike("miniprogram|ariver") | low.contains("micromessenger") & low.contains("miniprogram")
+    return (
+        F.when(mini, F.lit("miniprogram"))
+        .when(low.contains("android") | low.contains("iphone"), F.lit("mobile"))
+        .when(low.contains("ipad"), F.lit("tablet"))
+        .when(is_bot(low, lowered=True), F.lit("bot"))
+        .otherwise(F.lit("desktop"))
+    )
+
+
 def sdk_type(agent: Column) -> Column:
     """Official SDK or government app behind the request, empty if none."""
     sdk = F.upper(F.regexp_extract(agent, r"(?i)WST-SDK-(iOS|Android)", 1))

@@ -134,3 +134,8 @@ def tenant(server: Column | str, *, lowered: bool = False) -> Column:
 def entry_point(server: Column | str, *, lowered: bool = False) -> Column:
     return first_match(lowered_text(server, lowered), K.ENTRY_POINT, "direct")
 
+
+def team(server: Column, domain_: Column) -> Column:
+    """Team behind a government site, ``default`` for others."""
+    government = server.contains(".gov.cn") | domain_.contains("government")
+    return F.when(F.coalesce(government, F.lit(False)), first_match(server, K.TEAM, "central_gov")).otherwise(F.lit("default"))

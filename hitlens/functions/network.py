@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlens import lookups as K
-from hitlens.rules import first_match, starts_with_any
+from hitlens.rules import first_match, settled, starts_with_any
 
 _IPV4 = r"^(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}$"
 
@@ -152,6 +152,98 @@ def locate(df: DataFrame, ip: str, ranges: DataFrame, attributes: Sequence[str],
     return df.join(found, df[ip] == found["_ip"], "left").select(*[df[c] for c in df.columns], *picked)
 
 
+def with_address_key(df: DataFrame, ip: str, name: str) -> DataFrame:
+    """Add ``family, hi, lo`` of an address, NULL if it is none; an IPv4 address written as IPv6 counts as IPv4.
+
+    ``::`` and an IPv4 tail are written out first. Every step is a projection of its own: as one expression the
+    text would be taken apart again for each use.
+    """
+    col, keep = F.col, df.columns
+    none = F.array().cast("array<string>")
+
+    def groups(index: int) -> Column:
+        part = F.coalesce(F.get("_sides", F.lit(index)), F.lit(""))
+        return F.when(part == "", none).otherwise(F.split(part, ":"))
+
+    def key(family: int, high: Column, low: Column) -> Column:
+        return F.struct(F.lit(family).alias("family"), high.cast("long").alias("hi"), low.cast("long").alias("lo"))
+
+    out = settled(df, {"_n": ipv4_long(col(ip)), "_text": F.lower(F.substring_index(col(ip), "%", 1))}, keep)
+    out = settled(out, {"_tail": F.regexp_extract("_text", r":(\d+(?:\.\d+){3})$", 1)}, [*keep, "_n", "_text"])
+    out = settled(out, {"_low": ipv4_long(col("_tail"))}, [*keep, "_n", "_text", "_tail"])
+    head = F.substring(col("_text"), F.lit(1), F.char_length("_text") - F.char_length("_tail"))
+    pair = F.lower(F.concat_ws(":", F.hex(F.floor(col("_low") / 65536)), F.hex(col("_low") % 65536)))
+    text = F.when(col("_tail") == "", col("_text")).when(col("_low").isNotNull(), F.concat(head, pair))
+    out = settled(out, {"_sides": F.split(text, "::")}, [*keep, "_n"])
+    out = settled(out, {"_left": groups(0), "_right": groups(1)}, [*keep, "_n", "_sides"])
+    missing = F.lit(8) - F.size("_left") - F.size("_right")
+    filled = F.concat(col("_left"), F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), col("_right"))
+    whole = F.when(F.size("_sides") == 1, col("_left")).when((F.size("_sides") == 2) & (missing >= 1), filled)
+    out = settled(out, {"_groups": whole}, [*keep, "_n"])
+    valid = (F.size("_groups") == 8) & F.forall("_groups", lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    digits = F.when(valid, F.array_join(F.transform("_groups", lambda g: F.lpad(g, 4, "0")), ""))
+    out = settled(out, {"_digits": digits}, [*keep, "_n"])
+    halves = {name_: F.conv(F.substring("_digits", at, 16), 16, -10).cast("long") for name_, at in (("_hi", 1), ("_lo", 17))}
+    out = settled(out, halves, [*keep, "_n"])
+    mapped = (col("_hi") == 0) & (F.shiftrightunsigned("_lo", 32) == 0xFFFF)
+    found = (
+        F.when(col("_n").isNotNull(), key(4, F.lit(0), col("_n")))
+        .when(mapped, key(4, F.lit(0), col("_lo").bitwiseAND(F.lit(0xFFFFFFFF))))
+        .when(col("_hi").isNotNull(), key(6, col("_hi"), col("_lo")))
+    )
+    return settled(out, {name: found}, keep)
+
+
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
+def _prefix_mask(family: int, length: int) -> tuple[int, int]:
+    """The two halves of a network's leading bits."""
+    mask = ((1 << 32) - 1) ^ ((1 << (32 - length)) - 1) if family == 4 else ((1 << 128) - 1) ^ ((1 << (128 - length)) - 1)
+    return _signed(mask >> 64), _signed(mask & ((1 << 64) - 1))
+
+
+def locate_networks(
+    df: DataFrame, ip: str, networks: DataFrame, attributes: Sequence[str], *, longest: bool = False
+) -> DataFrame:
+    """Left-join networks ``(position, cidr, *attributes)`` of IPv4 and IPv6; lowest position or longest prefix wins.
+
+    An address is cut to each prefix length that the list has (162 at most) and meets the networks of that
+    length by equality, so there is no range test, and wide networks need no blocks. Only distinct addresses
+    take part. Networks that cannot be read match nothing.
+    """
+    width = F.when(F.col("_k.family") == 4, 32).otherwise(128)
+    nets = with_address_key(networks.withColumn("_base", F.substring_index("cidr", "/", 1)), "_base", "_k")
+    given = F.when(F.col("cidr").contains("/"), F.substring_index("cidr", "/", -1).try_cast("int")).otherwise(width)
+    nets = nets.withColumn("_length", given).filter((F.col("_length") >= 0) & (F.col("_length") <= width))
+    lengths = nets.select("_k.family", "_length").distinct().collect()  # at most 33 + 129
+    fields = F.struct(*attributes)
+    if not lengths:
+        return df.select(*[df[c] for c in df.columns], *[F.lit(None).cast(networks.schema[a].dataType).alias(a) for a in attributes])
+
+    def literal(family: int, length: int) -> Column:
+        high, low = _prefix_mask(family, length)
+        values = {"family": F.lit(family), "length": F.lit(length), "hi": F.lit(high).cast("long"), "lo": F.lit(low).cast("long")}
+        return F.struct(*[v.alias(n) for n, v in values.items()])
+
+    masks = F.array(*[literal(r.family, r["_length"]) for r in lengths])
+
+    def cut(key: Column, mask: Column) -> Column:
+        high, low = key["hi"].bitwiseAND(mask["hi"]), key["lo"].bitwiseAND(mask["lo"])
+        return F.struct(mask["family"].alias("family"), mask["length"].alias("length"), high.alias("hi"), low.alias("lo"))
+
+    mine = F.filter(masks, lambda m: (m["family"] == F.col("_k.family")) & (m["length"] == F.col("_length")))
+    nets = nets.select("position", "_length", fields.alias("_hit"), cut(F.col("_k"), F.get(mine, F.lit(0))).alias("_net"))
+    addresses = with_address_key(df.select(F.col(ip).alias("_ip")).distinct(), "_ip", "_k").filter("_k is not null")
+    wanted = F.transform(F.filter(masks, lambda m: m["family"] == F.col("_k.family")), lambda m: cut(F.col("_k"), m))
+    order = F.struct(-F.col("_length"), F.col("position")) if longest else F.col("position")
+    tries = addresses.select("_ip", F.explode(wanted).alias("_cut"))
+    found = tries.join(nets, F.col("_cut") == F.col("_net")).groupBy("_ip").agg(F.min_by("_hit", order).alias("_hit"))
+    picked = [F.col("_hit")[a].alias(a) for a in attributes]
+    return df.join(found, df[ip] == found["_ip"], "left").select(*[df[c] for c in df.columns], *picked)
+
+
 def risk_label(bot: Column, connections: Column, error: Column, internal: Column) -> Column:
     """Bot 30, more than 100 requests per connection 40, error 20, internal -20."""
     score = (

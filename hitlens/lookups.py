@@ -284,6 +284,10 @@ CARRIER_NETWORKS = [
     ("59.255.0.0/16", "Government Network", "政务专网"),
 ]
 ENVIRONMENT = [("dev", r"dev|develop"), ("test", r"test|qa"), ("staging", r"staging|stage")]
+TEAM = [
+    ("guangxi_gov", r"gx|guangxi"),
+    ("zhejiang_gov", r"zj|zhejiang"),
+]
 TENANT = [
     ("beijing_gov", r"beijing"),
     ("shanghai_gov", r"shanghai"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitlens.operators.measures import summarise
+from hitlens.operators.ordered import pinned, spans
 from hitlens.operators.sequence import prefix_sums
 
 CHUNK = 4096
@@ -81,8 +82,9 @@ def occupancy(df: DataFrame, arrive: str, leave: str, bucket_seconds: int) -> Da
 def concurrency(df: DataFrame, arrive: str, leave: str, grain: str = "minute") -> DataFrame:
     """Exact concurrency after every event, summarised per bucket: mean, max, min, sample deviation.
 
-    The +1/-1 events are windowed inside each bucket and lifted by the running level at its start,
-    so no task sorts all events. Arrivals sort before completions at equal times.
+    The +1/-1 events are windowed inside each second and lifted by the running level at its start, a prefix sum over
+    the seconds that have events. So a hot minute spreads over its seconds, and no task sorts all events. Arrivals
+    sort before completions at equal times.
     """
     events = df.select(
         F.explode(
@@ -91,17 +93,18 @@ def concurrency(df: DataFrame, arrive: str, leave: str, grain: str = "minute") -
                 F.struct(F.col(leave).alias("at"), F.lit(-1).alias("step")),
             )
         ).alias("e")
-    ).select("e.at", "e.step", F.date_trunc(grain, "e.at").alias("bucket"))
+    ).select("e.at", "e.step", F.date_trunc("second", "e.at").alias("second"))
     # equal (time, step) events collapse first: the level steps through each unit of the block
-    blocks = events.groupBy("bucket", "at", "step").agg(F.count(F.lit(1)).alias("n"))
-    net = blocks.groupBy("bucket").agg(F.sum(F.col("step") * F.col("n")).alias("net"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = net.select("bucket", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("bucket").orderBy("at", F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = pinned(events.groupBy("second", "at", "step").agg(F.count(F.lit(1)).alias("n")))
+    net = blocks.groupBy("second").agg(F.sum(F.col("step") * F.col("n")).alias("net"))
+    base = prefix_sums(net, "second", ["net"], spans(F.col("second")))
+    base = base.select(F.col("second").alias("of"), (F.col("upto_net") - F.col("net")).alias("base"))
+    inner = Window.partitionBy("second").orderBy("at", F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
     levels = (
         blocks.withColumn("prior", F.coalesce(F.sum(F.col("step") * F.col("n")).over(inner), F.lit(0)))
-        .join(base, "bucket")
+        .join(base, F.col("second") == F.col("of"))
         .withColumn("l0", F.col("base") + F.col("prior"))
+        .withColumn("bucket", F.date_trunc(grain, "second"))
     )
     n, step, l0 = F.col("n"), F.col("step"), F.col("l0")
     # levels l0+step .. l0+n*step: closed forms for the sum and the sum of squares

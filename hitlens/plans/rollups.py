@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitlens.functions import agent, business, status, uri
 from hitlens.operators.measures import apdex, deviation, flag, rate, summarise
 from hitlens.operators.ordered import framed, spans
 from hitlens.operators.ranking import share_in_group, with_totals
@@ -69,9 +70,14 @@ def api_performance(df: DataFrame, limits: Thresholds = DEFAULTS, *, exact: bool
         HOUR, "tenant", "environment", "platform", "access_type", "entry_point", "channel", "client_type", "uri",
         "api_category", "module", "business_domain", "operation",
     ]
+    derived = {
+        "team": business.team(c("server_name"), c("business_domain")),
+        "platform_category": agent.platform_category(c("user_agent")),
+        "api_version": uri.api_version(c("request_uri")),
+    }
     out = summarise(
         df,
-        keys,
+        {**{k: c(k) for k in keys}, **derived},
         sums={
             **_counts(),
             **_flags(),
@@ -104,9 +110,15 @@ def api_performance(df: DataFrame, limits: Thresholds = DEFAULTS, *, exact: bool
 
 
 def service_level(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+    keys = {
+        **{k: c(k) for k in (HOUR, "tenant", "environment", "platform", "access_type", "service", "upstream_addr")},
+        "team": business.team(c("server_name"), c("business_domain")),
+        "service_tier": business.service_tier(c("application"), c("service"), c("is_static")),
+        "node": F.substring_index("upstream_addr", ":", 1),
+    }
     out = summarise(
         df,
-        [HOUR, "tenant", "environment", "platform", "access_type", "service", "upstream_addr"],
+        keys,
         sums={
             **_counts(),
             "below_400": flag(c("status").try_cast("int") < 400),
@@ -119,8 +131,7 @@ def service_level(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         distinct={"clients": c("client_ip")},
     )
     return out.select(
-        HOUR, "tenant", "environment", "platform", "access_type", "service", "upstream_addr",
-        "requests", "clients", "p95", "p99", "anomalies",
+        *keys, "requests", "clients", "p95", "p99", "anomalies",
         (c("requests") / F.lit(3600.0)).alias("qps"),
         _share("successes").alias("availability"),
         _share("below_400").alias("below_400_rate"),
@@ -143,6 +154,12 @@ def agent_class() -> Column:
     )
 
 
+def connection_class(df: DataFrame) -> Column:
+    """By the requests that came over the connection; a log without that number counts as one request each."""
+    n = c("connection_requests") if "connection_requests" in df.columns else F.lit(1)
+    return descend(n, [(100, "high_concurrency"), (10, "medium_concurrency")], "low_concurrency")
+
+
 def slow_requests(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     reason = (
         F.when(c("response_ms") > 5000, F.lit("database_slow"))
@@ -159,6 +176,7 @@ def slow_requests(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         **{k: c(k) for k in (HOUR, "platform", "access_type", "uri", "upstream_addr")},
         "reason": reason,
         "bottleneck": bottleneck,
+        "connection_class": connection_class(df),
         "size_class": size_class(),
         "agent_class": agent_class(),
     }
@@ -260,6 +278,10 @@ def error_drilldown(df: DataFrame) -> DataFrame:
         "importance": F.when(c("request_uri").rlike("login|pay"), F.lit("critical")).otherwise(F.lit("normal")),
         "address": F.when(c("is_internal"), F.lit("internal")).otherwise(F.lit("external")),
         "agent_class": agent_class(),
+        "http_class": status.http_class(c("status")),
+        "journey_stage": c("journey_stage"),
+        "user_type": c("user_type"),
+        "api_importance": business.importance(c("service"), c("module"), c("is_static")),
         "time_pattern": F.when(c("hour").between(9, 17), F.lit("business_hours")).otherwise(F.lit("off_hours")),
     }
     return summarise(
@@ -278,11 +300,20 @@ def referer_type() -> Column:
     )
 
 
+def versions() -> dict[str, Column]:
+    """Versions of platform and system, as far as the agent states them."""
+    name = c("user_agent")
+    return {"platform_version": F.coalesce(agent.platform_version(name, c("platform")), F.lit("")), "os_version": agent.os_version(name)}
+
+
 def request_headers(df: DataFrame) -> DataFrame:
     """Client software and referer mix with market share inside hour and platform."""
     keys = {
         **{k: c(k) for k in (HOUR, "platform", "browser", "os", "device", "sdk_type", "referer_domain", "search_engine")},
         "referer_type": referer_type(),
+        **versions(),
+        "sdk_version": agent.sdk_version(c("user_agent")),
+        "app_version": agent.app_version(c("user_agent")),
     }
     out = summarise(
         df,
@@ -392,10 +423,10 @@ def service_stability(df: DataFrame) -> DataFrame:
 
 
 def header_performance(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    keys = {**{k: c(k) for k in (HOUR, "browser", "os", "device", "referer_domain")}, "referer_type": referer_type()}
-    agent = c("user_agent")
+    keys = {**{k: c(k) for k in (HOUR, "browser", "os", "device", "referer_domain")}, "referer_type": referer_type(), **versions()}
+    name = c("user_agent")
     out = summarise(
-        df.filter((agent != "") & agent.isNotNull()),
+        df.filter((name != "") & name.isNotNull()),
         keys,
         sums={
             **_counts(),
@@ -403,8 +434,8 @@ def header_performance(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFram
             "slow": flag(_ms() > 3000),
             "client_errors": flag(c("status").startswith("4")),
             "server_errors": flag(c("status").startswith("5")),
-            "bots": flag(agent.rlike("bot|Bot|spider")),
-            "mobile": flag(agent.rlike("mobile|Mobile")),
+            "bots": flag(name.rlike("bot|Bot|spider")),
+            "mobile": flag(name.rlike("mobile|Mobile")),
         },
         maxs={"max_ms": _ms()},
         quantiles=[(_ms(), P50_99)],

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitlens.functions.timing import lifecycle
 from hitlens.operators.measures import describe, flag, rate, summarise
-from hitlens.operators.ranking import label_order, top
+from hitlens.operators.ranking import label_order, top, with_totals
 from hitlens.rules import descend, lookup
 from hitlens.schema import DEFAULTS, Thresholds
 
@@ -85,14 +86,30 @@ def api_summary(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
             (F.when(slow, c("process_ms")), {"process_p50": 0.5, "process_p95": 0.95}),
         ],
     ).filter("slow > 0")
-    total = df.agg(F.count_if(slow)).scalar()
-    return out.withColumns(
+    return with_totals(out, [], {"all_slow": "slow"}).withColumns(
         {
             "avg_ms": c("ms") / c("slow"),
             "share_in_api": rate(c("slow"), c("requests")),
-            "share_of_slow": rate(c("slow"), total),
+            "share_of_slow": rate(c("slow"), c("all_slow")),
         }
-    ).drop("ms")
+    ).drop("ms", "all_slow")
+
+
+STATISTICS = ["duration_ms", "response_ms", "header_ms", "connect_ms", "process_ms", "backend_transfer_ms", "front_ms", "network_ms", "transfer_ms"]
+WIDE_STATISTICS = ["body_bytes", "sent_bytes", "backend_efficiency", "network_overhead", "transfer_ratio", "connection_cost"]
+
+
+def api_statistics(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+    """Slow count and shares per API, and mean, median, min, max, p90, p95, p99 of every time, size and ratio over its slow requests."""
+    c = F.col
+    slow = c("duration_ms") > limits.slow_ms
+    m = lifecycle(*[c(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")], rounded=False)
+    measured = {n: m.get(n, c(n)) for n in (*STATISTICS, *WIDE_STATISTICS)}
+    rows = df.select("uri", slow.alias("is_slow"), *[F.when(slow, v).alias(n) for n, v in measured.items()])
+    out = describe(rows, ["uri"], list(measured), {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}, sums={"slow": flag(c("is_slow"))}, unbounded=WIDE_STATISTICS)
+    out = with_totals(out.filter("slow > 0"), [], {"all_slow": "slow"})
+    shares = {"share_in_api": rate(c("slow"), c("requests")), "share_of_slow": rate(c("slow"), c("all_slow"))}
+    return out.withColumns(shares).drop("all_slow")
 
 
 def distribution(diagnosed: DataFrame) -> DataFrame:

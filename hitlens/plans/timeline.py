@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlens.operators.measures import flag, rate, summarise
+from hitlens.functions import clock, timing
+from hitlens.operators import occupancy
+from hitlens.operators.measures import flag, mean, rate, summarise
 from hitlens.operators.ordered import framed, lagged, numbered, spans
 from hitlens.rules import descend
 from hitlens.schema import DEFAULTS, Thresholds
@@ -54,6 +58,53 @@ def buckets(
     )
 
 
+TIMES = ["duration_ms", "response_ms", "header_ms", "connect_ms", "process_ms", "backend_transfer_ms", "front_ms", "network_ms", "transfer_ms"]
+# the same times under their names as phases
+PHASES = {"connect_phase": "connect_ms", "backend_total": "response_ms", "processing": "process_ms"}
+RATIOS = ["backend_efficiency", "network_overhead", "transfer_ratio", "connection_cost"]
+SIZES = ["body_kb", "sent_kb"]
+SPEEDS = ["response_speed", "total_speed", "front_speed"]
+TAILS = ("duration_ms", "response_ms", "header_ms")
+
+
+def full_report(df: DataFrame, grain: str, limits: Thresholds = DEFAULTS) -> DataFrame:
+    """Everything about a bucket: totals, error rates per class, medians of all times, phases, ratios, sizes and speeds,
+    p95 and p99 of the three leading times, and the requests in flight (new, concurrent, active)."""
+    c = F.col
+    m = timing.lifecycle(*[c(n) for n in ("duration_ms", "connect_ms", "header_ms", "response_ms", "body_bytes", "sent_bytes")], rounded=False)
+    wide = [*RATIOS, *SIZES, *SPEEDS]
+    rows = df.select("log_time", "status", "is_success", "client_ip", *TIMES, *[m[n].alias(n) for n in wide])
+    out = summarise(
+        rows,
+        {"bucket": F.date_trunc(grain, "log_time")},
+        sums={
+            "requests": F.lit(1),
+            "successes": flag(c("is_success")),
+            "slow": flag(c("duration_ms") > limits.slow_ms),
+            "client_errors": flag(c("status").startswith("4")),
+            "server_errors": flag(c("status").startswith("5")),
+        },
+        quantiles=[(c(t), {f"{t}_p50": 0.5} | ({f"{t}_p95": 0.95, f"{t}_p99": 0.99} if t in TAILS else {})) for t in TIMES],
+        unbounded=[(c(n), {f"{n}_p50": 0.5}) for n in wide],
+        distinct={"clients": c("client_ip")},
+    )
+    n = c("requests")
+    out = out.withColumns(
+        {
+            **{f"{name}_p50": c(f"{of}_p50") for name, of in PHASES.items()},
+            "success_rate": rate(c("successes"), n),
+            "slow_rate": rate(c("slow"), n),
+            "client_error_rate": rate(c("client_errors"), n),
+            "server_error_rate": rate(c("server_errors"), n),
+            "error_rate": rate(c("client_errors") + c("server_errors"), n),
+            "qps": c("successes") / F.lit(float(SECONDS[grain])),
+        }
+    )
+    flights = df.select("log_time", clock.arrival(c("log_time"), c("duration_ms")).alias("_arrived"))
+    flying = occupancy.occupancy(flights, "_arrived", "log_time", SECONDS[grain]).withColumnRenamed("bucket", "_at")
+    return out.join(flying, c("bucket") == c("_at"), "left").drop("_at")
+
+
 def change(now: Column, before: Column) -> Column:
     """Percent change, 0 for the first bucket or when the previous value is not positive."""
     return F.when(before > 0, (now - before) / before * 100).otherwise(F.lit(0.0))
@@ -88,8 +139,8 @@ def anomaly(report: DataFrame) -> DataFrame:
     )
 
 
-def efficiency(scored: DataFrame) -> DataFrame:
-    """Efficiency index from throughput, response, reliability, stability and health scores."""
+def efficiency(scored: DataFrame, *, scores: bool = False) -> DataFrame:
+    """Efficiency index from throughput, response, reliability, stability and health scores, which ``scores`` keeps."""
     peaks = scored.agg(F.struct(*[F.max(m).alias(m) for m in ("qps", "p50", "error_rate", "slow_rate")])).scalar()
     rows = scored.withColumn("_p", peaks)
     p = {m: F.when(F.col("_p")[m] > 0, F.col("_p")[m]).otherwise(F.lit(1.0)) for m in ("qps", "p50", "error_rate", "slow_rate")}
@@ -103,14 +154,16 @@ def efficiency(scored: DataFrame) -> DataFrame:
     throughput = F.col("qps") / p["qps"] * 100
     response = F.greatest(zero, F.lit(100.0) - F.col("p50") / p["p50"] * 100)
     health = F.greatest(zero, F.lit(100.0) - F.col("anomaly_score"))
-    index = (
-        throughput * 0.25
-        + response * 0.25
-        + relative("error_rate", 10.0) * 0.20
-        + relative("slow_rate", 5.0) * 0.15
-        + health * 0.15
-    )
-    out = rows.withColumn("efficiency_index", F.round(index, 4)).drop("_p")
+    parts = {
+        "throughput_score": (throughput, 0.25),
+        "response_score": (response, 0.25),
+        "reliability_score": (relative("error_rate", 10.0), 0.20),
+        "stability_score": (relative("slow_rate", 5.0), 0.15),
+        "health_score": (health, 0.15),
+    }
+    index = reduce(lambda a, b: a + b, [score * weight for score, weight in parts.values()])
+    kept = {name: F.round(score, 4) for name, (score, _) in parts.items()} if scores else {}
+    out = rows.withColumns({"efficiency_index": F.round(index, 4), **kept}).drop("_p")
     steps = [(90, "优秀"), (80, "良好"), (70, "一般"), (60, "较差")]
     return out.withColumn("efficiency_level", descend(F.col("efficiency_index"), steps, "很差", strict=False))
 
@@ -182,3 +235,31 @@ def peaks(report: DataFrame, metrics: list[str], k: int = 3) -> DataFrame:
         F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("m"),
     ).select("bucket", "m.metric", "m.value")
     return top_per_group(long, ["metric"], [F.desc("value"), F.asc("bucket")], k)
+
+
+def hourly(df: DataFrame) -> DataFrame:
+    """Mean latency and share of server errors per hour."""
+    out = summarise(
+        df,
+        {"bucket": F.date_trunc("hour", "log_time")},
+        sums={"requests": F.lit(1), "ms": F.col("duration_ms"), "server_errors": flag(F.col("status").startswith("5"))},
+    )
+    share = rate(F.col("server_errors"), F.col("requests"))
+    return out.select("bucket", "requests", mean(F.col("ms"), F.col("requests")).alias("avg_ms"), share.alias("server_error_rate"))
+
+
+def peak_summary(hours: DataFrame, flights: DataFrame, k: int = 3, *, least_errors: float = 1.0) -> DataFrame:
+    """The worst buckets of the period: by mean latency, by share of server errors (above ``least_errors`` percent) and by concurrency.
+
+    ``hours`` comes from :func:`hourly`, ``flights`` from :func:`hitlens.operators.occupancy.concurrency`.
+    """
+    from hitlens.operators.ranking import top_per_group
+
+    def entry(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("peak"), value.cast("double").alias("value"))
+
+    errors = F.when(F.col("server_error_rate") > least_errors, F.col("server_error_rate"))
+    both = F.array(entry("latency", F.col("avg_ms")), entry("server_errors", errors))
+    long = hours.select("bucket", F.inline(both)).filter("value is not null")
+    long = long.unionByName(flights.select("bucket", F.inline(F.array(entry("concurrency", F.col("max_concurrent"))))))
+    return top_per_group(long, ["peak"], [F.desc("value"), F.asc("bucket")], k)

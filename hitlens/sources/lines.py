@@ -302,17 +302,23 @@ def pairs_map(line: Column) -> Column:
     return F.map_from_entries(last)
 
 
-def line_format(line: Column) -> Column:
-    """``json``, ``pairs`` or NULL."""
-    return F.when(F.get_json_object(line, "$").isNotNull(), F.lit("json")).when(
+def line_format(line: Column, *, every: bool = False) -> Column:
+    """``json``, ``pairs`` or NULL; with ``every`` also ``combined`` and ``cdn``."""
+    out = F.when(F.get_json_object(line, "$").isNotNull(), F.lit("json")).when(
         line.contains("http_host:") & line.contains("remote_addr:"), F.lit("pairs")
     )
+    if every:
+        out = out.when(line.rlike(COMBINED), F.lit("combined")).when(F.trim(line).rlike(CDN), F.lit("cdn"))
+    return out
 
 
-def file_formats(df: DataFrame, file: str = "source_file", position: str = "line_no", *, look: int = 5) -> DataFrame:
+def file_formats(
+    df: DataFrame, file: str = "source_file", position: str = "line_no", *, look: int = 5, every: bool = False
+) -> DataFrame:
     """Format per file from its first five lines; JSON when none of them tells."""
     head = df.filter(F.col(position) <= look)
-    first = F.min_by(line_format(_v()), F.when(line_format(_v()).isNotNull(), F.col(position)))
+    form = line_format(_v(), every=every)
+    first = F.min_by(form, F.when(form.isNotNull(), F.col(position)))
     return head.groupBy(file).agg(F.coalesce(first, F.lit("json")).alias("format"))
 
 

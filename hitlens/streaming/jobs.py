@@ -1,7 +1,9 @@
-"""Streaming jobs: file watch, insert-time rollups, windowed alerts.
+"""Streaming jobs: file watch, insert-time rollups, event time with a bound on lateness, alert episodes.
 
-Late rows only add another partial state row to their hour, so nothing is dropped. The windowed
-alert stream is the one place with a watermark, whose bound is a parameter.
+In the rollups late rows only add another partial state row to their hour, so nothing is dropped.
+``windowed`` and ``unique`` on a stream use a watermark, whose bound is a parameter; ``start_event_time``
+puts rows behind its bound into a table of their own. All state that a job keeps itself is one folder for each
+micro-batch, which a replayed batch overwrites.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,6 +54,52 @@ def start_rollup(
     return writer.start()
 
 
+def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What the batches before this one have written to a folder."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.filter(c("batch_id") < batch_id)
+
+
+def _latest_time(spark: SparkSession, path: str, batch_id: int):
+    """Latest event time that the batches before this one have seen, or None."""
+    times = _earlier(spark, path, batch_id)
+    return None if times is None else times.agg(F.max("latest")).first()[0]
+
+
+def start_event_time(requests: DataFrame, keys: Sequence[str], folder: str, checkpoint: str, *, late_seconds: int = 3600) -> StreamingQuery:
+    """Rollup state of the rows in time (``state``), and apart from it the rows behind the watermark (``late``).
+
+    The watermark is the latest event time of the batches before, less ``late_seconds``. It comes from the job's own
+    folder (``time``), so a batch that is run again draws the same line.
+    """
+    spark = requests.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        latest = _latest_time(spark, f"{folder}/time", batch_id)
+        behind = F.lit(False) if latest is None else c("log_time") < F.lit(latest) - F.make_interval(secs=F.lit(late_seconds))
+        rows = batch.withColumn("_behind", F.coalesce(behind, F.lit(False))).persist()
+        on_time = rows.filter(~c("_behind")).drop("_behind")
+        state.partial(on_time, keys).write.mode("overwrite").parquet(f"{folder}/state/batch_id={batch_id}")
+        rows.filter("_behind").drop("_behind").write.mode("overwrite").parquet(f"{folder}/late/batch_id={batch_id}")
+        rows.agg(F.max("log_time").alias("latest")).write.mode("overwrite").parquet(f"{folder}/time/batch_id={batch_id}")
+        rows.unpersist()
+
+    writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def unique(requests: DataFrame, keys: Sequence[str], late: str = "1 hour", *, time: str = "log_time") -> DataFrame:
+    """The first row of each key; on a stream keys are remembered as long as a repeat may still come."""
+    if not requests.isStreaming:
+        return requests.dropDuplicates(list(keys))
+    return requests.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
+
+
 def _current(spark: SparkSession, state_path: str, folded: str | None) -> DataFrame:
     """Partial rows that count: the latest fold, and the batches after the last one in it."""
     batches = spark.read.parquet(state_path)
@@ -111,3 +159,68 @@ def alerts(windows: DataFrame, *, error_rate: float = 5.0, mean_ms: float = 3000
         )
     )
     return windows.withColumn("alert", F.explode(rules))
+
+
+def pieces(windows: DataFrame, by: Sequence[str], **limits: float) -> DataFrame:
+    """Windows that break a rule as episodes of one window each."""
+    worst = F.when(c("alert") == "error_rate", c("error_rate")).otherwise(c("avg_ms"))
+    return alerts(windows, **limits).select(
+        *by, "alert", c("window_start").alias("raised"), c("window_end").alias("until"), F.lit(1).cast("long").alias("windows"), worst.alias("worst")
+    )
+
+
+def joined_up(parts: DataFrame, by: Sequence[str], *, hold_seconds: int = 0) -> DataFrame:
+    """Episodes from pieces in any order: an alert is held while the next piece starts within ``hold_seconds`` of its end.
+
+    The rows are windows with an alert, few per key, whatever the traffic.
+    """
+    key = [*by, "alert"]
+    order = Window.partitionBy(*key).orderBy("raised", "until")
+    before = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = c("raised") > before + F.make_interval(secs=F.lit(hold_seconds))
+    rows = parts.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int"))
+    rows = rows.withColumn("_episode", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.groupBy(*key, "_episode").agg(
+        F.min("raised").alias("raised"), F.max("until").alias("until"), F.sum("windows").alias("windows"), F.max("worst").alias("worst")
+    ).drop("_episode")
+
+
+def start_episodes(
+    windows: DataFrame, by: Sequence[str], folder: str, checkpoint: str, *, width_seconds: int, hold_seconds: int = 0, **limits: float
+) -> StreamingQuery:
+    """Alerts as state over a stream of closed windows: raised, held, and cleared into one row per episode.
+
+    Open episodes are the state (``open``, one folder for each batch). An episode is cleared, and written to
+    ``cleared``, once the clock is so far that no window which could prolong it is still to come.
+    """
+    spark = windows.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        clock = _latest_time(spark, f"{folder}/clock", batch_id)
+        batch = batch.persist()
+        now = batch.agg(F.greatest(F.max("window_end"), F.lit(clock).cast("timestamp")).alias("latest"))
+        now.write.mode("overwrite").parquet(f"{folder}/clock/batch_id={batch_id}")
+        latest = spark.read.parquet(f"{folder}/clock/batch_id={batch_id}").first()[0]
+        parts = pieces(batch, by, **limits)
+        held = _earlier(spark, f"{folder}/open", batch_id)
+        if held is not None:
+            last = held.agg(F.max("batch_id")).first()[0]
+            parts = parts.unionByName(held.filter(c("batch_id") == F.lit(last)).drop("batch_id"))
+        made = joined_up(parts, by, hold_seconds=hold_seconds).persist()
+        over = F.lit(latest) >= c("until") + F.make_interval(secs=F.lit(hold_seconds + width_seconds))
+        over = F.coalesce(over, F.lit(False))
+        made.filter(over).write.mode("overwrite").parquet(f"{folder}/cleared/batch_id={batch_id}")
+        made.filter(~over).write.mode("overwrite").parquet(f"{folder}/open/batch_id={batch_id}")
+        made.unpersist()
+        batch.unpersist()
+
+    writer = windows.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def read_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    """All episodes so far with ``state``: cleared ones, and those still open after the last batch."""
+    cleared = spark.read.parquet(f"{folder}/cleared").drop("batch_id").withColumn("state", F.lit("cleared"))
+    held = spark.read.parquet(f"{folder}/open")
+    last = held.agg(F.max("batch_id")).first()[0]
+    return cleared.unionByName(held.filter(c("batch_id") == F.lit(last)).drop("batch_id").withColumn("state", F.lit("open")))

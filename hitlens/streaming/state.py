@@ -6,9 +6,9 @@ means and quantiles are derived on read and never averaged.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.operators.measures import deviation, rate
@@ -48,6 +48,12 @@ def merge(state: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def coarser(state: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """State of a coarser grain or of fewer keys, from state rows alone: days from hours, all platforms from each."""
+    held = [*ADDED, "max_ms", "first_time", "last_time", "clients", "latency"]
+    return merge(state.select(*[value.alias(name) for name, value in keys.items()], *held), list(keys))
+
+
 def report(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Readable report from merged state; distinct counts and percentiles are estimates."""
     n = c("requests")

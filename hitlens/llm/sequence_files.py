@@ -1,16 +1,17 @@
 """Token ids as Arrow stream files of fixed-size-list batches.
 
-Documents are put in ascending doc_id order by a range partitioning; each partition writes one shard: a file of record
-batches with ``ids: fixed_size_list<uint16 or uint32>[length]`` and ``mask: fixed_size_list<bool>[length]`` (the
-last sequence is padded and masked), and beside it an index file with ``doc_id, start, n_tokens``. All batches but
-the last hold equally many sequences, so sequence k is found by arithmetic in a memory-mapped file without copying.
+Texts are encoded where they lie; their packed ids, not the texts, are dealt out by ranges of doc_id, whose bounds come
+from the ids alone. Each partition writes one shard: a file of record batches with ``ids: fixed_size_list<uint16 or
+uint32>[length]`` and ``mask: fixed_size_list<bool>[length]`` (the last sequence is padded and masked), and beside it an
+index file with ``doc_id, start, n_tokens``. All batches but the last hold equally many sequences, so sequence k is found
+by arithmetic in a memory-mapped file without copying.
 
 Shards are written under a name of their own and moved into place, with content that depends only on the rows, so a
 task that is run again replaces its file by the same bytes. Nothing but one row for each shard is gathered, and a
 shard is written and read back a few sequences at a time.
 
 Defined results: a null or empty text has only the end id; rows without a doc_id come first; equal doc_ids stay
-together, ordered by their text; an empty table has no shard and no row; extra columns are not stored.
+together, ordered by their packed ids; an empty table has no shard and no row; extra columns are not stored.
 """
 
 from __future__ import annotations
@@ -22,25 +23,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import mapped, register, slices, table, workspace
-from hitlens.llm.word_tokens import word_table
+from hitlens.llm.common import filesystem, held, mapped, register, slices, table, workspace
+from hitlens.llm.word_tokens import token_type, word_table
 
 LENGTH = 2048
 ROWS = 64  # sequences in a record batch
+DOCUMENTS = 2048  # in a shard at least, where there are fewer than the shuffle has room for
 END = 1
 SHARDS = "shard long, first_sequence long, n_documents long, n_tokens long, n_sequences long, path string"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a shared folder named by URI or by plain path."""
-    return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
-
-
 def sequence_schema(dtype: np.dtype, length: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
 
@@ -109,6 +105,7 @@ class ShardReader:
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 0
         self.length = self.file.schema.field("ids").type.list_size
         self.last: tuple[int, np.ndarray] | None = None
+        self.wide: tuple[int, memoryview] | None = None
 
     def ids(self, batch: int) -> np.ndarray:
         """Ids of a batch (no copy), one row for each sequence; the last batch asked for stays at hand."""
@@ -122,6 +119,18 @@ class ShardReader:
         mask = self.file.get_batch(k // self.rows).column("mask")[k % self.rows].values
         return self.ids(k // self.rows)[k % self.rows], mask.to_numpy(zero_copy_only=False)
 
+    def checksum(self, start: int, count: int) -> int:
+        """CRC-32 of a run of token ids as little-endian 32-bit numbers; a batch is widened once."""
+        crc, whole = 0, self.rows * self.length
+        while count > 0:
+            batch, at = divmod(start, whole)
+            if self.wide is None or self.wide[0] != batch:
+                self.wide = batch, memoryview(self.ids(batch).reshape(-1).astype("<u4")).cast("B")
+            step = min(count, len(self.wide[1]) // 4 - at)
+            crc = zlib.crc32(self.wide[1][4 * at : 4 * (at + step)], crc)
+            start, count = start + step, count - step
+        return crc
+
     def tokens(self, start: int, count: int) -> Iterator[np.ndarray]:
         """A run of token ids, as views of the batches that it touches."""
         whole = self.rows * self.length
@@ -131,19 +140,42 @@ class ShardReader:
             start, count = start + len(part), count - len(part)
 
 
+def split_points(docs: DataFrame) -> np.ndarray:
+    """Ascending doc_ids that cut the documents into parts of like size, as many as a shuffle has; from the ids alone."""
+    spark = docs.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // DOCUMENTS + 1)
+    if parts == 1:
+        return np.array([], dtype=np.int64)
+    points = F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], F.lit(100 * parts))
+    return np.unique(np.array(docs.agg(points).first()[0] or [], dtype=np.int64))
+
+
 def write_sequences(docs: DataFrame, tokenizer: str, folder: str, text: str = "text", end: int = END, length: int = LENGTH, rows: int = ROWS) -> DataFrame:
     """Write ``docs`` in doc_id order; returns one stored row for each shard."""
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("ids"))
+    bounds = split_points(texts)
+    dtype = token_type(tokenizer)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table_, tail = word_table(tokenizer), np.array([end], dtype=dtype).tobytes()
+        for part in slices(batches, "ids"):
+            ids = pa.array([table_.encode(t) + tail for t in part.column("ids").to_pylist()], pa.binary())
+            doc = part.column("doc_id")
+            at = np.searchsorted(bounds, doc.fill_null(0).to_numpy()).astype(np.int32)
+            place = pa.array(np.where(doc.is_null().to_numpy(zero_copy_only=False), 0, at))
+            yield pa.RecordBatch.from_arrays([place, doc, ids], ["part", "doc_id", "ids"])
+
+    encoded = mapped(texts, encode, "part int, doc_id long, ids binary")
+    ordered = encoded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_, shard = word_table(tokenizer), TaskContext.get().partitionId()
-        tail, writer = table_.packed([end]), None
-        for part in slices(batches, "text"):
+        held(("sequences",), dict)  # lets go the tables that have encoded the texts
+        shard, writer = 0, None
+        for part in slices(batches, "ids"):
             if writer is None:
-                writer = ShardWriter(folder, f"shard-{shard:06d}", table_.dtype, length, rows)
-            ids = [np.frombuffer(table_.encode(t) + tail, dtype=table_.dtype) for t in part.column("text").to_pylist()]
-            writer.add(part.column("doc_id").to_pylist(), ids)
+                shard = part.column("part")[0].as_py()
+                writer = ShardWriter(folder, f"shard-{shard:06d}", dtype, length, rows)
+            writer.add(part.column("doc_id").to_pylist(), [np.frombuffer(b, dtype=dtype) for b in part.column("ids").to_pylist()])
         if writer is not None:
             path = writer.close()
             row = [[shard], [0], [writer.n_documents], [writer.n_tokens], [writer.n_sequences], [path]]
@@ -168,12 +200,8 @@ def read_documents(shards: DataFrame, folder: str) -> DataFrame:
                     index = pa.ipc.open_file(file)
                     for k in range(index.num_record_batches):
                         part = index.get_batch(k)
-                        sums = []
-                        for start, count in zip(part.column("start").to_pylist(), part.column("n_tokens").to_pylist(), strict=True):
-                            crc = 0
-                            for ids in reader.tokens(start, count):
-                                crc = zlib.crc32(ids.astype("<u4"), crc)
-                            sums.append(crc)
+                        runs = zip(part.column("start").to_pylist(), part.column("n_tokens").to_pylist(), strict=True)
+                        sums = [reader.checksum(start, count) for start, count in runs]
                         starts = pa.array(part.column("start").to_numpy() + first)
                         yield pa.RecordBatch.from_arrays([part.column("doc_id"), starts, part.column("n_tokens"), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

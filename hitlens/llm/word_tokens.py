@@ -51,6 +51,13 @@ class Generations(dict):
         return value
 
 
+def token_type(path: str) -> np.dtype:
+    """The smallest unsigned type that fits the ids of a tokenizer."""
+    from tokenizers import Tokenizer
+
+    return np.dtype("<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4")
+
+
 class WordTable:
     """Ids by distinct chunk, as bytes of the smallest fitting unsigned type; lives as long as its Python worker."""
 
@@ -61,6 +68,7 @@ class WordTable:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.chunks = Generations(self._chunk, size)
         self.pieces = Generations(self._piece, size)
@@ -72,11 +80,13 @@ class WordTable:
 
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-        return self.packed([t.id for t in self.tokenizer.model.tokenize(letters)])
+        return self.packed([t.id for t in self.model.tokenize(letters)])
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
             return b""
+        if chunk.isalpha() and chunk.isascii():  # one pre-token
+            return self.packed([t.id for t in self.model.tokenize(chunk.lower())])
         if _PLAIN.fullmatch(chunk) and not ("<|" in chunk and any(s in chunk for s in self.specials)):
             return b"".join(map(self.pieces.__getitem__, _PIECES.findall(chunk.lower())))
         return self.packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)

@@ -225,11 +225,14 @@ def classes(fingerprinted: DataFrame, order: list[str], distance: int = DISTANCE
 
 def near_duplicates(docs: DataFrame, text: str = "text", width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """``docs`` (without the text) with ``fingerprint`` and ``component_id``, the smallest reachable doc_id."""
-    clean = docs.select(*others(docs, ["fingerprint", "component_id"]))
-    rows = stored(fingerprints(clean, text, width), "documents")
+    names = [c for c in docs.columns if c.lower() not in {"fingerprint", "component_id", text.lower()}]
+    # the other columns travel as one, so that none can clash with what is made on the way
+    clean = docs.select(F.struct(*others(docs, ["fingerprint", "component_id", text])).alias("doc"), docs["doc_id"].alias("doc_id"), docs[f"`{text}`"].alias("text"))
+    rows = stored(fingerprints(clean, "text", width), "documents")
     groups = classes(rows.select("fingerprint", "doc_id"), ["doc_id"], distance)
-    joined = rows.join(groups, "fingerprint", "left")
-    return joined.select(*[rows[f"`{c}`"] for c in rows.columns], F.col("first.doc_id").alias("component_id"))
+    groups = groups.select(F.col("fingerprint").alias("of"), F.col("first.doc_id").alias("component_id"))
+    joined = rows.join(groups, rows["fingerprint"] == groups["of"], "left")
+    return joined.select(*[F.col("doc").getField(c).alias(c) for c in names], "fingerprint", "component_id")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:

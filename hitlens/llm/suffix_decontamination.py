@@ -9,7 +9,7 @@ found by a search, so this loses nothing and keeps the array small. Shards are b
 are never shuffled, and a passage that sits in millions of documents is found by each shard for itself.
 
 The test set reaches the tasks in blocks of at most ``block_bytes`` of text, one pass over the documents for each
-block, so its size is bounded in every task however large the test set is.
+block, so its size is bounded in every task, and on the driver, however large the test set is.
 
 Defined results: a null or wordless text has no words and no hits; an item without words (or null) has no window; an
 item without id marks hit words but is not listed; repeated items and ids count once; repeated documents are judged
@@ -19,15 +19,17 @@ one by one; an empty test set marks nothing; extra columns pass, a clashing one
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlens.llm.common import WORD, mapped, others, quoted, register, slices, table, texts_of, unwrapped, wrapped
+from hitlens.llm.common import WORD, mapped, others, register, slices, stored, table, texts_of, unwrapped, wrapped
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -215,14 +217,14 @@ def _matched(texts: list[bytes], test: TestSet) -> Iterator[tuple[int, list[tupl
         yield n, spans, sorted({i for w in windows for i in test.owners[w]}), int(longest[a:b].max())
 
 
-def _scan(docs: DataFrame, test: TestSet, text: str, carried: list[str]) -> DataFrame:
+def _scan(docs: DataFrame, shared: Broadcast, text: str, carried: list[str]) -> DataFrame:
+    """The carried columns with what one block of the test set finds in each text."""
     fields = [docs.schema[c] for c in carried]
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([
         *fields, T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(span)),
         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("longest", T.LongType()),
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(test)  # at most one block of the test set
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,36 +242,20 @@ def _scan(docs: DataFrame, test: TestSet, text: str, carried: list[str]) -> Data
     return mapped(docs, run, schema)
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[TestSet]:
-    """The test set cut by a hash into blocks of bounded size; each is fetched for itself."""
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[TestSet]:
+    """The test set cut by a hash into blocks of bounded size, fetched one after the other."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = size // block_bytes + 1
     block = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [TestSet(((r.item, r.text.encode()) for r in items.filter(block == k).toLocalIterator()), window) for k in range(count)]
+    for k in range(count):
+        yield TestSet(((r.item, r.text.encode()) for r in items.filter(block == k).toLocalIterator()), window)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry_text: bool = False, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``n_words``, ``hits`` (merged word spans), ``items`` (ids found) and ``longest`` (match in words)."""
-    source = docs.select(*others(docs, [*PRODUCED, text]), F.col(text).cast("string").alias(text))
-    carried = [c for c in source.columns if carry_text or c != text]
-    tests = _blocks(benchmark, window, block_bytes)
-    if len(tests) == 1:
-        return _scan(source, tests[0], text, carried)
-    # several blocks: the later passes only add hits to the rows of the first; equal rows have equal hits
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in source.columns])
-    keyed = source.select(row.alias("__row"), "*")
-    scans = [_scan(keyed, test, text, ["__row", *carried] if k == 0 else ["__row"]) for k, test in enumerate(tests)]
-    found = scans[0].select("__row", *PRODUCED[1:])
-    for scan in scans[1:]:
-        found = found.union(scan.select("__row", *PRODUCED[1:]))
-    found = found.filter(F.size("hits") > 0).groupBy("__row").agg(
-        F.sort_array(F.flatten(F.collect_set("hits"))).alias("hits"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        F.max("longest").alias("longest"),
-    )  # at most one set per block
-    merged = F.aggregate(
-        "hits",
+def _merged(hits: str) -> Column:
+    """Sorted spans with those that meet put together."""
+    return F.aggregate(
+        hits,
         F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda acc, x: F.when(
             (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
@@ -279,11 +265,44 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry_tex
             ),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    found = found.select(F.col("__row"), merged.alias("hits"), "items", "longest")
-    return scans[0].drop(*PRODUCED[1:]).join(found, "__row", "left").select(
-        *quoted(carried), "n_words", F.coalesce("hits", F.array()).alias("hits"), F.coalesce("items", F.array()).alias("items"),
-        F.coalesce("longest", F.lit(0)).cast("bigint").alias("longest"),
-    )
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", carry_text: bool = False, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with ``n_words``, ``hits`` (merged word spans), ``items`` (ids found) and ``longest`` (match in words).
+
+    A test set of several blocks is scanned block by block: the hits of a block are stored and it is let go before the
+    next is fetched; what they found is added to the rows by a hash of the whole row (equal rows have equal hits).
+    """
+    spark = docs.sparkSession
+    kept = others(docs, [*PRODUCED, text])
+    names = [c for c in docs.columns if c.lower() not in {*PRODUCED, text.lower()}]
+    whole = docs.select(F.struct(*kept).alias("doc"), F.xxhash64(*kept, docs[f"`{text}`"]).alias("row"), docs[f"`{text}`"].cast("string").alias("text"))
+    blocks = _blocks(benchmark, window, block_bytes)
+    shared = spark.sparkContext.broadcast(next(blocks))
+    base = _scan(whole, shared, "text", ["doc", "row", *(["text"] if carry_text else [])])
+    later = []
+    for test in blocks:
+        sent = spark.sparkContext.broadcast(test)  # at most one block of the test set
+        scan = _scan(whole.select("row", "text"), sent, "text", ["row"])
+        later.append(stored(scan.filter(F.size("hits") > 0).select("row", *PRODUCED[1:]), "hits"))
+        sent.destroy()
+    if later:
+        found = reduce(DataFrame.union, [base.filter(F.size("hits") > 0).select("row", *PRODUCED[1:]), *later])
+        found = found.groupBy(F.col("row").alias("of")).agg(
+            F.sort_array(F.flatten(F.collect_set("hits"))).alias("all_hits"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("all_items"),
+            F.max("longest").alias("most"),
+        )  # at most one set per block
+        base = base.join(found, F.col("row") == F.col("of"), "left").withColumns(
+            {
+                "hits": F.coalesce(_merged("all_hits"), F.col("hits")),
+                "items": F.coalesce("all_items", "items"),
+                "longest": F.coalesce("most", "longest"),
+            }
+        )
+    passed = [F.col("text") if c == text and carry_text else F.col("doc").getField(c) for c in names]
+    out = [v.alias(c) for v, c in zip(passed, names, strict=True)] + ([F.col("text").alias(text)] if carry_text else [])
+    return base.select(*out, *PRODUCED)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -50,7 +50,22 @@ SITE_RULES = [
 ]
 # words in a host that stand for pages nobody wants in a corpus
 UNWANTED = ["adult", "bets", "casino", "pills", "poker", "porn", "spam", "track", "viagra", "xxx"]
+# hosts that serve adverts and count visits, whole labels and their numbered kin
+SERVICES = [
+    "ad", "ads", "ad?", "ads?", "adserv*", "adclick*", "adimg*", "adnet*", "banner*", "beacon*", "click?", "clicks", "counter*",
+    "metrics", "pixel", "pixel?", "popup*", "sponsor*", "stat?", "stats", "telemetry", "*analytics", "*tagmanager*",
+]
+# paths of adverts, sessions, carts, scripts and files that hold no page of text
+PLACES = [
+    "*/ads/*", "*/ad/*", "*/adserver/*", "*/banner?/*", "*/banners/*", "*/sponsored/*", "*/pixel.?*", "*/track?/*", "*/tracking/*", "*/beacon/*",
+    "*/login", "*/login/*", "*/login.*", "*/logout*", "*/signin*", "*/signup*", "*/register/*", "*/password/*", "*/cart/*", "*/checkout/*",
+    "*/cgi-bin/*", "*/wp-admin/*", "*/wp-login.*", "*/wp-json/*", "*/xmlrpc.*", "*/.git/*", "*/.env", "*/phpmyadmin/*", "*/feed/", "*/rss.xml", "*/sitemap*.xml",
+    "*.css", "*.js", "*.json", "*.jp?g", "*.jpg", "*.png", "*.gif", "*.ico", "*.svg", "*.webp", "*.mp?", "*.avi", "*.zip", "*.gz", "*.rar", "*.exe", "*.apk", "*.dmg", "*.iso",
+]
 HOST_RULES = [Rule("block", f"*{word}*", "") for word in UNWANTED]
+SERVICE_RULES = [Rule("block", f"{label}.*", "") for label in SERVICES]
+PATH_RULES = [Rule("block", "*", place, prefix=False) for place in PLACES]
+METHOD_RULES = [*HOST_RULES, *SERVICE_RULES, *PATH_RULES]
 
 
 def _symbols(rule: Rule) -> list[object]:
@@ -140,7 +155,7 @@ def canonical(url: str) -> tuple:
     return host, path
 
 
-def judged(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES, method: Sequence[Rule] = HOST_RULES, url: str = "url") -> DataFrame:
+def judged(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES, method: Sequence[Rule] = METHOD_RULES, url: str = "url") -> DataFrame:
     """``pages`` with ``host, path, rule, verdict``: the longest fitting rule decides, else any fitting ``method`` rule."""
     ranked = sorted(rules, key=lambda r: -len(r.name))
     automaton = Automaton([*ranked, *method])
@@ -163,6 +178,17 @@ def judged(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES, method: Sequenc
     return mapped(source, run, schema)
 
 
+def _regex(glob: str) -> str:
+    """A glob as a regular expression, for the oracle."""
+    return "".join({"*": ".*", "?": "."}.get(c, "\\" + c if c in ".+()[]{}|^$" else c) for c in glob)
+
+
+def _sql_rules(rules: Sequence[Rule]) -> str:
+    """Any of the rules, over ``.host path`` with one space between."""
+    ends = [rf".*\.{_regex(r.host)} {_regex(r.path)}{'.*' if r.prefix else ''}" for r in rules]
+    return "regexp_full_match('.' || host || ' ' || path, '" + "|".join(ends) + "', 's')"
+
+
 _SQL = f"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -173,7 +199,7 @@ r AS (SELECT *, CASE
     WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
     WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM p)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-  WHEN regexp_matches(host, '{"|".join(UNWANTED)}') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
+  WHEN {_sql_rules(METHOD_RULES)} THEN 'block' ELSE 'allow' END AS verdict FROM r"""
 
 
 @register("op8_url_filters", _SQL)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.operators.measures import describe, deviation, flag, mean, rate, summarise
@@ -50,8 +50,8 @@ def derived_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def outliers(df: DataFrame, metric: str = "duration_ms", *, min_rows: int = 100) -> DataFrame:
-    """Rows outside [Q1 - 3 IQR, Q3 + 3 IQR] of the whole table, counted per service."""
+def _fence(df: DataFrame, metric: str, min_rows: int) -> Column:
+    """One value for the whole table: [Q1 - 3 IQR, Q3 + 3 IQR], NULL for too few rows."""
     fences = summarise(
         df, [], sums={"n": F.lit(1)}, quantiles=[(F.col(metric), {"q1": 0.25, "q3": 0.75})]
     ).select(
@@ -63,9 +63,17 @@ def outliers(df: DataFrame, metric: str = "duration_ms", *, min_rows: int = 100)
             ),
         )
     )
-    fence = fences.scalar()
-    odd = (F.col(metric) < fence["lo"]) | (F.col(metric) > fence["hi"])
-    marked = df.select("service", F.coalesce(odd, F.lit(False)).alias("odd"))
+    return fences.scalar()
+
+
+def _odd(df: DataFrame, metric: str, min_rows: int = 100) -> Column:
+    fence = _fence(df, metric, min_rows)
+    return F.coalesce((F.col(metric) < fence["lo"]) | (F.col(metric) > fence["hi"]), F.lit(False))
+
+
+def outliers(df: DataFrame, metric: str = "duration_ms", *, min_rows: int = 100) -> DataFrame:
+    """Rows outside [Q1 - 3 IQR, Q3 + 3 IQR] of the whole table, counted per service."""
+    marked = df.select("service", _odd(df, metric, min_rows).alias("odd"))
     return marked.groupBy("service").agg(F.count_if("odd").alias("outliers"))
 
 
@@ -73,19 +81,19 @@ def health(df: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Service health 0-100 from success, slow and outlier shares, mean latency and its variation."""
     c = F.col
     ok = c("is_success")
-    base = summarise(
+    odd = _odd(df.filter("is_success"), "duration_ms")
+    joined = summarise(
         df,
         ["service"],
         sums={
             "requests": F.lit(1),
             "successes": flag(ok),
             "slow": flag(ok & (c("duration_ms") > limits.slow_ms)),
+            "outliers": flag(ok & odd),
             "ms": F.when(ok, c("duration_ms")),
             "ms2": F.when(ok, (c("duration_ms") * c("duration_ms")).cast("double")),
         },
     )
-    odd = outliers(df.filter("is_success"))
-    joined = base.join(odd, "service", "left").fillna(0, ["outliers"])
     avg = c("ms") / c("successes") / F.lit(1000.0)
     sd = deviation(c("ms"), c("ms2"), c("successes")) / F.lit(1000.0)
     lost_slow = F.when(

@@ -30,6 +30,7 @@ from hitlens.llm.common import held, mapped, others, register, slices, table
 
 MARK = "▁"
 TABLE_SIZE = 150_000
+LONG = 100  # characters; longer chunks (text without blanks) are not kept, which bounds the table's bytes too
 _RUNS = re.compile(" +[^ ]*")
 
 
@@ -68,7 +69,11 @@ class ChunkTable:
             some = new[start : start + 20_000]
             for chunk, ids in zip(some, self.model.encode(some, num_threads=1), strict=True):
                 known[chunk] = array("i", ids if chunk else self._marked(chunk)).tobytes()
-        return [b"".join([known[c] for c in parts]) for parts in cut]
+        joined = [b"".join([known[c] for c in parts]) for parts in cut]
+        for chunk in new:
+            if len(chunk) > LONG:
+                del known[chunk]
+        return joined
 
 
 def chunk_table(model: str) -> ChunkTable:

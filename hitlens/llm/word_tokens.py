@@ -18,6 +18,7 @@ import numpy as np
 from hitlens.llm.common import held
 
 TABLE_SIZE = 250_000  # entries of a generation
+LONG = 100  # characters; longer keys are not kept
 # letters of this range have no other composed form and lower-case one by one; U+0130 and U+0149 do not
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ňŊ-ž]+")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
@@ -33,7 +34,8 @@ def _byte_letters() -> dict[int, str]:
 class Generations(dict):
     """A bounded table: a full generation becomes the old one, and what is used again moves to the young one.
 
-    Frequent words stay whatever the length of the corpus; rare ones go. ``make`` computes a missing value.
+    Frequent words stay whatever the length of the corpus; rare ones go, and long ones (text without blanks) are never kept,
+    which bounds the bytes too. ``make`` computes a missing value.
     """
 
     def __init__(self, make: Callable[[str], bytes], size: int) -> None:
@@ -44,6 +46,8 @@ class Generations(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > LONG:
+            return value
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()

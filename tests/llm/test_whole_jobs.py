@@ -79,3 +79,14 @@ def test_license_texts_without_a_name(spark):
     got = {r.doc_id: [d.label for d in r.detections] for r in license_rules.scanned(df).collect()}
     assert [got[k] for k in range(len(texts))] == [[label] for label in texts.values()]
     assert all(len(pattern.split()) <= license_rules.SPAN for _, pattern, *_ in license_rules.BODIES)
+
+
+def test_long_chunks_are_not_kept():
+    from hitlens.llm import chunk_codec, sequence_files, word_tokens
+
+    texts = ["".join(chr(97 + (k * j) % 26) for j in range(5000)) + " word" for k in range(1, 30)]
+    table = chunk_codec.ChunkTable(chunk_codec.model_path())
+    assert table.encode(texts) == table.encode(texts) and max(map(len, table.known)) <= chunk_codec.LONG
+    words = word_tokens.WordTable(sequence_files.tokenizer_path())
+    assert [words.encode(t) for t in texts] == [words.encode(t) for t in texts]
+    assert max(map(len, [*words.chunks, *words.pieces])) <= word_tokens.LONG

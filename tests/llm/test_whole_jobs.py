@@ -90,3 +90,25 @@ def test_long_chunks_are_not_kept():
     words = word_tokens.WordTable(sequence_files.tokenizer_path())
     assert [words.encode(t) for t in texts] == [words.encode(t) for t in texts]
     assert max(map(len, [*words.chunks, *words.pieces])) <= word_tokens.LONG
+
+
+def test_quality_bits_and_policies(spark):
+    from hitlens.llm import quality_ledger as q
+
+    clean = " ".join(["the house of words and the river"] * 1 + [f"wort{k} und mot{k} the" for k in range(30)])
+    texts = {
+        "clean": clean,
+        "numbers": " ".join(f"{k}" for k in range(80)) + " the of",
+        "no stop words": " ".join(f"wort{k}" for k in range(80)),
+        "ellipses": "\n".join(f"the line of words {k} goes on..." + " \t" * (k % 2) for k in range(20)),
+        "one ellipsis": clean + "\nand so on…\n" + clean,
+    }
+    df = spark.createDataFrame(list(texts.items()), "name string, text string")
+    rows = {r.name: r for r in q.ledger(df).select("*", q.passes("3").alias("three"), q.passes("4").alias("four")).collect()}
+    fails = {name: {rule.name for rule in q.RULES if r.failed_bits >> rule.bit & 1} for name, r in rows.items()}
+    assert fails["clean"] == set() and rows["clean"].three and rows["clean"].four
+    assert "letters" in fails["numbers"] and fails["no stop words"] == {"stop_words"} and "ellipses" in fails["ellipses"]
+    assert fails["one ellipsis"] & {"ellipses"} == {"ellipses"} and rows["one ellipsis"].n_ellipsis_lines == 1
+    assert rows["no stop words"].three and not rows["no stop words"].four
+    effect = {r.rule: r for r in q.ablations(q.ledger(df), "4").collect()}
+    assert effect["stop_words"].n_failed_only == 1 and "stop_words" not in {r.rule for r in q.ablations(q.ledger(df), "3").collect()}

@@ -47,6 +47,17 @@ def with_previous(
     return joined.withColumns(picked).select(*df.columns, *picked)
 
 
+def slice_seconds(df: DataFrame, by: Sequence[str], ts: str, *, rows: int = 100_000, seconds: int = 3600) -> Column:
+    """Width of time slices in which no key has many more than ``rows`` rows: ``seconds``, or less where a key is hot.
+
+    One value from a count per key and span of ``seconds``, which map tasks combine; rows are not moved for it.
+    """
+    span = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds)
+    most = df.groupBy(*by, span.alias("_span")).agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.max("_n"), F.lit(1)).alias("_most"))
+    finer = F.greatest(F.lit(1), F.floor(F.lit(seconds) * rows / F.col("_most")))
+    return most.select(F.least(F.lit(seconds), finer)).scalar()
+
+
 def prefix_sums(df: DataFrame, order: str, columns: Sequence[str], chunk: Column) -> DataFrame:
     """Running sums ``upto_<column>`` over rows in order, without one task for all rows.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlens.operators.sequence import with_previous
+from hitlens.operators.sequence import slice_seconds, with_previous
 
 SERIES = ["metric", "cluster", "instance"]
 c = F.col
@@ -37,14 +37,15 @@ CATALOGUE = [
 ]
 
 
-def increments(df: DataFrame) -> DataFrame:
+def increments(df: DataFrame, *, rows: int = 100_000) -> DataFrame:
     """Growth of a counter at every sample; after a reset the new value counts whole.
 
-    Long series are split by hour, with the last sample of the hour before carried over.
+    Long series are split by hour, and by less where a series has more than ``rows`` samples an hour, with the last
+    sample before the slice carried over.
     """
-    seen = with_previous(
-        df.select(*SERIES, "ts", "value"), SERIES, ["ts", "value"], ["ts", "value"], slice_of=F.date_trunc("hour", "ts")
-    )
+    samples = df.select(*SERIES, "ts", "value")
+    slices = F.floor(F.unix_seconds(c("ts").cast("timestamp")) / slice_seconds(samples, SERIES, "ts", rows=rows))
+    seen = with_previous(samples, SERIES, ["ts", "value"], ["ts", "value"], slice_of=slices)
     grown = (
         F.when(c("prev_value").isNull(), F.lit(0.0))
         .when(c("value") < c("prev_value"), c("value"))

@@ -135,3 +135,29 @@ def test_quantile_reports_read_their_input_once(spark, name, most):
 def test_shares_run_their_report_once(spark, name):
     plan = physical(spark, name)
     assert scans(plan) == 1 and "Join" not in plan
+
+
+def test_slices_follow_the_hottest_series(spark):
+    from datetime import datetime, timedelta
+
+    from hitlens.operators import sequence
+    from hitlens.plans import metrics
+
+    rng = random.Random(6)
+    t0 = datetime(2025, 4, 1)
+    rows = [("m", "c", "slow", t0 + timedelta(minutes=10 * k), float(k)) for k in range(60)]
+    rows += [("m", "c", "hot", t0 + timedelta(seconds=k), float(rng.randint(0, 50))) for k in range(7200)]
+    df = spark.createDataFrame(rows, "metric string, cluster string, instance string, ts timestamp, value double").repartition(4)
+
+    def width(n):
+        return df.select(sequence.slice_seconds(df, metrics.SERIES, "ts", rows=n).alias("w")).first().w
+
+    assert width(100_000) == 3600 and width(3600) == 3600 and width(600) == 600 and width(1) == 1
+    want = {}
+    for name in ("slow", "hot"):
+        values = [v for _, _, i, _, v in rows if i == name]
+        want[name] = sum(b if b < a else b - a for a, b in zip(values, values[1:], strict=False))
+    for n in (100_000, 50):
+        grown = metrics.increments(df, rows=n).groupBy("instance").agg(F.sum("growth").alias("g"))
+        assert {r.instance: r.g for r in grown.collect()} == want
+    assert metrics.increments(df.limit(0)).count() == 0

@@ -338,7 +338,7 @@ def _(spark, sf):
     rows = hits(spark, sf)
     days = state.report(state.coarser(state.partial(rows, _KEYS), {"day": F.to_date("stat_hour")}), ["day"])
     ms = c("duration_ms")
-    exact = measures.summarise(rows, {"of": F.to_date("log_time")}, quantiles=[(ms, {"lo": 0.93, "hi": 0.97})], distinct={"users": c("client_ip")})
+    exact = measures.summarise(rows, {"of": F.to_date("log_time")}, nearest=[(ms, {"lo": 0.93, "hi": 0.97})], distinct={"users": c("client_ip")})
     both = days.join(exact, c("day") == c("of"))
     near = F.abs(c("clients_estimate") - c("users")) <= F.greatest(F.lit(2.0), c("users") * 0.06)
     return both.select("day", "requests", "errors", "max_ms", "avg_ms", near.alias("clients_close"), c("p95_estimate").between(c("lo"), c("hi")).alias("p95_close"))

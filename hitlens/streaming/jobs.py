@@ -196,16 +196,15 @@ def start_episodes(
     spark = windows.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        clock = _latest_time(spark, f"{folder}/clock", batch_id)
+        clocks = _earlier(spark, f"{folder}/clock", batch_id)  # one row for each batch, also where nothing is open
+        clock, last = (None, None) if clocks is None else clocks.agg(F.max("latest"), F.max("batch_id")).first()
         batch = batch.persist()
         now = batch.agg(F.greatest(F.max("window_end"), F.lit(clock).cast("timestamp")).alias("latest"))
         now.write.mode("overwrite").parquet(f"{folder}/clock/batch_id={batch_id}")
         latest = spark.read.parquet(f"{folder}/clock/batch_id={batch_id}").first()[0]
         parts = pieces(batch, by, **limits)
-        held = _earlier(spark, f"{folder}/open", batch_id)
-        if held is not None:
-            last = held.agg(F.max("batch_id")).first()[0]
-            parts = parts.unionByName(held.filter(c("batch_id") == F.lit(last)).drop("batch_id"))
+        if last is not None:
+            parts = parts.unionByName(spark.read.parquet(f"{folder}/open").filter(c("batch_id") == F.lit(last)).drop("batch_id"))
         made = joined_up(parts, by, hold_seconds=hold_seconds).persist()
         over = F.lit(latest) >= c("until") + F.make_interval(secs=F.lit(hold_seconds + width_seconds))
         over = F.coalesce(over, F.lit(False))
@@ -222,5 +221,5 @@ def read_episodes(spark: SparkSession, folder: str) -> DataFrame:
     """All episodes so far with ``state``: cleared ones, and those still open after the last batch."""
     cleared = spark.read.parquet(f"{folder}/cleared").drop("batch_id").withColumn("state", F.lit("cleared"))
     held = spark.read.parquet(f"{folder}/open")
-    last = held.agg(F.max("batch_id")).first()[0]
+    last = spark.read.parquet(f"{folder}/clock").agg(F.max("batch_id")).first()[0]
     return cleared.unionByName(held.filter(c("batch_id") == F.lit(last)).drop("batch_id").withColumn("state", F.lit("open")))

@@ -145,3 +145,25 @@ def test_coarser_state(spark):
         values = sorted(x[6] for x in rows if x[0].date() == r.day)
         assert values[int(0.93 * len(values))] <= r.p95_estimate <= values[min(int(0.97 * len(values)), len(values) - 1)]
     assert state.coarser(hours, {}).count() == 1
+
+
+def test_cleared_episodes_do_not_come_back(spark, tmp_path):
+    """Batches after which nothing is open: what was open before them is neither read nor taken up again."""
+    source, folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def hour(h, bad):
+        return [(T0 + timedelta(hours=h, minutes=m), "s", "c", not bad, bad, False, 5, 1) for m in range(3)]
+
+    want = []
+    for bad, hours in ((True, range(0, 3)), (False, range(3, 30)), (False, range(30, 40)), (True, range(40, 42)), (False, range(42, 60))):
+        rows = [r for h in hours for r in hour(h, bad)]
+        spark.createDataFrame(rows, REQUESTS).coalesce(1).write.mode("append").parquet(source)
+        windows = jobs.windowed(spark.readStream.schema(REQUESTS).parquet(source), "1 hour", late="0 seconds", by=["site"])
+        jobs.start_episodes(windows, ["site"], folder, checkpoint, width_seconds=3600, error_rate=20, mean_ms=1e9).awaitTermination()
+        got = sorted((r.raised, r.until, r.windows, r.state) for r in jobs.read_episodes(spark, folder).collect())
+        assert len({g[0] for g in got}) == len(got)
+        want.append(got)
+    at = lambda h: T0 + timedelta(hours=h)
+    assert want[0] == [(at(0), at(2), 2, "open")]
+    assert want[1] == want[2] == [(at(0), at(3), 3, "cleared")]
+    assert want[-1] == [(at(0), at(3), 3, "cleared"), (at(40), at(42), 2, "cleared")]

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import others, quoted, register, stored, table
+from hitlens.llm.common import others, register, stored, table
 
 FAN = 3
 BAND = 5

@@ -250,6 +250,7 @@ def apdex(satisfied: Column, tolerated: Column, whole: Column) -> Column:
 
 def deviation(sum_: Column, sum_sq: Column, n: Column, *, sample: bool = False) -> Column:
     """Standard deviation from mergeable sums; sample deviation of one value is 0."""
-    centred = F.greatest(F.lit(0.0), sum_sq - sum_ * sum_ / n)
+    total = sum_.cast("double")  # the square of a whole number leaves 64 bits above a sum of 3 * 10^9
+    centred = F.greatest(F.lit(0.0), sum_sq - total * total / n)
     divisor = n - 1 if sample else n
     return F.when(divisor > 0, F.sqrt(centred / divisor)).otherwise(F.lit(0.0))

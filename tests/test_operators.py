@@ -282,3 +282,9 @@ def test_rollup_windows_need_whole_hours(spark):
     out = rollups.time_dimension(hits(spark, SF)).orderBy("stat_hour").collect()
     for i, r in enumerate(out):
         assert r["peak_7h"] == max(x["requests"] for x in out[max(0, i - 6) : i + 1])
+
+
+def test_deviation_of_sums_whose_square_leaves_64_bits(spark):
+    """The sums of six million requests of 4 and 6 s."""
+    row = spark.range(1).select(F.lit(30_000_000_000).alias("s"), F.lit(1.56e14).alias("ss"), F.lit(6_000_000).alias("n"))
+    assert row.select(measures.deviation(F.col("s"), F.col("ss"), F.col("n"))).first()[0] == pytest.approx(1000.0)

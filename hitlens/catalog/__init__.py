@@ -9,7 +9,7 @@ from hitlens.catalog import (  # noqa: F401
     source_queries,
     variant_queries,
 )
-from hitlens.catalog.base import ORACLES, QUERIES
+from hitlens.catalog.base import ORACLES, QUERIES, parts, table
 from hitlens.catalog.generic_queries import flagship  # noqa: F401
 from hitlens.session import tune
 
@@ -18,7 +18,7 @@ def queries():
     """The registered queries; a session is tuned when one of them is called, not by building its plan."""
 
     def tuned(build):
-        return lambda spark, sf_dir: build(tune(spark), sf_dir)
+        return lambda spark, sf_dir: build(tune(spark, parts(table(spark, sf_dir, "events"))), sf_dir)
 
     return {name: tuned(build) for name, build in QUERIES.items()}
 

@@ -101,7 +101,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web requests (durations ms, wall clock in UTC)."""
     # the test table is one row group, which no split setting can divide
-    return requests_from(table(spark, sf_dir, "events").repartition(PARTS))
+    e = table(spark, sf_dir, "events")
+    return requests_from(e.repartition(parts(e), "event_id"))
+
+
+def parts(e: DataFrame) -> int:
+    """Partitions for a table: enough that no task gets more rows as the table grows (the count reads Parquet footers)."""
+    return max(PARTS, -(-e.count() // ROWS_PER_PART))
 
 
 def requests_from(e: DataFrame) -> DataFrame:
@@ -140,6 +146,7 @@ def requests_from(e: DataFrame) -> DataFrame:
 
 
 PARTS = 8
+ROWS_PER_PART = 50_000
 
 _PLANS: dict[tuple[str, str], DataFrame] = {}
 

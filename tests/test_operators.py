@@ -288,3 +288,10 @@ def test_deviation_of_sums_whose_square_leaves_64_bits(spark):
     """The sums of six million requests of 4 and 6 s."""
     row = spark.range(1).select(F.lit(30_000_000_000).alias("s"), F.lit(1.56e14).alias("ss"), F.lit(6_000_000).alias("n"))
     assert row.select(measures.deviation(F.col("s"), F.col("ss"), F.col("n"))).first()[0] == pytest.approx(1000.0)
+
+
+def test_partitions_grow_with_the_table(spark):
+    from hitlens.catalog.base import PARTS, ROWS_PER_PART, parts
+
+    assert parts(spark.range(10)) == PARTS
+    assert parts(spark.range(40 * ROWS_PER_PART + 1)) == 41

@@ -322,13 +322,19 @@ def file_formats(
     return head.groupBy(file).agg(F.coalesce(first, F.lit("json")).alias("format"))
 
 
+PAIR_NEEDED = ["time", "remote_addr", "status"]
+
+
+def _has_all(values: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, [v.isNotNull() & ~v.isin(*EMPTY_VALUES) for v in values])
+
+
 def _complete(form: str) -> Column:
     """Whether a line is a request in a format: json, pairs, combined or cdn."""
     if form == "json":
         return F.ltrim(_v()).startswith("{") & _json(_v())[BAD_JSON].isNull()
     if form == "pairs":
-        values = [pair_value(padded(_v()), PAIR_KEYS[n]) for n in ("time", "remote_addr", "status")]
-        return reduce(lambda a, b: a & b, [v.isNotNull() & ~v.isin(*EMPTY_VALUES) for v in values])
+        return _has_all([pair_value(padded(_v()), PAIR_KEYS[n]) for n in PAIR_NEEDED])
     return F.trim(_v()).rlike({"combined": COMBINED, "cdn": CDN}[form])
 
 
@@ -339,7 +345,12 @@ def broken(df: DataFrame, form: str) -> DataFrame:
 
 def parse_statistics(df: DataFrame, form: str = "pairs") -> DataFrame:
     """Total, parsed, error and empty lines of a source in one pass."""
-    parts = settled(df, {"_complete": F.coalesce(_complete(form), F.lit(False)), "_empty": F.trim(_v()) == ""}, [])
+    if form == "pairs":  # blanks and fields of a line are worked out once, not once for each search and each test
+        df = settled(df, {"_line": padded(_v()), "_empty": F.trim(_v()) == ""}, [])
+        df = settled(df, {f"_{n}": pair_value(F.col("_line"), PAIR_KEYS[n]) for n in PAIR_NEEDED}, ["_empty"])
+        parts = settled(df, {"_complete": _has_all([F.col(f"_{n}") for n in PAIR_NEEDED])}, ["_empty"])
+    else:
+        parts = settled(df, {"_complete": F.coalesce(_complete(form), F.lit(False)), "_empty": F.trim(_v()) == ""}, [])
     complete, empty = F.col("_complete"), F.col("_empty")
     out = parts.agg(
         F.count(F.lit(1)).alias("total"),

@@ -295,3 +295,13 @@ def test_partitions_grow_with_the_table(spark):
 
     assert parts(spark.range(10)) == PARTS
     assert parts(spark.range(40 * ROWS_PER_PART + 1)) == 41
+
+
+def test_pair_statistics_search_each_line_once(spark):
+    from hitlens.sources import lines
+
+    df = spark.createDataFrame([('http_host:a remote_addr:"1" time:"t" code:"200"',), (" ",), ('time:"t" code:"-"',)], "value string")
+    out = lines.parse_statistics(df)
+    assert tuple(out.first()) == (3, 1, 1, 1, 1 / 3)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1

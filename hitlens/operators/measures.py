@@ -68,7 +68,9 @@ def summarise(
     if len(slots) == 1:
         flat = df.select(*named, slots[0].alias("_slot"))
     else:
-        flat = df.select(*named, F.explode(F.array(*slots)).alias("_slot"))
+        # entry 0 carries the sums; of the others one without a value adds nothing
+        slots[1:] = [F.when(slot["num"].isNotNull() | slot["txt"].isNotNull(), slot) for slot in slots[1:]]
+        flat = df.select(*named, F.explode(F.array(*slots)).alias("_slot")).filter("_slot is not null")
     head = F.col("_slot")["slot"] == 0
     fine = flat.groupBy(*keys, "_slot").agg(
         F.count(F.lit(1)).alias("_n"),

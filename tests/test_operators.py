@@ -305,3 +305,10 @@ def test_pair_statistics_search_each_line_once(spark):
     assert tuple(out.first()) == (3, 1, 1, 1, 1 / 3)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(") == 1
+
+
+def test_values_that_are_not_there_take_no_row(spark):
+    """Of three measured values only the first slot has a row where nothing is measured; the report keeps the group."""
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, v long")
+    out = measures.summarise(df, ["k"], sums={"n": F.lit(1)}, quantiles=[(F.col("v"), {"p": 0.5}), (F.col("v"), {"q": 0.5})], unbounded=[(F.col("v") * 2, {"w": 0.5})], distinct={"d": F.col("v")})
+    assert {tuple(r) for r in out.select("k", "n", "p", "q", "w", "d").collect()} == {("a", 2, 1.0, 1.0, 2.0, 1), ("b", 1, None, None, None, 0)}

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from hitlens.catalog.base import access, enrich, hits, register, requests_from, scratch, table
+from hitlens.catalog.base import access, enrich, hits, parts, register, requests_from, scratch, table
 from hitlens.operators import measures, ranking
 from hitlens.plans import quality
 from hitlens.schema import coerce
@@ -344,12 +344,17 @@ def _(spark, sf):
     return both.select("day", "requests", "errors", "max_ms", "avg_ms", near.alias("clients_close"), c("p95_estimate").between(c("lo"), c("hi")).alias("p95_close"))
 
 
+def _arriving(rows, folder, **options):
+    """Requests of a folder of events as a stream, dealt out over as many tasks as ``rows``, all of them, need."""
+    events = rows.sparkSession.readStream.schema(rows.schema).options(**options).parquet(folder)
+    return requests_from(events.repartition(parts(rows), "event_id"))
+
+
 @register("x02_stream_rollup", _STATE_SQL)
 def _(spark, sf):
-    schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    events = _arriving(table(spark, sf, "events"), sf, pathGlobFilter="events.parquet")
     folder = scratch(spark, "stream")
-    query = jobs.start_rollup(enrich(requests_from(events)), _KEYS, f"{folder}/state", f"{folder}/checkpoint")
+    query = jobs.start_rollup(events, _KEYS, f"{folder}/state", f"{folder}/checkpoint", derive=enrich)
     query.awaitTermination()
     return jobs.read_rollup(spark, f"{folder}/state", _KEYS).drop("clients_estimate", "p95_estimate")
 
@@ -381,8 +386,8 @@ def _(spark, sf):
     rows = table(spark, sf, "events")
     for late in (False, True):
         rows.filter((c("event_id") % 10 == 0) == late).write.mode("append").parquet(f"{folder}/events")
-        events = spark.readStream.schema(rows.schema).parquet(f"{folder}/events")
-        jobs.start_rollup(enrich(requests_from(events)), _KEYS, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+        events = _arriving(rows, f"{folder}/events")
+        jobs.start_rollup(events, _KEYS, f"{folder}/state", f"{folder}/checkpoint", derive=enrich).awaitTermination()
         if not late:
             jobs.compact(spark, f"{folder}/state", _KEYS, f"{folder}/folded")
     return jobs.read_rollup(spark, f"{folder}/state", _KEYS, f"{folder}/folded").drop("clients_estimate", "p95_estimate")
@@ -399,7 +404,7 @@ def _in_three_runs(spark, sf, folder, start):
     late = first & (c("event_id") % 10 == 0)
     for part in (first & ~late, late, ~first):
         rows.filter(part).write.mode("append").parquet(f"{folder}/events")
-        start(spark.readStream.schema(rows.schema).parquet(f"{folder}/events")).awaitTermination()
+        start(_arriving(rows, f"{folder}/events")).awaitTermination()
 
 
 @register(
@@ -414,7 +419,7 @@ def _(spark, sf):
     folder = scratch(spark, "append")
 
     def start(events):
-        windows = jobs.windowed(enrich(requests_from(events)), "1 hour", late="1 day")
+        windows = jobs.windowed(enrich(events), "1 hour", late="1 day")
         stream = windows.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/windows")
         return stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
@@ -432,7 +437,7 @@ def _(spark, sf):
     folder = scratch(spark, "apart")
 
     def start(events):
-        return jobs.start_event_time(enrich(requests_from(events)), _KEYS, folder, f"{folder}/checkpoint", late_seconds=86400)
+        return jobs.start_event_time(events, _KEYS, folder, f"{folder}/checkpoint", late_seconds=86400, derive=enrich)
 
     _in_three_runs(spark, sf, folder, start)
     rolled = jobs.read_rollup(spark, f"{folder}/state", _KEYS).groupBy(F.to_date("stat_hour").alias("day")).agg(F.sum("requests").alias("requests"))
@@ -447,7 +452,7 @@ def _(spark, sf):
     rows = table(spark, sf, "events")
     for part in (rows, rows.filter(c("event_id") % 3 == 0)):
         part.write.mode("append").parquet(f"{folder}/events")
-        events = requests_from(spark.readStream.schema(rows.schema).parquet(f"{folder}/events"))
+        events = _arriving(rows, f"{folder}/events")
         stream = jobs.unique(events, ["event_id"], "60 days").select("event_id", "status").writeStream.format("parquet").option("path", f"{folder}/rows")
         stream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     found = spark.read.parquet(f"{folder}/rows")
@@ -469,11 +474,10 @@ def _(spark, sf):
     rows = table(spark, sf, "events")
     for half in (0, 1):
         rows.filter(c("event_id") % 2 == half).write.mode("append").parquet(f"{folder}/events")
-        events = spark.readStream.schema(rows.schema).parquet(f"{folder}/events")
-        start = enrich(requests_from(events))
-        jobs.start_rollup(start, _KEYS, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+        start = _arriving(rows, f"{folder}/events")
+        jobs.start_rollup(start, _KEYS, f"{folder}/state", f"{folder}/checkpoint", derive=enrich).awaitTermination()
     _forget_commit(spark, f"{folder}/checkpoint")
-    jobs.start_rollup(start, _KEYS, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    jobs.start_rollup(start, _KEYS, f"{folder}/state", f"{folder}/checkpoint", derive=enrich).awaitTermination()
     return jobs.read_rollup(spark, f"{folder}/state", _KEYS).drop("clients_estimate", "p95_estimate")
 
 
@@ -536,7 +540,7 @@ def _(spark, sf):
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     for part in (c("ts") < cut, c("ts") >= cut):
         rows.filter(part).write.mode("append").parquet(f"{folder}/events")
-        events = enrich(requests_from(spark.readStream.schema(rows.schema).parquet(f"{folder}/events")))
+        events = enrich(_arriving(rows, f"{folder}/events"))
         windows = jobs.windowed(events, "1 hour", late="2 hours", by=["platform"])
         jobs.start_episodes(
             windows, ["platform"], folder, f"{folder}/checkpoint", width_seconds=3600, hold_seconds=3600, error_rate=20, mean_ms=5000

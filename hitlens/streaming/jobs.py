@@ -37,14 +37,18 @@ def start_rollup(
     *,
     also: Callable[[DataFrame, int], None] | None = None,
     every: str | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Append partial state per micro-batch; a replayed batch overwrites its own folder (exactly once).
 
     ``also`` gets the same micro-batch, for instance to append the enriched rows to a table.
     ``every`` is a processing-time interval; without it the job drains what is there and stops.
+    ``derive`` makes the enriched rows out of a micro-batch. Given here, only those of its columns are computed that
+    the state needs; rows enriched before come with all of them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = derive(batch) if derive else batch
         state.partial(batch, keys).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         if also is not None:
             also(batch, batch_id)
@@ -71,23 +75,32 @@ def _latest_time(spark: SparkSession, path: str, batch_id: int):
     return None if times is None else times.agg(F.max("latest")).first()[0]
 
 
-def start_event_time(requests: DataFrame, keys: Sequence[str], folder: str, checkpoint: str, *, late_seconds: int = 3600) -> StreamingQuery:
+def start_event_time(
+    requests: DataFrame,
+    keys: Sequence[str],
+    folder: str,
+    checkpoint: str,
+    *,
+    late_seconds: int = 3600,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
     """Rollup state of the rows in time (``state``), and apart from it the rows behind the watermark (``late``).
 
     The watermark is the latest event time of the batches before, less ``late_seconds``. It comes from the job's own
-    folder (``time``), so a batch that is run again draws the same line.
+    folder (``time``), so a batch that is run again draws the same line. ``derive``: see :func:`start_rollup`; each of
+    the three tables has only the columns derived that it keeps.
     """
     spark = requests.sparkSession
+    derived = derive or (lambda rows: rows)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         latest = _latest_time(spark, f"{folder}/time", batch_id)
         behind = F.lit(False) if latest is None else c("log_time") < F.lit(latest) - F.make_interval(secs=F.lit(late_seconds))
-        rows = batch.withColumn("_behind", F.coalesce(behind, F.lit(False))).persist()
+        rows = batch.withColumn("_behind", F.coalesce(behind, F.lit(False)))
         on_time = rows.filter(~c("_behind")).drop("_behind")
-        state.partial(on_time, keys).write.mode("overwrite").parquet(f"{folder}/state/batch_id={batch_id}")
-        rows.filter("_behind").drop("_behind").write.mode("overwrite").parquet(f"{folder}/late/batch_id={batch_id}")
+        state.partial(derived(on_time), keys).write.mode("overwrite").parquet(f"{folder}/state/batch_id={batch_id}")
+        derived(rows.filter("_behind").drop("_behind")).write.mode("overwrite").parquet(f"{folder}/late/batch_id={batch_id}")
         rows.agg(F.max("log_time").alias("latest")).write.mode("overwrite").parquet(f"{folder}/time/batch_id={batch_id}")
-        rows.unpersist()
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -312,3 +312,14 @@ def test_values_that_are_not_there_take_no_row(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, v long")
     out = measures.summarise(df, ["k"], sums={"n": F.lit(1)}, quantiles=[(F.col("v"), {"p": 0.5}), (F.col("v"), {"q": 0.5})], unbounded=[(F.col("v") * 2, {"w": 0.5})], distinct={"d": F.col("v")})
     assert {tuple(r) for r in out.select("k", "n", "p", "q", "w", "d").collect()} == {("a", 2, 1.0, 1.0, 2.0, 1), ("b", 1, None, None, None, 0)}
+
+
+def test_event_time_derives_only_what_each_table_keeps(spark, tmp_path):
+    """Rows are enriched inside the batch: the state asks for its columns alone, late rows for all of them."""
+    rows = table(spark, SF, "events").filter("event_id < 200")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events")
+    raw = requests_from(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/events"))
+    jobs.start_event_time(raw, ["stat_hour"], f"{tmp_path}/job", f"{tmp_path}/checkpoint", derive=enrich).awaitTermination()
+    got = jobs.read_rollup(spark, f"{tmp_path}/job/state", ["stat_hour"]).agg(F.sum("requests")).first()[0]
+    assert got == rows.count()
+    assert set(enrich(requests_from(rows)).columns) <= set(spark.read.parquet(f"{tmp_path}/job/late").columns)

@@ -102,7 +102,7 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web requests (durations ms, wall clock in UTC)."""
     # the test table is one row group, which no split setting can divide
     e = table(spark, sf_dir, "events")
-    return requests_from(e.repartition(parts(e), "event_id"))
+    return requests_from(e.repartition(parts(e)))
 
 
 def parts(e: DataFrame) -> int:

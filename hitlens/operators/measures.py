@@ -41,6 +41,7 @@ def summarise(
     nearest: Quantiles = (),
     distinct: Mapping[str, Column] | None = None,
     modes: Mapping[str, Column] | None = None,
+    moments: bool = False,
     exact: bool = True,
     accuracy: int = 10000,
 ) -> DataFrame:
@@ -50,7 +51,8 @@ def summarise(
     ``floor(n * p)`` of the sorted values. Exact quantiles suit measures with a bounded domain, such as
     whole milliseconds; those of ``unbounded`` measures (sizes, prices) are found by slices in the same
     pass, so that no task gets all values of a group (:func:`_placed`). A mode is the most frequent
-    value, ties to the smallest.
+    value, ties to the smallest. ``moments`` adds ``_sum``, ``_count``, ``_min`` and ``_max`` with the number of each
+    measure of ``quantiles`` and ``unbounded``, from its counted values instead of columns that travel with every row.
     """
     keys = keys_of(by)
     sums, mins, maxs = dict(sums or {}), dict(mins or {}), dict(maxs or {})
@@ -94,6 +96,17 @@ def summarise(
         points = F.array(*[F.lit(float(p)) for p in wanted.values()])
         wide.append(F.percentile(value, points, F.col("_n")).alias(f"_q{i}"))
         lists.append((f"_q{i}", list(wanted)))
+    described: list[str] = []
+    for i, (measure, _) in enumerate(quantiles if moments else []):
+        mine = F.when(F.col("_slot")["slot"] == i, F.col("_slot")["num"]).cast(df.select(measure.alias("m")).schema["m"].dataType)
+        found = {
+            f"_sum{i}": F.sum(mine * F.col("_n")),
+            f"_count{i}": F.coalesce(F.sum(F.when(mine.isNotNull(), F.col("_n"))), F.lit(0)),
+            f"_min{i}": F.min(mine),
+            f"_max{i}": F.max(mine),
+        }
+        wide += [value.alias(name) for name, value in found.items()]
+        described += list(found)
     for name, kind, i in texts:
         mine = F.when(F.col("_slot")["slot"] == i, F.col("_slot")["txt"])
         if kind == "distinct":
@@ -101,7 +114,7 @@ def summarise(
         else:
             wide.append(F.min_by(mine, F.when(mine.isNotNull(), F.struct(-F.col("_n"), mine))).alias(name))
     out = fine.groupBy(*keys).agg(*wide) if keys else fine.agg(*wide)
-    plain = [F.col(k) for k in keys] + [F.col(n) for n in (*inputs, *distinct, *modes)]
+    plain = [F.col(k) for k in keys] + [F.col(n) for n in (*inputs, *distinct, *modes, *described)]
     points = [
         F.round(F.get(F.col(c), F.lit(j)), 6).alias(name) for c, names in lists for j, name in enumerate(names)
     ]
@@ -221,19 +234,21 @@ def describe(
     ``unbounded`` names the metrics with too many different values for one task.
     """
     points = points or {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+    bounded, wide = [m for m in metrics if m not in unbounded], [m for m in metrics if m in unbounded]
     out = summarise(
         df,
         by,
-        sums={"requests": F.lit(1), **(sums or {})}
-        | {f"sum_{m}": F.col(m) for m in metrics}
-        | {f"n_{m}": flag(F.col(m).isNotNull()) for m in metrics},
-        mins={f"min_{m}": F.col(m) for m in metrics},
-        maxs={f"max_{m}": F.col(m) for m in metrics},
-        quantiles=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in metrics if m not in unbounded],
-        unbounded=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in metrics if m in unbounded],
+        sums={"requests": F.lit(1), **(sums or {})},
+        quantiles=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in bounded],
+        unbounded=[(F.col(m), {f"{p}_{m}": q for p, q in points.items()}) for m in wide],
+        moments=True,
     )
-    out = out.withColumns({f"avg_{m}": mean(F.col(f"sum_{m}"), F.col(f"n_{m}")) for m in metrics})
-    return out.drop(*[f"sum_{m}" for m in metrics], *[f"n_{m}" for m in metrics])
+    place = {m: i for i, m in enumerate([*bounded, *wide])}
+    out = out.withColumns(
+        {f"{end}_{m}": F.col(f"_{end}{place[m]}") for end in ("min", "max") for m in metrics}
+        | {f"avg_{m}": mean(F.col(f"_sum{place[m]}"), F.col(f"_count{place[m]}")) for m in metrics}
+    )
+    return out.drop(*[f"_{kind}{i}" for kind in ("sum", "count", "min", "max") for i in place.values()])
 
 
 def mean(total: Column, count: Column) -> Column:

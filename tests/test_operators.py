@@ -323,3 +323,13 @@ def test_event_time_derives_only_what_each_table_keeps(spark, tmp_path):
     got = jobs.read_rollup(spark, f"{tmp_path}/job/state", ["stat_hour"]).agg(F.sum("requests")).first()[0]
     assert got == rows.count()
     assert set(enrich(requests_from(rows)).columns) <= set(spark.read.parquet(f"{tmp_path}/job/late").columns)
+
+
+def test_described_moments_come_from_counted_values(spark):
+    """No column of a measure travels with the counted rows; means, extremes and types stay."""
+    df = spark.createDataFrame([("a", 3, 0.5), ("a", 3, None), ("a", 9, 2.5), ("b", None, None)], "k string, v long, x double")
+    out = measures.describe(df, ["k"], ["v", "x"], {"p50": 0.5}, unbounded=["x"])
+    got = {r["k"]: (r["requests"], r["min_v"], r["max_v"], r["avg_v"], r["p50_v"], r["min_x"], r["max_x"], r["avg_x"]) for r in out.collect()}
+    assert got == {"a": (3, 3, 9, 5.0, 3.0, 0.5, 2.5, 1.5), "b": (1,) + (None,) * 7}
+    assert out.schema["min_v"].dataType.simpleString() == "bigint"
+    assert "_v_sum_v" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -100,14 +100,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web requests (durations ms, wall clock in UTC)."""
-    # the test table is one row group, which no split setting can divide
+    # the test table is one row group, which no split setting can divide; it is dealt out by the place of a row, since
+    # the task that reads it would sort all its rows in memory before it deals them by round robin
     e = table(spark, sf_dir, "events")
-    return requests_from(e.repartition(parts(e)))
+    return requests_from(e.repartitionById(parts(e), F.hash(F.monotonically_increasing_id())))
 
 
 def parts(e: DataFrame) -> int:
-    """Partitions for a table: enough that no task gets more rows as the table grows (the count reads Parquet footers)."""
-    return max(PARTS, -(-e.count() // ROWS_PER_PART))
+    """Partitions for a table: enough that no task gets more rows as the table grows (the count reads Parquet footers).
+
+    A shuffle into few enough partitions writes its rows through; into more, a task that reads a large row group keeps
+    all of it in memory. So their number stays there until tasks reach ``MOST_ROWS_PER_PART``.
+    """
+    rows = e.count()
+    written_through = int(e.sparkSession.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    return max(PARTS, min(-(-rows // ROWS_PER_PART), written_through), -(-rows // MOST_ROWS_PER_PART))
 
 
 def requests_from(e: DataFrame) -> DataFrame:
@@ -147,6 +154,7 @@ def requests_from(e: DataFrame) -> DataFrame:
 
 PARTS = 8
 ROWS_PER_PART = 50_000
+MOST_ROWS_PER_PART = 200_000
 
 _PLANS: dict[tuple[str, str], DataFrame] = {}
 

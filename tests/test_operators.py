@@ -333,3 +333,31 @@ def test_described_moments_come_from_counted_values(spark):
     assert got == {"a": (3, 3, 9, 5.0, 3.0, 0.5, 2.5, 1.5), "b": (1,) + (None,) * 7}
     assert out.schema["min_v"].dataType.simpleString() == "bigint"
     assert "_v_sum_v" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_partitions_of_a_large_table_are_written_through(spark):
+    """More than 200 would be kept in memory by the task that reads a row group."""
+    from hitlens.catalog.base import MOST_ROWS_PER_PART, ROWS_PER_PART, parts
+
+    assert parts(spark.range(300 * ROWS_PER_PART)) == 200
+    assert parts(spark.range(200 * MOST_ROWS_PER_PART + 1)) == 201
+
+
+@pytest.mark.parametrize("name", ["d09_rollup_series"])
+def test_reading_the_events_keeps_no_rows(spark, name):
+    """A deal by round robin sorts all rows of the task that reads them."""
+    from hitlens.catalog import queries
+
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan and "shufflepartitionidpassthrough" in plan
+
+
+def test_the_deal_is_whole_and_even(spark):
+    from hitlens.catalog.base import PARTS, access, table
+
+    dealt = access(spark, SF)
+    found = dealt.groupBy(F.spark_partition_id()).count().collect()
+    n = table(spark, SF, "events").count()
+    assert len(found) == PARTS and sum(r["count"] for r in found) == n
+    assert max(r["count"] for r in found) < 1.3 * n / PARTS
+    assert dealt.select("event_id").exceptAll(table(spark, SF, "events").select("event_id")).count() == 0

@@ -343,7 +343,7 @@ def test_partitions_of_a_large_table_are_written_through(spark):
     assert parts(spark.range(200 * MOST_ROWS_PER_PART + 1)) == 201
 
 
-@pytest.mark.parametrize("name", ["d09_rollup_series", "r09_ip_source"])
+@pytest.mark.parametrize("name", ["d09_rollup_series", "r09_ip_source", "l01_api_percentiles"])
 def test_reading_the_events_keeps_no_rows(spark, name):
     """A deal by round robin sorts all rows of the task that reads them."""
     from hitlens.catalog import queries
